@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.functions.variants import object_at, variant_type
@@ -98,38 +100,37 @@ def _included_rules(item: Column) -> Column:
     )
 
 
+_FOUND = "array<struct<part:string,position:int,field:string,rule:string>>"
+
+
+def _part_violations(part: str, rules: Callable[[Column], Column]) -> Column:
+    """Violations of all items of one list of the record, or of the list itself when absent."""
+    items = F.try_variant_get("_v", f"$.{part}", "array<variant>")
+
+    def located(where: str, position: Column, field: Column, rule: Column) -> Column:
+        return F.struct(
+            F.lit(where).alias("part"), position.cast("int").alias("position"), field.alias("field"), rule.alias("rule")
+        )
+
+    def of_item(item: Column, position: Column) -> Column:
+        return F.transform(rules(item), lambda r: located(part, position, r["field"], r["rule"]))
+
+    absent = F.array(located("record", F.lit(0), F.lit(part), F.lit("missing"))).cast(_FOUND)
+    return F.coalesce(F.flatten(F.transform(items, of_item)).cast(_FOUND), absent)
+
+
 def schema_violations(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per violation of the declared record schema: ``event_id, part, position, field, rule``.
 
     ``rule`` is ``missing``, ``type`` or ``tag``; ``part`` is ``record``, ``data``
     or ``included``. Reads raw text in ``value``, since typed parsing hides what does not convert.
     """
-    v = F.try_parse_json("value")
-    base = lines.select(*keep, v.alias("_v"))
+    base = lines.select(*keep, F.try_parse_json("value").alias("_v"))
     event_id = F.try_variant_get("_v", "$.data[0].id", "string").alias("event_id")
-    empty = F.array().cast("array<variant>")
-    parts = []
-    for name in ("data", "included"):
-        items = F.try_variant_get("_v", f"$.{name}", "array<variant>")
-        rules = (lambda x: F.array_compact(F.array(*_event_rules(x)))) if name == "data" else _included_rules
-        parts.append(
-            F.flatten(
-                F.transform(
-                    F.coalesce(items, empty),
-                    lambda x, i, name=name, rules=rules: F.transform(
-                        rules(x),
-                        lambda r: F.struct(
-                            F.lit(name).alias("part"), i.cast("int").alias("position"), r["field"].alias("field"), r["rule"].alias("rule")
-                        ),
-                    ),
-                )
-            )
-        )
-        whole = F.struct(
-            F.lit("record").alias("part"), F.lit(0).alias("position"), F.lit(name).alias("field"), F.lit("missing").alias("rule")
-        )
-        parts.append(F.when(items.isNull(), F.array(whole)).otherwise(F.array().cast("array<struct<part:string,position:int,field:string,rule:string>>")))
-    found = F.concat(*parts)
+    found = F.concat(
+        _part_violations("data", lambda x: F.array_compact(F.array(*_event_rules(x)))),
+        _part_violations("included", _included_rules),
+    )
     return base.select(*keep, event_id, F.explode(found).alias("_x")).select(*keep, "event_id", "_x.*")
 
 
