@@ -26,6 +26,11 @@ def number_at(value: Column, path: str, strict: bool = True) -> Column:
     return F.when(variant_type(value, path).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)"), number)
 
 
+def boolean_at(value: Column, path: str) -> Column:
+    """The value at ``path`` when it is a JSON boolean; ``"no"`` or 0 do not convert."""
+    return F.when(variant_type(value, path) == "BOOLEAN", F.try_variant_get(value, path, "boolean"))
+
+
 def object_at(value: Column, path: str = "$") -> Column:
     """The object at ``path`` as MAP<STRING, VARIANT>, null for any other JSON type."""
     return F.try_variant_get(value, path, "map<string,variant>")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.functions.text import within_word_limit
-from recordqa.functions.variants import number_at, object_at, string_at
+from recordqa.functions.variants import boolean_at, number_at, object_at, string_at
 from recordqa.schema import CHECKS, EVIDENCE_FIELDS, REASON_WORD_LIMITS, ROLE_FITS, VERDICTS
 
 # ---- fixed values: keys of the judge output contract ----------------------
@@ -58,11 +58,11 @@ def contract_violations(answers: DataFrame) -> DataFrame:
     wants_spans = check.isin("semantic_accuracy", "source_credibility")
     assessment_ok = lambda a: _yes(
         string_at(a, "$.entity_id").isNotNull()
-        & F.try_variant_get(a, "$.is_plausibly_linked", "boolean").isNotNull()
+        & boolean_at(a, "$.is_plausibly_linked").isNotNull()
         & string_at(a, "$.role_fit").isin(*ROLE_FITS)
         & _spans_ok(_array(a, "$.evidence_spans"))
     )
-    signals = [F.try_variant_get(body, f"$.quality_signals.{s}", "boolean").isNotNull() for s in SIGNALS]
+    signals = [boolean_at(body, f"$.quality_signals.{s}").isNotNull() for s in SIGNALS]
     all_signals = signals[0] & signals[1] & signals[2] & signals[3]
     rules = {
         "not_an_object": object_at(body).isNull(),
@@ -98,7 +98,7 @@ def explode_assessments(results: DataFrame) -> DataFrame:
             {
                 "entity_id": string_at(a, "$.entity_id"),
                 "entity_name": string_at(a, "$.entity_name"),
-                "is_plausibly_linked": F.try_variant_get(a, "$.is_plausibly_linked", "boolean"),
+                "is_plausibly_linked": boolean_at(a, "$.is_plausibly_linked"),
                 "role_fit": string_at(a, "$.role_fit"),
                 "n_spans": F.coalesce(F.size(_array(a, "$.evidence_spans")), F.lit(0)),
             }
@@ -111,7 +111,7 @@ def quality_signals(results: DataFrame) -> DataFrame:
     """The four source-quality signals as boolean columns."""
     body = F.col("llm_check")
     return results.withColumns(
-        {s: F.try_variant_get(body, f"$.quality_signals.{s}", "boolean") for s in SIGNALS}
+        {s: boolean_at(body, f"$.quality_signals.{s}") for s in SIGNALS}
     ).drop("llm_check")
 
 

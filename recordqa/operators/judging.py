@@ -67,18 +67,12 @@ def build_requests(
 
     Only the narrow request leaves this step; bodies are truncated inside it.
     """
-    per_check = [
-        F.struct(
-            F.lit(check).alias("check_name"),
-            encode_json(
-                F.transform(
-                    "members",
-                    lambda m, check=check: check_input_struct(lambda f: m[f], check, max_body_chars),
-                )
-            ).alias("inputs"),
+    def inputs_of(check: str) -> Column:
+        return encode_json(
+            F.transform("members", lambda m: check_input_struct(lambda f: m[f], check, max_body_chars))
         )
-        for check in CHECKS
-    ]
+
+    per_check = [F.struct(F.lit(c).alias("check_name"), inputs_of(c).alias("inputs")) for c in CHECKS]
     fanned = batches.select(
         "batch_id", F.size("members").cast("bigint").alias("n_rows"), F.explode(F.array(*per_check)).alias("x")
     ).select("batch_id", "n_rows", "x.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordqa.functions.variants import object_at, string_at
+from recordqa.functions.variants import boolean_at, object_at, string_at
 from recordqa.operators.judging import last_answer, response_text
 from recordqa.schema import CORE_RECORD_DDL, REMEDIATION_DECISIONS
 
@@ -141,7 +141,7 @@ def remediation_violations(remediations: DataFrame) -> DataFrame:
         "missing_patch": F.coalesce(acts, F.lit(False)) & path.isNull(),
         "stale_old_value": F.coalesce(known_path, F.lit(False)) & ~old.eqNullSafe(present),
         "missing_spans": F.try_variant_get(item, "$.evidence_spans", "array<variant>").isNull(),
-        "missing_review_flag": F.try_variant_get(item, "$.review_recommended", "boolean").isNull(),
+        "missing_review_flag": boolean_at(item, "$.review_recommended").isNull(),
     }
     broken = F.array_compact(F.array(*[F.when(cond, F.lit(rule)) for rule, cond in rules.items()]))
     return parsed.withColumn("violations", broken).drop("_attrs").filter(F.size("violations") > 0)
