@@ -8,33 +8,66 @@ from recordqa.session import broadcast_if_small, stage_table
 from recordqa.sources.lines import LINE_ORDER
 
 
+def _offsets(spans: DataFrame, by: tuple[str, ...], at: tuple[str, ...]) -> DataFrame:
+    """Start of every span: the rows of its group in the spans before it.
+
+    ``spans`` has one row per task (or file block) and group, never one per record.
+    """
+    before = Window.partitionBy(*by).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    return broadcast_if_small(spans.select(*by, *at, shift.alias("_shift")))
+
+
 def positions(df: DataFrame, order: tuple[str, ...] = LINE_ORDER, by: tuple[str, ...] = ()) -> DataFrame:
     """Rows plus ``pos``: 0, 1, 2, ... along ``order`` inside each ``by`` group.
 
-    ``order`` must identify the row, so the range shuffle can split any group
-    over as many tasks as it needs. The sorted rows are staged once: the small
-    count per task and the numbering then see the same layout. Rows move once.
+    ``order`` must identify the row and hold no nulls, so a range shuffle can
+    split any group over as many tasks as it needs. Only the key columns are
+    sorted and staged; numbers are joined back to the rows, whose other columns
+    cross the network once. The staged copy makes the counts per task and the
+    numbering see the same layout. ``df`` is read twice and must be repeatable.
     """
     keys = [*by, *order]
     placed = stage_table(
-        df.repartitionByRange(*keys)
+        df.select(*keys)
+        .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id()),
         "positions",
+    ).withColumn("_task", F.shiftright("_at", 33))
+    spans = placed.groupBy(*by, "_task").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    offsets = _offsets(spans, by, ("_task",))
+    offsets = offsets.withColumnsRenamed({c: f"_{c}" for c in by}).withColumnRenamed("_task", "_span")
+    same_span = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] + [F.col("_task") == F.col("_span")]
+    numbers = placed.join(offsets, same_span).select(
+        *[F.col(c).alias(f"_{c}") for c in keys if c not in by],
+        *[F.col(f"_{c}") for c in by],
+        (F.col("_at") + F.col("_shift")).alias("pos"),
     )
-    task = F.shiftright("_at", 33).alias("_task")
-    spans = placed.groupBy(*by, task).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    before = Window.partitionBy(*by).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = spans.select(
-        *by,
-        "_task",
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+    same_row = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] + [F.col(c) == F.col(f"_{c}") for c in order]
+    return df.join(numbers, same_row).drop(*[f"_{c}" for c in keys])
+
+
+def line_positions(df: DataFrame) -> DataFrame:
+    """As ``positions`` in line order, for rows that come straight from a line scan.
+
+    Between the scan and here only row-wise steps (select, filter) may lie. Each
+    task then holds its lines in order, so nothing is sorted or shuffled: rows
+    are staged as they are and each file block is shifted to its place. Rows that
+    were moved to other tasks fail the check on the task number.
+    """
+    placed = stage_table(df.withColumn("_at", F.monotonically_increasing_id()), "lines")
+    moved = F.shiftright("_at", 33) != F.shiftright("line_id", 33)
+    spans = placed.groupBy("file_name", "block_start").agg(
+        F.count("*").alias("_n"), F.min("_at").alias("_first"), F.bool_or(moved).alias("_moved")
     )
+    problem = F.raise_error(F.lit("rows have moved since the scan; use positions()")).cast("bigint")
+    spans = spans.withColumn("_n", F.when(F.col("_moved"), problem).otherwise(F.col("_n")))
+    offsets = _offsets(spans, (), ("file_name", "block_start"))
     return (
-        placed.withColumn("_task", F.shiftright("_at", 33))
-        .join(broadcast_if_small(offsets), [*by, "_task"])
+        placed.join(offsets, ["file_name", "block_start"])
         .withColumn("pos", F.col("_at") + F.col("_shift"))
-        .drop("_at", "_task", "_shift")
+        .drop("_at", "_shift")
     )
 
 

@@ -14,11 +14,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.functions.variants import encode_json, number_at, object_at, string_at
-from recordqa.operators.batching import batch_ids
+from recordqa.operators.batching import line_positions, positions
 from recordqa.operators.cost import cost_column, with_routing
-from recordqa.operators.records import check_input_struct, eligible, payload_columns
-from recordqa.schema import CHECKS, PROVIDERS
-from recordqa.session import broadcast_if_small
+from recordqa.operators.records import check_input_struct, eligible, extract_payload
+from recordqa.schema import CHECKS, PAYLOAD_FIELDS, PROVIDERS
+from recordqa.session import broadcast_if_small, stage_table
 from recordqa.sources.lines import LINE_ORDER
 
 USER_TURN = (
@@ -30,18 +30,25 @@ RESPONSE_DDL = "call_id STRING, response STRING, latency_ms DOUBLE"
 
 
 # ---- requests -------------------------------------------------------------
-def record_batches(records: DataFrame, size: int, order: tuple[str, ...] = LINE_ORDER) -> DataFrame:
-    """Eligible records grouped into batches: ``batch_id, members``.
+def record_batches(
+    records: DataFrame, size: int, order: tuple[str, ...] = LINE_ORDER, from_scan: bool = False
+) -> DataFrame:
+    """Eligible records grouped into batches: ``batch_id, members``; staged.
 
     All checks share the same eligible rows in the same order, so records are
-    numbered and grouped once and fanned out to checks afterwards; a record
-    crosses the network twice, whatever the number of checks.
+    parsed, numbered and grouped once and fanned out to checks afterwards.
+    ``from_scan`` says that ``records`` are parsed lines of a scan, untouched
+    since; numbering then needs no shuffle.
     """
-    fields = payload_columns()
-    flat = records.select(*order, F.col("value").alias("source_record"), *[c.alias(n) for n, c in fields.items()])
-    numbered = batch_ids(eligible(flat), size, order)
-    member = F.struct("pos", "source_record", *fields)
-    return numbered.groupBy("batch_id").agg(F.array_sort(F.collect_list(member)).alias("members"))
+    if size <= 0:
+        raise ValueError("batch size must be positive")
+    flat = eligible(extract_payload(records, (*order, F.col("value").alias("source_record"))))
+    numbered = line_positions(flat) if from_scan else positions(stage_table(flat, "payload"), order)
+    member = F.struct("pos", "source_record", *PAYLOAD_FIELDS)
+    batches = numbered.groupBy(F.floor(F.col("pos") / F.lit(size)).cast("bigint").alias("batch_id")).agg(
+        F.array_sort(F.collect_list(member)).alias("members")
+    )
+    return stage_table(batches, "batches")
 
 
 def chat_request(prompt: Column, model: Column, payload_json: Column) -> Column:

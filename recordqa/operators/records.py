@@ -25,31 +25,33 @@ def company_entities(included: Column) -> Column:
     return F.coalesce(linked, empty)
 
 
-def payload_columns() -> dict[str, Column]:
-    """The ten payload fields over the parsed columns ``data`` and ``included``."""
-    event = F.get(F.col("data"), F.lit(0))
-    article = first_of_type(F.col("included"), "news_article")["attributes"]
-    attrs = event["attributes"]
-    return {
-        "event_id": event["id"],
-        "labeled_event_type": attrs["category"],
-        "event_summary": attrs["summary"],
-        "article_sentence": attrs["article_sentence"],
-        "source_title": article["title"],
-        "source_body": article["body"],
-        "event_date": attrs["effective_date"],
-        "source_url": article["url"],
-        "published_at": article["published_at"],
-        "linked_entities": company_entities(F.col("included")),
-    }
-
-
-def extract_payload(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def extract_payload(records: DataFrame, keep: tuple = ()) -> DataFrame:
     """One flat payload row per record; only the first event of ``data`` is read.
 
     ``keep`` names input columns (line order, raw text) to carry along.
     """
-    return records.select(*keep, *[c.alias(n) for n, c in payload_columns().items()])
+    article = first_of_type(F.col("included"), "news_article")["attributes"]
+    found = records.select(
+        *keep,
+        F.get(F.col("data"), F.lit(0)).alias("_event"),
+        article.alias("_article"),
+        company_entities(F.col("included")).alias("linked_entities"),
+    )
+    attrs = "_event.attributes"
+    fields = {
+        "event_id": "_event.id",
+        "labeled_event_type": f"{attrs}.category",
+        "event_summary": f"{attrs}.summary",
+        "article_sentence": f"{attrs}.article_sentence",
+        "source_title": "_article.title",
+        "source_body": "_article.body",
+        "event_date": f"{attrs}.effective_date",
+        "source_url": "_article.url",
+        "published_at": "_article.published_at",
+        "linked_entities": "linked_entities",
+    }
+    kept = found.columns[: len(keep)]
+    return found.select(*kept, *[F.col(path).alias(name) for name, path in fields.items()])
 
 
 # Fields each check sees beside the shared ones, in the order of its contract.

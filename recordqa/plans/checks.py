@@ -46,16 +46,17 @@ def run_checks(
     batch_size: int = 10,
     max_body_chars: int = 1500,
     order: tuple[str, ...] = LINE_ORDER,
+    from_scan: bool = False,
 ) -> CheckRun:
     """Judge every eligible record with every check.
 
     ``records`` comes from ``parse_records``; ``prompts`` from ``prompt_registry``.
     Instead of a judge, stored ``responses`` (``call_id, response, latency_ms``)
-    of an earlier attempt of the same run may be given. Responses are staged
+    of an earlier attempt of the same run may be given. ``from_scan``: see ``record_batches``. Responses are staged
     before the two outputs branch, so no call is made twice.
     """
     run_id = run_id or new_run_id()
-    batches = record_batches(records, batch_size, order)
+    batches = record_batches(records, batch_size, order, from_scan)
     requests = build_requests(
         batches, latest_prompts(prompts), routing_table(routing), run_id, max_body_chars
     )
