@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A filter pushed below a projection repeats the projected expression for every
+    use; naming an expensive value inside the expression keeps it to one parse.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def is_object(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+
+
 def variant_type(value: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(value, path, "variant"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordqa.functions.variants import object_at, variant_type
+from recordqa.functions.variants import is_object, let, variant_type
 from recordqa.schema import EVENT_INT_FIELDS, EVENT_STRING_FIELDS, EVENT_TAG_FIELDS
 
 # fixed values: required event attributes and the JSON types they accept
@@ -32,9 +32,9 @@ def _fits(value: Column, path: str, kind: str) -> Column:
         return F.try_variant_get(value, path, "array<string>").isNotNull() & got.rlike("^ARRAY<(STRING|VOID)?>$")
     if kind == "OBJECTS":
         items = F.try_variant_get(value, path, "array<variant>")
-        return items.isNotNull() & F.forall(items, lambda x: object_at(x).isNotNull())
+        return items.isNotNull() & F.forall(items, is_object)
     if kind == "OBJECT":
-        return object_at(value, path).isNotNull()
+        return got.startswith("OBJECT")
     target = {"NUMBER": "double", "BOOLEAN": "boolean", "BIGINT": "bigint"}.get(kind)
     if target:
         return F.try_variant_get(value, path, target).isNotNull()
@@ -103,9 +103,8 @@ def _included_rules(item: Column) -> Column:
 _FOUND = "array<struct<part:string,position:int,field:string,rule:string>>"
 
 
-def _part_violations(part: str, rules: Callable[[Column], Column]) -> Column:
+def _part_violations(record: Column, part: str, rules: Callable[[Column], Column]) -> Column:
     """Violations of all items of one list of the record, or of the list itself when absent."""
-    items = F.try_variant_get("_v", f"$.{part}", "array<variant>")
 
     def located(where: str, position: Column, field: Column, rule: Column) -> Column:
         return F.struct(
@@ -115,6 +114,7 @@ def _part_violations(part: str, rules: Callable[[Column], Column]) -> Column:
     def of_item(item: Column, position: Column) -> Column:
         return F.transform(rules(item), lambda r: located(part, position, r["field"], r["rule"]))
 
+    items = F.try_variant_get(record, f"$.{part}", "array<variant>")
     absent = F.array(located("record", F.lit(0), F.lit(part), F.lit("missing"))).cast(_FOUND)
     return F.coalesce(F.flatten(F.transform(items, of_item)).cast(_FOUND), absent)
 
@@ -125,13 +125,22 @@ def schema_violations(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     ``rule`` is ``missing``, ``type`` or ``tag``; ``part`` is ``record``, ``data``
     or ``included``. Reads raw text in ``value``, since typed parsing hides what does not convert.
     """
-    base = lines.select(*keep, F.try_parse_json("value").alias("_v"))
-    event_id = F.try_variant_get("_v", "$.data[0].id", "string").alias("event_id")
-    found = F.concat(
-        _part_violations("data", lambda x: F.array_compact(F.array(*_event_rules(x)))),
-        _part_violations("included", _included_rules),
+
+    def judged(record: Column) -> Column:
+        return F.struct(
+            F.try_variant_get(record, "$.data[0].id", "string").alias("event_id"),
+            F.concat(
+                _part_violations(record, "data", lambda x: F.array_compact(F.array(*_event_rules(x)))),
+                _part_violations(record, "included", _included_rules),
+            ).alias("found"),
+        )
+
+    found = lines.select(*keep, let(F.try_parse_json("value"), judged).alias("_j"))
+    return (
+        found.select(*keep, "_j.event_id", F.explode_outer("_j.found").alias("_x"))
+        .filter(F.col("_x").isNotNull())
+        .select(*keep, "event_id", "_x.*")
     )
-    return base.select(*keep, event_id, F.explode(found).alias("_x")).select(*keep, "event_id", "_x.*")
 
 
 def relationships(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

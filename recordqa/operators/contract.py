@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.functions.text import within_word_limit
-from recordqa.functions.variants import boolean_at, number_at, object_at, string_at
+from recordqa.functions.variants import boolean_at, is_object, let, number_at, object_at, string_at
 from recordqa.schema import CHECKS, EVIDENCE_FIELDS, REASON_WORD_LIMITS, ROLE_FITS, VERDICTS
 
 # ---- fixed values: keys of the judge output contract ----------------------
@@ -44,39 +44,49 @@ def _array(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "array<variant>")
 
 
-def contract_violations(answers: DataFrame) -> DataFrame:
-    """Answers (``check_name``, ``llm_check`` VARIANT, ...) that break their output contract.
-
-    Adds ``violations``, the names of the broken rules, and keeps only rows with some.
-    """
-    body, check = F.col("llm_check"), F.col("check_name")
-    keys = F.coalesce(F.map_keys(object_at(body)), F.array().cast("array<string>"))
-    allowed = _for_check(check, lambda c: F.array(*[F.lit(k) for k in COMMON_KEYS + OWN_KEYS[c]]))
-    limit = _for_check(check, lambda c: F.lit(REASON_WORD_LIMITS[c]))
-    spans = _array(body, "$.evidence_spans")
-    assessments = _array(body, "$.entity_assessments")
-    wants_spans = check.isin("semantic_accuracy", "source_credibility")
-    assessment_ok = lambda a: _yes(
+def _assessment_ok(a: Column) -> Column:
+    return _yes(
         string_at(a, "$.entity_id").isNotNull()
         & boolean_at(a, "$.is_plausibly_linked").isNotNull()
         & string_at(a, "$.role_fit").isin(*ROLE_FITS)
         & _spans_ok(_array(a, "$.evidence_spans"))
     )
-    signals = [boolean_at(body, f"$.quality_signals.{s}").isNotNull() for s in SIGNALS]
-    all_signals = signals[0] & signals[1] & signals[2] & signals[3]
-    rules = {
-        "not_an_object": object_at(body).isNull(),
-        "missing_key": F.size(F.array_except(F.array(*[F.lit(k) for k in COMMON_KEYS]), keys)) > 0,
-        "unknown_verdict": ~_yes(string_at(body, "$.result").isin(*VERDICTS)),
-        "bad_confidence": ~_yes(number_at(body, "$.confidence").between(0.0, 1.0)),
-        "long_reason": ~_yes(within_word_limit(string_at(body, "$.reason"), limit)),
-        "bad_spans": wants_spans & ~_yes(_spans_ok(spans)),
-        "bad_assessments": (check == "entity_resolution") & ~_yes(F.forall(assessments, assessment_ok)),
-        "bad_signals": (check == "source_credibility") & ~_yes(all_signals),
-        "extra_key": F.size(F.array_except(keys, allowed)) > 0,
-    }
-    broken = F.array_compact(F.array(*[F.when(cond, F.lit(rule)) for rule, cond in rules.items()]))
-    return answers.withColumn("violations", broken).filter(F.size("violations") > 0)
+
+
+def violated_rules(check: Column, answer: Column) -> Column:
+    """Names of the contract rules a verdict breaks, as an array that may be empty."""
+    allowed = _for_check(check, lambda c: F.array(*[F.lit(k) for k in COMMON_KEYS + OWN_KEYS[c]]))
+    limit = _for_check(check, lambda c: F.lit(REASON_WORD_LIMITS[c]))
+    wants_spans = check.isin("semantic_accuracy", "source_credibility")
+
+    def rules(body: Column) -> Column:
+        keys = F.coalesce(F.map_keys(object_at(body)), F.array().cast("array<string>"))
+        signals = [boolean_at(body, f"$.quality_signals.{s}").isNotNull() for s in SIGNALS]
+        broken = {
+            "not_an_object": ~is_object(body),
+            "missing_key": F.size(F.array_except(F.array(*[F.lit(k) for k in COMMON_KEYS]), keys)) > 0,
+            "unknown_verdict": ~_yes(string_at(body, "$.result").isin(*VERDICTS)),
+            "bad_confidence": ~_yes(number_at(body, "$.confidence").between(0.0, 1.0)),
+            "long_reason": ~_yes(within_word_limit(string_at(body, "$.reason"), limit)),
+            "bad_spans": wants_spans & ~_yes(_spans_ok(_array(body, "$.evidence_spans"))),
+            "bad_assessments": (check == "entity_resolution")
+            & ~_yes(F.forall(_array(body, "$.entity_assessments"), _assessment_ok)),
+            "bad_signals": (check == "source_credibility")
+            & ~_yes(signals[0] & signals[1] & signals[2] & signals[3]),
+            "extra_key": F.size(F.array_except(keys, allowed)) > 0,
+        }
+        return F.array_compact(F.array(*[F.when(cond, F.lit(rule)) for rule, cond in broken.items()]))
+
+    return let(answer, rules)
+
+
+def contract_violations(answers: DataFrame) -> DataFrame:
+    """Answers (``check_name``, ``llm_check`` VARIANT, ...) that break their output contract.
+
+    Adds ``violations``, the names of the broken rules, and keeps only rows with some.
+    """
+    found = violated_rules(F.col("check_name"), F.col("llm_check"))
+    return answers.withColumn("violations", found).filter(F.size("violations") > 0)
 
 
 def evidence_spans(results: DataFrame) -> DataFrame:

@@ -15,26 +15,36 @@ from recordqa.functions.text import normal_form
 
 def story_key(col: Column) -> Column:
     """128-bit digest of the normal form; null or empty text has no story."""
-    form = normal_form(col)
-    return F.when(F.coalesce(form, F.lit("")) != "", F.md5(form.cast("binary")))
+    return F.md5(F.nullif(normal_form(col), F.lit("")).cast("binary"))
 
 
 def story_groups(payload: DataFrame, text: str = "article_sentence") -> DataFrame:
-    """Stories told by more than one record: ``story, copies``."""
+    """Stories told by more than one record: ``story, copies``.
+
+    ``count(story)`` is 0 for rows without one, so no filter on the digest is
+    needed; such a filter would compute every digest a second time.
+    """
     return (
         payload.select(story_key(F.col(text)).alias("story"))
-        .filter(F.col("story").isNotNull())
         .groupBy("story")
-        .agg(F.count("*").alias("copies"))
+        .agg(F.count("story").alias("copies"))
         .filter("copies > 1")
     )
 
 
 def similar_summaries(payload: DataFrame, text: str = "article_sentence") -> DataFrame:
-    """Every distinct summary of every repeated story: ``story, event_summary, cnt``."""
-    told = payload.select(story_key(F.col(text)).alias("story"), "event_summary").filter(F.col("story").isNotNull())
-    spread = told.groupBy("story", "event_summary").agg(F.count("*").alias("cnt"))
-    return spread.join(story_groups(payload, text).select("story"), "story", "left_semi")
+    """Every distinct summary of every repeated story: ``story, event_summary, cnt``.
+
+    Stories are told apart on the counted summaries; the rows are digested once.
+    """
+    spread = (
+        payload.select(story_key(F.col(text)).alias("story"), "event_summary")
+        .groupBy("story", "event_summary")
+        .agg(F.count("*").alias("cnt"), F.count("story").alias("_told"))
+        .filter("_told > 0")
+    )
+    repeated = spread.groupBy("story").agg(F.sum("cnt").alias("_n")).filter("_n > 1").select("story")
+    return spread.drop("_told").join(repeated, "story", "left_semi")
 
 
 def duplicate_counts(payload: DataFrame, text: str = "article_sentence") -> DataFrame:

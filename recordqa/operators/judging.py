@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordqa.functions.variants import encode_json, number_at, object_at, string_at
+from recordqa.functions.variants import encode_json, is_object, let, number_at, object_at, string_at
 from recordqa.operators.batching import line_positions, positions
 from recordqa.operators.cost import cost_column, with_routing
 from recordqa.operators.records import check_input_struct, eligible, extract_payload
@@ -197,9 +197,7 @@ def last_answer(answers: DataFrame, keys: tuple[str, ...] = ("call_id", "event_i
 
 def decision_summary(answers: DataFrame, keys: tuple[str, ...] = ("call_id",)) -> DataFrame:
     """Verdict counts per call over the raw answers; whatever is not pass or fail is ``other``."""
-    verdict = F.when(
-        object_at(F.col("result")).isNotNull(), string_at(F.col("result"), "$.result")
-    )
+    verdict = string_at(F.col("result"), "$.result")
     return answers.groupBy(*keys).agg(
         F.count_if(verdict == "pass").alias("pass"),
         F.count_if(verdict == "fail").alias("fail"),
@@ -223,18 +221,18 @@ def default_answer(check_name: Column, event_id: Column) -> Column:
 def finish_answer(answer: Column, check_name: Column, event_id: Column, prompt_version: Column) -> Column:
     """The stored verdict: the answer's object or the default, with the row's own event id,
     and check name and version filled in only where the judge left them out."""
-    given = object_at(answer)
-    filled = F.map_concat(
-        F.map_filter(given, lambda k, _: k != "event_id"),
-        F.create_map(F.lit("event_id"), event_id.cast("variant")),
-        F.map_filter(
-            F.create_map(
-                F.lit("check_name"), check_name.cast("variant"),
-                F.lit("check_version"), prompt_version.cast("variant"),
-            ),
-            lambda k, _: ~F.map_contains_key(given, k),
-        ),
+    absent = F.create_map(
+        F.lit("check_name"), check_name.cast("variant"), F.lit("check_version"), prompt_version.cast("variant")
     )
+
+    def complete(given: Column) -> Column:
+        return F.map_concat(
+            F.map_filter(given, lambda k, _: k != "event_id"),
+            F.create_map(F.lit("event_id"), event_id.cast("variant")),
+            F.map_filter(absent, lambda k, _: ~F.map_contains_key(given, k)),
+        )
+
+    filled = let(object_at(answer), complete)
     return F.to_variant_object(F.coalesce(filled, default_answer(check_name, event_id)))
 
 
@@ -255,7 +253,7 @@ def attach_answers(rows: DataFrame, answers: DataFrame, prompt_version: Column |
 def usage_column(response: Column) -> Column:
     """``usage`` of a response body as VARIANT; an empty object when it is no object."""
     body = F.try_parse_json(response)
-    usage = F.when(object_at(body, "$.usage").isNotNull(), F.try_variant_get(body, "$.usage", "variant"))
+    usage = let(F.try_variant_get(body, "$.usage", "variant"), lambda u: F.when(is_object(u), u))
     return F.coalesce(usage, F.parse_json(F.lit("{}")))
 
 

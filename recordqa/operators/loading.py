@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.functions.ids import audit_fallback, normalise_run_id
-from recordqa.functions.variants import number_at, object_at, string_at
+from recordqa.functions.variants import is_object, let, number_at, string_at
 
 
 def _text_or(value: Column, default: str) -> Column:
@@ -29,15 +29,14 @@ def to_quality_rows(results: DataFrame, first_id: int = 0) -> DataFrame:
     one of the file, whatever the verdict calls itself. Confidence is lenient:
     the column is REAL, so numeric text converts.
     """
-    check = F.when(object_at(F.col("llm_check")).isNotNull(), F.col("llm_check"))
-    rows = results.withColumn("event_id", string_at(check, "$.event_id")).filter(F.col("event_id").isNotNull())
-    return rows.select(
+    check = F.col("llm_check")
+    rows = results.select(
         _row_id(first_id).alias("id"),
         _created().alias("created_at"),
         "prompt_version",
         "prompt_file",
         "model",
-        "event_id",
+        let(check, lambda c: string_at(c, "$.event_id")).alias("event_id"),
         F.try_variant_get(check, "$.result", "string").alias("result"),
         number_at(check, "$.confidence", strict=False).alias("confidence"),
         F.try_variant_get(check, "$.reason", "string").alias("reason"),
@@ -47,18 +46,20 @@ def to_quality_rows(results: DataFrame, first_id: int = 0) -> DataFrame:
         "check_name",
         normalise_run_id(F.col("run_id"), F.col("check_name")).alias("run_id"),
     )
+    # Above the surrogate id the filter is not pushed into the parse, so each line is parsed once.
+    return rows.filter(F.col("event_id").isNotNull())
 
 
 def to_remediation_rows(remediations: DataFrame, first_id: int = 0) -> DataFrame:
     """Warehouse rows of remediations; a missing event id stays null."""
-    failed = F.when(object_at(F.col("failed_check")).isNotNull(), F.col("failed_check"))
+    failed = F.when(is_object(F.col("failed_check")), F.col("failed_check"))
     return remediations.select(
         _row_id(first_id).alias("id"),
         normalise_run_id(F.col("run_id"), F.col("check_name")).alias("run_id"),
         _created().alias("created_at"),
         "check_name",
         "model",
-        string_at(failed, "$.event_id").alias("event_id"),
+        string_at(F.col("failed_check"), "$.event_id").alias("event_id"),
         _text_or(F.to_json(failed), "{}").alias("failed_check_json"),
         _text_or(F.col("remediation"), "null").alias("remediation_json"),
         _text_or(F.col("llm_metrics"), "null").alias("llm_metrics_json"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from recordqa.functions.text import normal_form
+from recordqa.functions.variants import let
 
 # fixed values: bands of the completeness report, and its high-confidence line
 COMPLETE_BELOW = 0.01
@@ -282,22 +283,29 @@ def parse_amount(df: DataFrame, col: str = "amount") -> DataFrame:
     Only forms the rule can read are parsed; others keep nulls and are flagged.
     No exchange rates are applied.
     """
-    part = lambda i: F.nullif(F.lower(F.regexp_extract(F.col(col), _AMOUNT, i)), F.lit(""))
-    lookup = lambda table, key: F.try_element_at(
-        F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key
-    )
-    number = F.regexp_replace(part(2), ",", "").try_cast("double")
-    scale = F.when(part(3).isNull(), F.lit(1.0)).otherwise(lookup(MAGNITUDES, part(3)))
-    currency = F.coalesce(lookup(CURRENCIES, part(1)), lookup(CURRENCIES, part(4)))
-    known = number.isNotNull() & (
-        (part(1).isNull() & part(4).isNull()) | currency.isNotNull()
-    )
-    return df.withColumns(
+    def lookup(table: dict, key: Column) -> Column:
+        return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
+
+    def parsed(match: Column) -> Column:
+        part = lambda i: F.nullif(F.get(match, F.lit(i)), F.lit(""))
+        number = F.replace(part(1), F.lit(","), F.lit("")).try_cast("double")
+        scale = F.when(part(2).isNull(), F.lit(1.0)).otherwise(lookup(MAGNITUDES, part(2)))
+        currency = F.coalesce(lookup(CURRENCIES, part(0)), lookup(CURRENCIES, part(3)))
+        bare = part(0).isNull() & part(3).isNull()
+        return F.when(
+            number.isNotNull() & (bare | currency.isNotNull()),
+            F.struct(number.alias("number"), scale.alias("scale"), currency.alias("currency")),
+        )
+
+    # One match per row: the groups are joined by a character that no amount holds.
+    groups = F.split(F.lower(F.regexp_replace(F.col(col), _AMOUNT, "$1\u001f$2\u001f$3\u001f$4")), "\u001f")
+    found = df.withColumn("_a", let(groups, parsed))
+    return found.withColumns(
         {
-            "amount_number": F.when(known, number),
-            "amount_scale": F.when(known, scale),
-            "amount_value": F.when(known, number * scale),
-            "currency": F.when(known, currency),
-            "amount_parsed": F.coalesce(known, F.lit(False)),
+            "amount_number": F.col("_a.number"),
+            "amount_scale": F.col("_a.scale"),
+            "amount_value": F.col("_a.number") * F.col("_a.scale"),
+            "currency": F.col("_a.currency"),
+            "amount_parsed": F.col("_a").isNotNull(),
         }
-    )
+    ).drop("_a")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordqa.functions.variants import boolean_at, object_at, string_at
+from recordqa.functions.variants import boolean_at, is_object, string_at
 from recordqa.operators.judging import last_answer, response_text
 from recordqa.schema import CORE_RECORD_DDL, REMEDIATION_DECISIONS
 
@@ -14,7 +14,7 @@ DEFAULT_REASONING = "No valid remediation returned for this row."  # fixed value
 def failed_checks(results: DataFrame) -> DataFrame:
     """Result rows whose open ``llm_check`` says fail, with its event id lifted (text ids only)."""
     check = F.col("llm_check")
-    return results.filter(string_at(check, "$.result") == "fail").withColumn(
+    return results.filter(F.try_variant_get(check, "$.result", "string") == "fail").withColumn(
         "event_id", string_at(check, "$.event_id")
     )
 
@@ -64,7 +64,7 @@ def attach_remediations(rows: DataFrame, answers: DataFrame) -> DataFrame:
     ``answers`` has one candidate per row with ``batch_id`` and ``position`` giving the order.
     """
     best = last_answer(answers, ("check_name", "event_id"), ("batch_id", "position"))
-    usable = F.when(object_at(F.col("item")).isNotNull(), F.col("item"))
+    usable = F.when(is_object(F.col("item")), F.col("item"))
     return (
         rows.join(best.select("check_name", "event_id", usable.alias("_item")), ["check_name", "event_id"], "left")
         .withColumn("remediation", F.coalesce(F.col("_item"), default_remediation(F.col("event_id"))))

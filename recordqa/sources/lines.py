@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordqa.functions.text import has_text
-from recordqa.functions.variants import string_at
+from recordqa.functions.variants import let, string_at
 from recordqa.schema import (
     AUDIT_LINE_DDL,
     CHECKS,
@@ -54,14 +54,16 @@ def parse_json_lines(lines: DataFrame, ddl: str, mode: str = "failfast") -> Data
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     parsed = F.from_json("value", f"{ddl}, _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
-    out = lines.withColumn("parsed", parsed)
-    bad = F.col("parsed._bad").isNotNull() & malformed(F.col("value"))
+    bad = lambda p: p["_bad"].isNotNull() & malformed(F.col("value"))
     if mode == "failfast":
+        # The error sits in ``parsed``: every reader uses it, so it cannot be pruned away.
+        kind = lines.select(parsed.alias("p")).schema["p"].dataType.simpleString()
         boom = F.raise_error(F.concat(F.lit("malformed JSON line: "), F.left(F.col("value"), F.lit(200))))
-        return out.withColumn("value", F.when(bad, boom.cast("string")).otherwise(F.col("value")))
+        return lines.withColumn("parsed", let(parsed, lambda p: F.when(bad(p), boom.cast(kind)).otherwise(p)))
+    out = lines.withColumn("parsed", parsed)
     if mode == "drop":
-        return out.filter(~bad)
-    return out.withColumn("is_malformed", bad)
+        return out.filter(~bad(F.col("parsed")))
+    return out.withColumn("is_malformed", bad(F.col("parsed")))
 
 
 def first_lines(lines: DataFrame, max_records: int) -> DataFrame:
