@@ -7,8 +7,10 @@ SQL twins can state the answers directly from the tables.
 from __future__ import annotations
 
 import json
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from recordqa.functions.ids import audit_fallback, model_spec as spec_column, normalise_run_id, run_id_at
@@ -25,6 +27,9 @@ from recordqa.sources.lines import (
 )
 from workload.views import audit_view, flat_records, nested_lines, read, results_view, with_views
 
+# The judges travel to the workers by value, so they need no path there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # ---- stand-in judges ------------------------------------------------------
 def _inputs(request: str):
