@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from recordqa.operators.topk import rank_limit, thin_out
 from recordqa.session import broadcast_if_small, stage_table
 from recordqa.sources.lines import LINE_ORDER
 
@@ -91,8 +92,8 @@ def first_rows(
     """
     if n <= 0:
         raise ValueError("row cap must be positive")
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n < threshold:
+    if n <= rank_limit(df):
         ranked = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n).drop("_rank")
+        few = thin_out(df, n, list(order), by)
+        return few.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n).drop("_rank")
     return positions(df, order, by).filter(F.col("pos") < n).drop("pos")

@@ -75,7 +75,9 @@ def _event_pairs(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
 
 def _run_pair(results: DataFrame, base_version: str, candidate_version: str, ignore_legacy: bool) -> DataFrame:
     latest = latest_run(
-        has_run_key(results).filter(F.col("prompt_version").isin(base_version, candidate_version)),
+        has_run_key(results).filter(
+            F.col("prompt_version").isin(base_version, candidate_version) & F.col("check_name").isin(*CHECKS)
+        ),
         ignore_legacy,
     )
 

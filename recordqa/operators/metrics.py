@@ -46,6 +46,7 @@ def trend(results: DataFrame, granularity: str = "hour", run: str | None = ALL_R
         .filter(F.col("created_at").isNotNull())
         .groupBy(time_bucket(F.col("created_at"), granularity).alias("bucket"), "check_name", "result")
         .agg(F.count("*").alias("cnt"))
+        .orderBy("bucket", "check_name", "result")
     )
 
 
@@ -63,12 +64,13 @@ def trend_wide(trend_rows: DataFrame, checks=CHECKS, verdicts=VERDICTS) -> DataF
         .pivot("_key", names)
         .agg(F.sum("cnt"))
         .fillna(0, subset=names)
+        .orderBy("bucket")
     )
 
 
 def run_ids(results: DataFrame) -> DataFrame:
-    """Distinct run ids; order them descending to list the newest first."""
-    return results.select("run_id").filter(F.col("run_id").isNotNull()).distinct()
+    """Distinct run ids, newest first."""
+    return results.select("run_id").filter(F.col("run_id").isNotNull()).distinct().orderBy(F.desc("run_id"))
 
 
 def latest_run_id(results: DataFrame, ignore_legacy: bool = False):
@@ -87,7 +89,8 @@ def failures_by_check(
         rows = results.filter(F.col("run_id") == latest_run_id(results, ignore_legacy))
     else:
         rows = for_run(results, run)
-    return failed(rows).groupBy("check_name").agg(F.count("*").alias("cnt"))
+    counts = failed(rows).groupBy("check_name").agg(F.count("*").alias("cnt"))
+    return counts.orderBy(F.desc("cnt"), "check_name")
 
 
 def failures_total(by_check: DataFrame) -> DataFrame:

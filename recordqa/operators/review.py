@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from recordqa.operators.topk import top_k
 from recordqa.schema import CHECKS, HUMAN_LABELS, TRUTH_FAIL_LABELS
 
 ALL_RUNS = "ALL"
@@ -63,11 +64,9 @@ def review_queue(results: DataFrame, labels: DataFrame, check_name: str, n: int
         "source_record_json",
         "created_at",
     )
-    return (
-        unreviewed(results.filter(F.col("check_name") == check_name), labels)
-        .orderBy(F.desc("created_at"), "id")
-        .limit(n)
-        .select(F.col("id").alias("quality_result_id"), *[c for c in wanted if c in results.columns])
+    waiting = unreviewed(results.filter(F.col("check_name") == check_name), labels)
+    return top_k(waiting, n, F.desc("created_at"), F.asc("id")).select(
+        F.col("id").alias("quality_result_id"), *[c for c in wanted if c in results.columns]
     )
 
 
@@ -100,7 +99,8 @@ def labelled_set(labels: DataFrame, results: DataFrame) -> DataFrame:
 
 def label_distribution(joined: DataFrame, run: str | None = ALL_RUNS) -> DataFrame:
     """Labels per (check of the result, label)."""
-    return for_run(joined, run).groupBy("check_name", "human_label").agg(F.count("*").alias("cnt"))
+    counts = for_run(joined, run).groupBy("check_name", "human_label").agg(F.count("*").alias("cnt"))
+    return counts.orderBy(F.desc("cnt"), "check_name", "human_label")
 
 
 def review_totals(joined: DataFrame, run: str | None = ALL_RUNS) -> DataFrame:
@@ -113,7 +113,8 @@ def review_totals(joined: DataFrame, run: str | None = ALL_RUNS) -> DataFrame:
 def by_reviewer(joined: DataFrame, run: str | None = ALL_RUNS) -> DataFrame:
     """Labels per reviewer; the row count is the number of active reviewers."""
     name = F.coalesce(F.col("reviewer"), F.lit("unknown"))
-    return for_run(joined, run).groupBy(name.alias("reviewer")).agg(F.count("*").alias("cnt"))
+    counts = for_run(joined, run).groupBy(name.alias("reviewer")).agg(F.count("*").alias("cnt"))
+    return counts.orderBy(F.desc("cnt"), "reviewer")
 
 
 def active_reviewers(joined: DataFrame, run: str | None = ALL_RUNS) -> DataFrame:
@@ -135,7 +136,8 @@ def export_totals(labels: DataFrame) -> DataFrame:
 
 def export_breakdown(labels: DataFrame) -> DataFrame:
     """Labels per (the label's own check, label); orphans stay in."""
-    return labels.groupBy("check_name", "human_label").agg(F.count("*").alias("count"))
+    counts = labels.groupBy("check_name", "human_label").agg(F.count("*").alias("count"))
+    return counts.orderBy("check_name", F.desc("count"), "human_label")
 
 
 def recent_reviews(joined: DataFrame, run: str | None = ALL_RUNS, n: int = 200) -> DataFrame:

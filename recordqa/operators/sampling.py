@@ -6,11 +6,12 @@ import secrets
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from recordqa.operators.topk import top_k
 from recordqa.session import broadcast_if_small
 from recordqa.sources.lines import LINE_ORDER
 
-# Largest sample taken by plain top-k; beyond it no single task may hold the sample.
-TOP_K_LIMIT = 100_000
+# Largest sample taken by top-k; beyond it no single task may hold the sample.
+TOP_K_LIMIT = 1_000
 
 
 def sample_records(
@@ -29,7 +30,7 @@ def sample_records(
     ticket = F.md5(F.concat_ws("~", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]).cast("binary"))
     drawn = lines.withColumn("_ticket", ticket)
     if n <= TOP_K_LIMIT:
-        return drawn.orderBy("_ticket", *key).limit(n).drop("_ticket")
+        return top_k(drawn, n, "_ticket", *key).drop("_ticket")
     return _large_sample(drawn, n, key).drop("_ticket")
 
 

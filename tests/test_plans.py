@@ -58,7 +58,7 @@ def test_scorecard_reads_no_wide_columns(spark, sf_dir, qr):
 
 def test_sample_is_a_top_k(spark, sf_dir):
     text = plan(sample_records(read(spark, sf_dir, "documents"), 10, seed=1, key=("doc_id",)))
-    assert "TakeOrderedAndProject" in text and "Exchange" not in text
+    assert "TakeOrderedAndProject" in text and text.count("WindowGroupLimit") == 2
 
 
 def test_profiles_aggregate_partially(spark, sf_dir):
