@@ -155,7 +155,8 @@ def relationships(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     single = F.try_variant_get(F.col("_doc"), "$.data", target)
     targets = F.coalesce(listed, F.when(single.isNotNull(), F.array(single)))
     return (
-        records.select(*keep, event["id"].alias("event_id"), F.explode(event["relationships"]).alias("rel", "_doc"))
-        .select(*keep, "event_id", "rel", F.explode(targets).alias("_t"))
+        records.select(*keep, event["id"].alias("event_id"), F.explode_outer(event["relationships"]).alias("rel", "_doc"))
+        .select(*keep, "event_id", "rel", F.explode_outer(targets).alias("_t"))
+        .filter(F.col("_t").isNotNull())
         .select(*keep, "event_id", "rel", F.col("_t.id").alias("target_id"), F.col("_t.type").alias("target_type"))
     )

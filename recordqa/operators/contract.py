@@ -93,7 +93,8 @@ def evidence_spans(results: DataFrame) -> DataFrame:
     """One row per evidence span of a verdict: ``span_text``, ``source_field``."""
     spans = _array(F.col("llm_check"), "$.evidence_spans")
     return (
-        results.select("*", F.posexplode(spans).alias("span_pos", "_s"))
+        results.select("*", F.posexplode_outer(spans).alias("span_pos", "_s"))
+        .filter(F.col("span_pos").isNotNull())
         .withColumns({"span_text": string_at(F.col("_s"), "$.text"), "source_field": string_at(F.col("_s"), "$.source_field")})
         .drop("_s", "llm_check")
     )
@@ -142,7 +143,8 @@ def ungrounded_spans(results: DataFrame, payload: DataFrame) -> DataFrame:
     )
     loose = F.filter(spans, lambda s: ~_yes(F.contains(haystack(s["source_field"]), s["span_text"])))
     keep = [c for c in results.columns if c != "llm_check"]
-    return joined.select(*keep, F.explode(loose).alias("_s")).select(*keep, "_s.*")
+    found = joined.select(*keep, F.explode_outer(loose).alias("_s")).filter(F.col("_s").isNotNull())
+    return found.select(*keep, "_s.*")
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -18,7 +18,7 @@ from recordqa.operators.batching import line_positions, positions
 from recordqa.operators.cost import cost_column, with_routing
 from recordqa.operators.records import check_input_struct, eligible, extract_payload
 from recordqa.schema import CHECKS, PAYLOAD_FIELDS, PROVIDERS
-from recordqa.session import broadcast_if_small, stage_table
+from recordqa.session import pin, stage_table
 from recordqa.sources.lines import LINE_ORDER
 
 USER_TURN = (
@@ -42,7 +42,8 @@ def record_batches(
     """
     if size <= 0:
         raise ValueError("batch size must be positive")
-    flat = eligible(extract_payload(records, (*order, F.col("value").alias("source_record"))))
+    payload = extract_payload(records, (*order, F.col("value").alias("source_record")))
+    flat = eligible(pin(payload))
     numbered = line_positions(flat) if from_scan else positions(stage_table(flat, "payload"), order)
     member = F.struct("pos", "source_record", *PAYLOAD_FIELDS)
     batches = numbered.groupBy(F.floor(F.col("pos") / F.lit(size)).cast("bigint").alias("batch_id")).agg(
@@ -83,13 +84,14 @@ def build_requests(
     fanned = batches.select(
         "batch_id", F.size("members").cast("bigint").alias("n_rows"), F.explode(F.array(*per_check)).alias("x")
     ).select("batch_id", "n_rows", "x.*")
-    meta = prompts.select(
+    # One latest prompt per base, and only the bases of the closed check list: a handful of rows.
+    meta = prompts.filter(F.col("base").isin(*CHECKS)).select(
         F.col("base").alias("check_name"),
         F.col("version").alias("prompt_version"),
         F.col("file").alias("prompt_file"),
         F.col("text").alias("prompt"),
     )
-    routed = with_routing(fanned, routing).join(broadcast_if_small(meta, 1000), "check_name")
+    routed = with_routing(fanned, routing).join(F.broadcast(meta), "check_name")
     return routed.select(
         F.concat_ws("/", F.lit(run_id), "check_name", F.col("batch_id").cast("string")).alias("call_id"),
         F.lit(run_id).alias("run_id"),
@@ -166,7 +168,10 @@ def unpack(responses: DataFrame, provider: Column | str, mode: str = "failfast")
         parsed = parsed.withColumn(
             "_answers", F.when(bad, boom.cast("array<variant>")).otherwise(F.col("_answers"))
         )
-        rows = parsed.select("call_id", F.posexplode("_answers").alias("position", "_a"))
+        # Outer, then filtered: an inner explode would have the array computed a second time to test its size.
+        rows = parsed.select("call_id", F.posexplode_outer("_answers").alias("position", "_a")).filter(
+            F.col("position").isNotNull()
+        )
         flag: list[Column] = []
     else:
         rows = parsed.select("call_id", bad.alias("is_invalid"), F.posexplode_outer("_answers").alias("position", "_a"))

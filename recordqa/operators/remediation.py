@@ -54,8 +54,8 @@ def unpack_remediations(calls: DataFrame, provider: str = "openai") -> DataFrame
     return calls.select(
         "check_name",
         "batch_id",
-        F.posexplode(F.try_variant_get(body, "$.results", "array<variant>")).alias("position", "item"),
-    ).select("check_name", "batch_id", "position", string_at(F.col("item"), "$.event_id").alias("event_id"), "item")
+        F.posexplode_outer(F.try_variant_get(body, "$.results", "array<variant>")).alias("position", "item"),
+    ).filter(F.col("position").isNotNull()).select("check_name", "batch_id", "position", string_at(F.col("item"), "$.event_id").alias("event_id"), "item")
 
 
 def attach_remediations(rows: DataFrame, answers: DataFrame) -> DataFrame:

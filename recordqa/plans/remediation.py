@@ -23,7 +23,7 @@ from recordqa.operators.remediation import (
     remediation_item,
     unpack_remediations,
 )
-from recordqa.session import stage_table
+from recordqa.session import pin, stage_table
 from recordqa.sources.lines import LINE_ORDER
 
 PROMPT_VERSION = "v1"  # fixed value of the audit contract
@@ -63,10 +63,12 @@ def run_remediation(
     if max_rows_per_check is not None and max_rows_per_check <= 0:
         raise ValueError("max_rows_per_check must be positive")
     run_id = run_id or new_run_id()
-    rows = failed_checks(results).select("check_name", *order, "event_id", "source_record", "llm_check")
+    rows = failed_checks(pin(results)).select("check_name", *order, "event_id", "source_record", "llm_check", "_pin")
     if max_rows_per_check is not None:
         rows = first_rows(rows, max_rows_per_check, order, ("check_name",))
-    rows = batch_ids(rows, chunk, order, ("check_name",))
+    # Parsed once, numbered once; requests, shares and the output all read the numbered copy.
+    rows = batch_ids(stage_table(rows, "failed").drop("_pin"), chunk, order, ("check_name",))
+    rows = stage_table(rows, "remediation-rows")
 
     # VARIANT cannot be sorted, so members travel as text and become items after the sort.
     member = F.struct("pos", "event_id", "source_record", F.to_json("llm_check").alias("failed_check"))

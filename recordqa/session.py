@@ -55,6 +55,16 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pin(df: DataFrame) -> DataFrame:
+    """Adds ``_pin``, which keeps later filters above the columns computed so far.
+
+    Catalyst pushes a filter below a projection by repeating the projected
+    expression; over a JSON parse that doubles the work. It does not push past a
+    row id, as long as the id is part of what is written.
+    """
+    return df.withColumn("_pin", F.monotonically_increasing_id())
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after counting; past the bound the join stays a shuffle join."""
     if df.limit(max_rows + 1).count() <= max_rows:
