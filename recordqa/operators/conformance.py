@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordqa.functions.variants import is_object, let, variant_type
+from recordqa.functions.variants import is_object, let
 from recordqa.schema import EVENT_INT_FIELDS, EVENT_STRING_FIELDS, EVENT_TAG_FIELDS
 
 # fixed values: required event attributes and the JSON types they accept
@@ -23,36 +23,37 @@ COMPANY_STRINGS = ("domain", "company_name", "ticker")
 ARTICLE_STRINGS = ("author", "body", "image_url", "url", "title")
 
 
-def _fits(value: Column, path: str, kind: str) -> Column:
-    """Whether the non-null value at ``path`` converts to ``kind``."""
-    got = variant_type(value, path)
+def _fits(value: Column, got: Column, kind: str) -> Column:
+    """Whether a non-null value of JSON type ``got`` converts to ``kind``."""
     if kind == "STRING":
         return got == "STRING"
     if kind == "TAGS":
-        return F.try_variant_get(value, path, "array<string>").isNotNull() & got.rlike("^ARRAY<(STRING|VOID)?>$")
+        return got.isin("ARRAY<STRING>", "ARRAY<VOID>", "ARRAY<>")
     if kind == "OBJECTS":
-        items = F.try_variant_get(value, path, "array<variant>")
-        return items.isNotNull() & F.forall(items, is_object)
+        return F.forall(F.try_variant_get(value, "$", "array<variant>"), is_object)
     if kind == "OBJECT":
         return got.startswith("OBJECT")
     target = {"NUMBER": "double", "BOOLEAN": "boolean", "BIGINT": "bigint"}.get(kind)
     if target:
-        return F.try_variant_get(value, path, target).isNotNull()
-    text = F.try_variant_get(value, path, "string")
+        return F.try_variant_get(value, "$", target).isNotNull()
+    text = F.try_variant_get(value, "$", "string")
     parsed = F.try_to_timestamp(text) if kind == "TIMESTAMP" else text.try_cast("date")
     return parsed.isNotNull()
 
 
-def _present(value: Column, path: str) -> Column:
-    got = variant_type(value, path)
-    return got.isNotNull() & (got != "VOID")
-
-
 def _field_rules(value: Column, field: str, path: str, kind: str, required: bool) -> Column:
-    present = _present(value, path)
-    absent = F.when(~present, F.lit("missing")) if required else F.lit(None)
-    problem = F.when(present & ~F.coalesce(_fits(value, path, kind), F.lit(False)), F.lit("type")).otherwise(absent)
-    return F.when(problem.isNotNull(), F.struct(F.lit(field).alias("field"), problem.alias("rule")))
+    """The violation of one field, or null. The field is looked up once."""
+    broken = lambda rule: F.struct(F.lit(field).alias("field"), F.lit(rule).alias("rule"))
+    absent = broken("missing") if required else F.lit(None)
+
+    def judged(found: Column) -> Column:
+        got = F.schema_of_variant(found)
+        return (
+            F.when(F.coalesce(got, F.lit("VOID")) == "VOID", absent)
+            .when(~F.coalesce(_fits(found, got, kind), F.lit(False)), broken("type"))
+        )
+
+    return let(F.try_variant_get(value, path, "variant"), judged)
 
 
 def _resource_rules(value: Column, type_name: str) -> list[Column]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordqa.functions.variants import encode_json, is_object, let, number_at, object_at, string_at
 from recordqa.operators.batching import line_positions, positions
@@ -26,7 +26,6 @@ USER_TURN = (
     '{"results":[{"event_id":"string","result":{}}]}, one entry per record.\n\nINPUT:\n'
 )
 DEFAULT_REASON = "No valid model result returned for this row."  # fixed value
-RESPONSE_DDL = "call_id STRING, response STRING, latency_ms DOUBLE"
 
 
 # ---- requests -------------------------------------------------------------
@@ -112,9 +111,11 @@ Judge = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def judge(requests: DataFrame, fn: Judge | None = None, factory: Callable[[], Judge] | None = None) -> DataFrame:
-    """Apply a judge to request rows: ``call_id, response, latency_ms``.
+    """Apply a judge to request rows: the rows plus ``response`` and ``latency_ms``.
 
-    Not deterministic and not free: stage the result before reading it twice.
+    The request columns pass through the same batch, so answers need no join back.
+    A judge that leaves a call unanswered fails the task. Not deterministic and not
+    free: stage the result before reading it twice.
     """
     if (fn is None) == (factory is None):
         raise ValueError("give either fn or factory")
@@ -122,10 +123,14 @@ def judge(requests: DataFrame, fn: Judge | None = None, factory: Callable[[], Ju
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = fn if factory is None else factory()
         for pdf in batches:
-            yield call(pdf)[["call_id", "response", "latency_ms"]]
-
-    narrow = requests.select("call_id", "check_name", "model_spec", "request")
-    return narrow.mapInPandas(run, RESPONSE_DDL)
+            answers = call(pdf[["call_id", "check_name", "model_spec", "request"]])
+            answers = answers[["call_id", "response", "latency_ms"]]
+            if sorted(answers["call_id"]) != sorted(pdf["call_id"]):
+                raise ValueError("the judge must answer every call exactly once")
+            yield pdf.merge(answers, on="call_id")
+
+    added = [T.StructField("response", T.StringType()), T.StructField("latency_ms", T.DoubleType())]
+    return requests.mapInPandas(run, T.StructType([*requests.schema.fields, *added]))
 
 
 # ---- answers --------------------------------------------------------------

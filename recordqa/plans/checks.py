@@ -61,10 +61,11 @@ def run_checks(
         batches, latest_prompts(prompts), routing_table(routing), run_id, max_body_chars
     )
     if responses is None:
-        # The request is kept beside its answer: the audit needs both, and the judge must run once.
-        requests = stage_table(requests, "requests")
-        responses = stage_table(apply_judge(requests, judge, factory), "responses")
-    calls = with_call_metrics(requests.join(responses, "call_id"))
+        judged = stage_table(apply_judge(requests, judge, factory), "judged")
+        responses = judged.select("call_id", "response", "latency_ms")
+    else:
+        judged = requests.join(responses.select("call_id", "response", "latency_ms"), "call_id")
+    calls = with_call_metrics(judged)
     return CheckRun(run_id, _results(batches, calls, run_id), call_audit(calls), responses)
 
 

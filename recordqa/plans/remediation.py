@@ -102,9 +102,7 @@ def run_remediation(
             ).alias("request"),
         )
     )
-    requests = stage_table(requests, "remediation-requests")
-    responses = stage_table(apply_judge(requests, judge, factory), "remediation-responses")
-    calls = with_call_metrics(requests.join(responses, "call_id"))
+    calls = with_call_metrics(stage_table(apply_judge(requests, judge, factory), "remediation-judged"))
 
     answers = unpack_remediations(calls)
     last_batch = (

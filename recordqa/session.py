@@ -42,16 +42,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written.
 
     Used where two consumers must see the same rows (numbering, judge answers):
     recomputation could differ or cost money. Parquet rather than a checkpoint,
-    so each consumer reads only the columns it needs.
+    so each consumer reads only the columns it needs, and with ``by`` only the
+    values of that column it needs.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/recordqa/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

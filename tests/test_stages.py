@@ -187,6 +187,9 @@ def test_judge_factory_is_opened_per_task(spark):
     assert judging.judge(requests, factory=factory).count() == 8
     with pytest.raises(ValueError):
         judging.judge(requests)
+    silent = lambda pdf: pd.DataFrame({"call_id": pdf["call_id"][:0], "response": [], "latency_ms": []})
+    with pytest.raises(Exception, match="answer every call"):
+        judging.judge(requests, silent).count()
 
 
 def test_sampling(spark, input_dir, tmp_path):

@@ -248,7 +248,7 @@ def cost_attribution(spark, sf):
     )
     calls = turns.groupBy("call_id").agg(F.sum("latency_ms").alias("latency_ms"), F.sum("cost_usd").alias("cost_usd"))
     out = cost.attribute_call(calls, turns.select("turn_id", "call_id"))
-    return out.withColumns({c: F.round(c, 9) for c in ("latency_ms_per_row", "cost_usd_per_row")})
+    return out.withColumns({c: F.round(c, 12) for c in ("latency_ms_per_row", "cost_usd_per_row")})
 
 
 def routing(spark, sf):
@@ -588,8 +588,8 @@ from bt b left join (select * from {_LAST} where r = 1) a using (call_id, event_
     "processed_ids": with_views("select distinct event_id from qr where event_id is not null", "qr"),
     "call_cost": with_views(f"select call_id, round({_AU_COST}, 9) cost_usd from au", "au"),
     "cost_attribution": with_views(f"""
-select call_id turn_id, call_id // 1000 call_id, round(sum(latency_ms) over w / count(*) over w, 9) latency_ms_per_row,
-  round(sum(cost) over w / count(*) over w, 9) cost_usd_per_row
+select call_id turn_id, call_id // 1000 call_id, round(sum(latency_ms) over w / count(*) over w, 12) latency_ms_per_row,
+  round(sum(cost) over w / count(*) over w, 12) cost_usd_per_row
 from (select *, {_AU_COST} cost from au) window w as (partition by call_id // 1000)""", "au"),
     "routing": with_views(
         "select id, case check_name when 'semantic_accuracy' then 'openai:gpt-4o-mini' when 'entity_resolution' then "
