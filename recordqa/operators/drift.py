@@ -29,8 +29,12 @@ def last_per_event(results: DataFrame, order: tuple[str, ...] = ("created_at", "
 
 
 def latest_run(results: DataFrame, ignore_legacy: bool = False) -> DataFrame:
-    """Highest run id per (check, version), compared as text."""
-    rows = results.filter(F.col("run_id").isNotNull())
+    """Highest run id per (check, version), compared as text.
+
+    Distinct keys come first: they collapse in a hash map, while a maximum over
+    text would sort every row.
+    """
+    rows = results.filter(F.col("run_id").isNotNull()).select(*RUN_KEY).distinct()
     if ignore_legacy:
         rows = rows.filter(~F.col("run_id").startswith("legacy_"))
     return rows.groupBy("check_name", "prompt_version").agg(F.max("run_id").alias("run_id"))
@@ -261,7 +265,8 @@ def drift_examples_screen(
         F.struct(*order).alias("_at"),
     )
     base, cand = rows.filter("is_base"), rows.filter("is_candidate")
-    verdicts = cand.groupBy("check_name", "event_id").agg(
+    seen = cand.select("check_name", "event_id", "result").distinct()
+    verdicts = seen.groupBy("check_name", "event_id").agg(
         F.min("result").alias("_lo"), F.max("result").alias("_hi"), F.bool_or(F.col("result").isNull()).alias("_null")
     )
     own = F.col("result")
