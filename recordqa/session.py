@@ -31,11 +31,12 @@ def build_session(app_name: str = "recordqa", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared scratch folder of the session, set only when it is unset."""
+    """The shared scratch folder the session names; set here only where it is unset, on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="recordqa-")
     spark.sparkContext.setCheckpointDir(folder)

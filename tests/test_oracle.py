@@ -5,7 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from workload.compare import compare, duck
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+OWN = [m for m in entry.MODULES if m.__name__.startswith("workload.")]
+QUERIES = {name: fn for m in OWN for name, fn in m.QUERIES.items()}
+ORACLE = {name: sql for m in OWN for name, sql in m.ORACLE.items()}
 
 
 @pytest.fixture(scope="module")
