@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordqa.llm import mixing, secrets, simhash, warc
+from recordqa.llm import mixing, secrets, simhash, tiling, toxicity, warc
 from recordqa.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -36,7 +41,19 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op3_warc": op3_warc, "op6_mixing": op6_mixing, "op8_secrets": op8_secrets}
+def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("k1").alias("doc_id"), F.col("item").alias("item_id"), "n_tiles", "covered", "item_tokens", "coverage")
+
+
+QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
+    "op4_toxicity": op4_toxicity,
+    "op6_mixing": op6_mixing,
+    "op8_secrets": op8_secrets,
+    "op10_tiling": op10_tiling,
+}
 
 ORACLE = {
     "op6_mixing": r"""
