@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordqa.llm import mixing, secrets, simhash, tiling, toxicity, warc
+from recordqa.llm import language, mixing, secrets, simhash, tiling, toxicity, warc
 from recordqa.llm.common import table
 
 
@@ -29,6 +29,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: their source is the host; they declare nothing. Their lang column trains the text model only."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs), F.col("text"), host=F.col("source"), keep=["doc_id"])
+
+
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: text, declared language, address suffix and host, with the text model of the documents."""
+    html, pages = F.col("html"), table(spark, sf_dir, "pages")
+    return language.identify(
+        pages, language.fit(table(spark, sf_dir, "documents")), language.page_text(html),
+        language.page_declared(html), language.page_host(F.col("url")), keep=["page_id"],
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     return found.select(
@@ -51,6 +66,8 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
     "op6_mixing": op6_mixing,
+    "op7_language": op7_language,
+    "language_of_pages": language_of_pages,
     "op8_secrets": op8_secrets,
     "op10_tiling": op10_tiling,
 }
