@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordqa.llm import language, mixing, secrets, simhash, tiling, toxicity, warc
+from recordqa.llm import embeddings, language, mixing, secrets, simhash, tiling, toxicity, warc
 from recordqa.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
+    "op5_embeddings": op5_embeddings,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
     "language_of_pages": language_of_pages,
