@@ -57,9 +57,29 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns the scan: cuts lineage, survives lost executors."""
-    return stage_table(df, f"llm/{name}")
+#: Frees the shuffle files of an execution when it ends (Spark 4.1; unknown to older sessions, which then keep them).
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Writes ``df`` to the shared folder and returns the scan: cuts lineage, survives lost executors.
+
+    What was shuffled to write it is not needed again, so its files go when it is written.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return stage_table(df, f"llm/{name}", by)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def empty(*frames: DataFrame) -> None:
+    """Frees the files of staged tables that have no reader left, by overwriting them with no rows."""
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -69,15 +89,6 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/recordqa/llm/{name}-{uuid.uuid4().hex}"
 
 
-def remove(spark: SparkSession, *frames: DataFrame) -> None:
-    """Deletes the files of staged tables that have no reader left."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    folders = {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(hadoop).delete(path, True)
-
-
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of undirected edges (a, b): node, component (its smallest node).
 
@@ -98,8 +109,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             if hooks.join(up, "b", "left_semi").isEmpty():
                 break
             longer = hooks.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b"))
-            hooks, old = stage(longer, f"{name}-hooks"), hooks
-            remove(spark, old)
+            hooks = stage(longer, f"{name}-hooks")
         ends = hooks.select(F.col("a").alias("node"), F.col("b").alias("component"))
         if done is None:
             done = ends
@@ -114,7 +124,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         )
         new = moved.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
         left, old = stage(new, f"{name}-edges"), left
-        remove(spark, old)
+        empty(old)
     if done is None:
         kind = dict(edges.dtypes)["a"]
         return spark.createDataFrame([], f"node {kind}, component {kind}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordqa.llm import embeddings, language, mixing, secrets, simhash, tiling, toxicity, warc
+from recordqa.llm import embeddings, language, mixing, secrets, simhash, suffixes, tiling, toxicity, warc
 from recordqa.llm.common import table
 
 
@@ -60,6 +60,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("k1").alias("doc_id"), F.col("item").alias("item_id"), "n_tiles", "covered", "item_tokens", "coverage")
@@ -74,6 +78,7 @@ QUERIES = {
     "op7_language": op7_language,
     "language_of_pages": language_of_pages,
     "op8_secrets": op8_secrets,
+    "op9_suffixes": op9_suffixes,
     "op10_tiling": op10_tiling,
 }
 

@@ -91,3 +91,27 @@ def secrets(text, scope=400):
     join = lambda spans: ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(spans))
     count = lambda kind: sum(b[2] == kind for b in base)
     return count("assign"), count("access"), count("hex"), hashlib.sha256(join(base).encode()).hexdigest(), join(base + more)
+
+
+def repeats(texts, length=400):
+    """(n_bytes, n_removed, n_spans, kept sha256) of each text, by a table of all strings."""
+    datas = [(t or "").encode() for t in texts]
+    places: dict = {}
+    for n, data in enumerate(datas):
+        for i in range(len(data) - length + 1):
+            key = hashlib.blake2b(data[i : i + length], digest_size=16).digest()
+            places[key] = (n, i) if key not in places else None
+    out = []
+    for n, data in enumerate(datas):
+        gone = bytearray(len(data))
+        until = 0
+        for i in range(len(data) - length + 1):
+            key = hashlib.blake2b(data[i : i + length], digest_size=16).digest()
+            if places[key] is None:
+                start = max(i, until)
+                gone[start : i + length] = b"\x01" * (i + length - start)
+                until = i + length
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        spans = sum(1 for j in range(len(gone)) if gone[j] and (j == 0 or not gone[j - 1]))
+        out.append((len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
