@@ -4,10 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordqa.llm import embeddings, language, mixing, secrets, simhash, suffixes, tiling, toxicity, warc
+from recordqa.llm import embeddings, language, mixing, secrets, simhash, suffixes, tiling, toxicity, url_lists, warc
 from recordqa.llm.common import table
 
 
+def _number(text, of: int):
+    """A number below ``of`` that MD5 draws from a text."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % of
+
+
+def op1_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are the pages, fetched on a day drawn from the id; every pattern of their URLs has a history of four
+    events in each of two lists, with days and actions drawn from the pattern."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", _number(F.concat(F.lit("fetch:"), F.coalesce(F.col("page_id").cast("string"), F.lit(""))), 3650))
+    seen = pages.select(F.explode(url_lists.patterns_of(F.col("url"))).alias("pattern")).distinct()
+    name = F.concat_ws(":", "list", "pattern", F.col("n").cast("string"))
+    events = (
+        seen.withColumn("list", F.explode(F.array(F.lit("block"), F.lit("allow"))))
+        .withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(4))))
+        .select("list", "pattern", _number(name, 3650).alias("at"), F.when(_number(F.concat(F.lit("act:"), name), 3) > 0, "add").otherwise("remove").alias("action"))
+    )
+    return url_lists.evaluate(captures, events)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), n_words=4, max_bits=4)
 
@@ -70,6 +90,7 @@ def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_lists": op1_url_lists,
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
@@ -83,6 +104,38 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_url_lists": r"""
+        WITH parsed AS (
+          SELECT page_id, CAST('0x' || substr(md5('fetch:' || coalesce(CAST(page_id AS VARCHAR), '')), 1, 8) AS BIGINT) % 3650 AS fetched,
+                 nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/:?#]+)', 1)), '\.$', ''), '') AS host,
+                 string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') AS steps,
+                 row_number() OVER () AS row
+          FROM pages),
+        keys AS (
+          SELECT *, list_distinct(list_concat(
+                   list_transform(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1),
+                                  lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+                   list_transform(range(2, len(steps)),
+                                  lambda n: host || '/' || lower(array_to_string(steps[2:n], '/')) || '/'))) AS patterns
+          FROM parsed WHERE host IS NOT NULL),
+        wanted AS (SELECT row, fetched, unnest(patterns) AS pattern FROM keys),
+        events AS (
+          SELECT DISTINCT list, pattern,
+                 CAST('0x' || substr(md5(list || ':' || pattern || ':' || n), 1, 8) AS BIGINT) % 3650 AS at_day,
+                 CASE WHEN CAST('0x' || substr(md5('act:' || list || ':' || pattern || ':' || n), 1, 8) AS BIGINT) % 3 > 0
+                      THEN 'add' ELSE 'remove' END AS action
+          FROM (SELECT DISTINCT pattern FROM wanted), (VALUES ('block'), ('allow')) l(list), range(1, 5) r(n)),
+        spans AS (
+          SELECT *, lead(at_day) OVER (PARTITION BY list, pattern ORDER BY at_day, action) AS until FROM events),
+        active AS (
+          SELECT w.row, s.list, s.pattern,
+                 row_number() OVER (PARTITION BY w.row ORDER BY length(s.pattern) DESC, s.list <> 'allow', s.pattern, s.list) AS place,
+                 count(*) OVER (PARTITION BY w.row) AS n
+          FROM wanted w JOIN spans s ON w.pattern = s.pattern AND s.action = 'add'
+            AND s.at_day <= w.fetched AND (s.until IS NULL OR w.fetched < s.until))
+        SELECT p.page_id, p.fetched, coalesce(a.n, 0) AS n_active, coalesce(a.list, 'none') AS decision, a.pattern
+        FROM parsed p LEFT JOIN active a ON p.row = a.row AND a.place = 1
+    """,
     "op6_mixing": r"""
         WITH sized AS (
           SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size

@@ -96,8 +96,8 @@ def linked(parts: DataFrame, weak: str, anchors: tuple[str, ...], scope: int) ->
     return both.where(gap <= scope).select("k1", "k2", "start", "rank", "kind", "end").distinct()
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE_CHARS) -> DataFrame:
-    """One row per document: id, n_assign, n_access, n_hex, base (spans), spans (base and linked).
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE_CHARS, with_key: bool = False) -> DataFrame:
+    """One row per document: id (``with_key``: also k1, k2, the id as text and the text's hash), n_assign, n_access, n_hex, base (spans), spans (base and linked).
 
     Spans are arrays of (start, rank, kind, end), sorted. Base kinds are reported always. An
     opaque string is reported if an access identifier stands within ``scope`` characters and no
@@ -129,7 +129,21 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     extra = more.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "rank", "kind", "end")).alias("extra"))
     return rows.join(extra, ["k1", "k2"], "left").select(
         F.col("id").alias(id_col),
+        *(("k1", "k2") if with_key else ()),
         *[F.size(k).cast("long").alias(f"n_{k}") for k, _ in BASE],
         "base",
         F.array_sort(F.when(F.col("extra").isNull(), F.col("base")).otherwise(F.concat("base", "extra"))).alias("spans"),
     )
+
+
+def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
+    """The text with every maximal run of overlapping spans replaced by ``mask``."""
+
+    def step(acc: Column, s: Column) -> Column:
+        ahead = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        new = F.struct(s["end"].alias("at"), F.concat(acc["out"], ahead, F.lit(mask)).alias("out"))
+        grown = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
+        return F.when((s["start"] >= acc["at"]), new).otherwise(grown)
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
