@@ -95,8 +95,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Contraction: every node hooks to its smallest smaller neighbour, hooks are followed to
     their roots by pointer doubling, and edges are rewritten between roots, until none is
     left. Each round is an aggregation with map-side combining and joins with a side that is
-    unique by key, so a hub costs one row per task and skewed joins can be split. Nodes
-    without an edge to another node are not returned; null ends are ignored.
+    unique by key, so a hub costs one row per task and skewed joins can be split. A smallest
+    node is its own component and not returned, like nodes without an edge to another one;
+    null ends are ignored.
     """
     spark = edges.sparkSession
     hi, lo = F.greatest("a", "b"), F.least("a", "b")

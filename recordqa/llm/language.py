@@ -77,7 +77,7 @@ class Scorer:
             rows = self.rows
             ids = [rows[w] if w in rows else self._row(w) for w in part]
             total += self.table[ids].sum(axis=0)
-        if words:
+        if words and self.model.langs:
             total = np.maximum(TEMPER * (total - total.max()), -MOST)
         return total, len(words)
 
