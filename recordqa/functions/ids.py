@@ -43,17 +43,6 @@ def version_number(version: Column) -> Column:
     return F.coalesce(F.regexp_replace(version, "^v+", "").try_cast("int"), F.lit(0))
 
 
-def parse_model_spec(spec: str) -> tuple[str, str]:
-    """Driver-side split of ``provider:model``; the provider defaults to the first known one."""
-    head, sep, tail = spec.partition(":")
-    provider, model = (head.strip().lower(), tail.strip()) if sep else (PROVIDERS[0], spec.strip())
-    if provider not in PROVIDERS:
-        raise ValueError(f"unknown provider {provider!r}; use one of {', '.join(PROVIDERS)}")
-    if not model:
-        raise ValueError(f"model spec without a model: {spec!r}")
-    return provider, model
-
-
 def model_spec(spec: Column, strict: bool = True) -> Column:
     """Struct ``(provider, model)`` of a spec column.
 

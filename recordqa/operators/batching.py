@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from recordqa.operators.topk import rank_limit, thin_out
-from recordqa.session import broadcast_if_small, stage_table
+from recordqa.session import stage_table
 from recordqa.sources.lines import LINE_ORDER
 
 
@@ -16,7 +15,7 @@ def _offsets(spans: DataFrame, by: tuple[str, ...], at: tuple[str, ...]) -> Data
     """
     before = Window.partitionBy(*by).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
-    return broadcast_if_small(spans.select(*by, *at, shift.alias("_shift")))
+    return spans.select(*by, *at, shift.alias("_shift"))
 
 
 def positions(df: DataFrame, order: tuple[str, ...] = LINE_ORDER, by: tuple[str, ...] = ()) -> DataFrame:
@@ -85,15 +84,7 @@ def batch_ids(
 def first_rows(
     df: DataFrame, n: int, order: tuple[str, ...] = LINE_ORDER, by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """First ``n`` rows per ``by`` group along ``order``.
-
-    Small ``n``: a ranked window, which Spark limits before the shuffle. Beyond
-    that threshold the limit would not apply, so positions are used instead.
-    """
+    """First ``n`` rows per ``by`` group along ``order``, for any ``n``: rows are numbered, no group meets in one task."""
     if n <= 0:
         raise ValueError("row cap must be positive")
-    if n <= rank_limit(df):
-        ranked = Window.partitionBy(*by).orderBy(*order)
-        few = thin_out(df, n, list(order), by)
-        return few.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n).drop("_rank")
     return positions(df, order, by).filter(F.col("pos") < n).drop("pos")

@@ -89,15 +89,34 @@ def contract_violations(answers: DataFrame) -> DataFrame:
     return answers.withColumn("violations", found).filter(F.size("violations") > 0)
 
 
-def evidence_spans(results: DataFrame) -> DataFrame:
-    """One row per evidence span of a verdict: ``span_text``, ``source_field``."""
-    spans = _array(F.col("llm_check"), "$.evidence_spans")
-    return (
-        results.select("*", F.posexplode_outer(spans).alias("span_pos", "_s"))
-        .filter(F.col("span_pos").isNotNull())
-        .withColumns({"span_text": string_at(F.col("_s"), "$.text"), "source_field": string_at(F.col("_s"), "$.source_field")})
-        .drop("_s", "llm_check")
+def _all_spans(check: Column) -> Column:
+    """Evidence of the verdict itself and of each entity assessment: (entity_pos, span_pos, span_text, source_field)."""
+
+    def listed(spans: Column, entity: Column) -> Column:
+        return F.transform(
+            spans,
+            lambda s, i: F.struct(
+                entity.alias("entity_pos"),
+                i.alias("span_pos"),
+                string_at(s, "$.text").alias("span_text"),
+                string_at(s, "$.source_field").alias("source_field"),
+            ),
+        )
+
+    none = F.array().cast("array<variant>")
+    own = listed(F.coalesce(_array(check, "$.evidence_spans"), none), F.lit(None).cast("int"))
+    per_entity = F.transform(
+        F.coalesce(_array(check, "$.entity_assessments"), none),
+        lambda a, i: listed(F.coalesce(_array(a, "$.evidence_spans"), none), i),
     )
+    return F.concat(own, F.flatten(per_entity))
+
+
+def evidence_spans(results: DataFrame) -> DataFrame:
+    """One row per evidence span: ``entity_pos`` (null for the verdict's own), ``span_pos``, ``span_text``, ``source_field``."""
+    keep = [c for c in results.columns if c != "llm_check"]
+    found = results.select(*keep, F.explode_outer(_all_spans(F.col("llm_check"))).alias("_s"))
+    return found.filter(F.col("_s").isNotNull()).select(*keep, "_s.*")
 
 
 def explode_assessments(results: DataFrame) -> DataFrame:
@@ -127,24 +146,23 @@ def quality_signals(results: DataFrame) -> DataFrame:
 
 
 def ungrounded_spans(results: DataFrame, payload: DataFrame) -> DataFrame:
-    """Spans that do not occur literally in the field they name.
+    """Spans, those of entity assessments included, that do not occur literally in the field they name.
 
     Results meet their payload once per verdict, not once per span; only the
-    offending spans are exploded. Unknown fields and missing texts count as ungrounded.
+    offending spans are exploded. Unknown fields and missing texts count as ungrounded. Of an id
+    that the payload holds several times the least row counts.
     """
-    texts = payload.select("event_id", *EVIDENCE_FIELDS)
-    joined = results.join(texts, "event_id", "left")
-    spans = F.transform(
-        _array(F.col("llm_check"), "$.evidence_spans"),
-        lambda s: F.struct(string_at(s, "$.text").alias("span_text"), string_at(s, "$.source_field").alias("source_field")),
-    )
+    one = payload.groupBy("event_id").agg(F.min(F.struct(*EVIDENCE_FIELDS)).alias("_texts"))
+    joined = results.join(one, "event_id", "left")
     haystack = lambda field: F.coalesce(
-        *[F.when(field == name, F.col(name)) for name in EVIDENCE_FIELDS], F.lit(None)
+        *[F.when(field == name, F.col("_texts")[name]) for name in EVIDENCE_FIELDS], F.lit(None)
+    )
+    loose = F.filter(
+        _all_spans(F.col("llm_check")), lambda s: ~_yes(F.contains(haystack(s["source_field"]), s["span_text"]))
     )
-    loose = F.filter(spans, lambda s: ~_yes(F.contains(haystack(s["source_field"]), s["span_text"])))
     keep = [c for c in results.columns if c != "llm_check"]
     found = joined.select(*keep, F.explode_outer(loose).alias("_s")).filter(F.col("_s").isNotNull())
-    return found.select(*keep, "_s.*")
+    return found.select(*keep, "_s.entity_pos", "_s.span_text", "_s.source_field")
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, keys: tuple[str, ...]) -> DataFrame:

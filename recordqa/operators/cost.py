@@ -7,7 +7,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.functions.cost import call_cost
-from recordqa.functions.ids import parse_model_spec
+from recordqa.functions.ids import model_spec
 from recordqa.schema import CHECKS, DEFAULT_MODEL_SPEC, TOKEN_PRICES
 
 
@@ -43,21 +43,18 @@ def routing_table(
     unknown = set(routing) - set(CHECKS)
     if unknown:
         raise ValueError(f"unknown checks in routing: {sorted(unknown)}")
-    for spec in routing.values():
-        parse_model_spec(spec)
     return routing
 
 
 def with_routing(df: DataFrame, routing: dict[str, str]) -> DataFrame:
-    """Adds ``model_spec``, ``provider`` and ``model`` for the row's ``check_name``."""
-    entries = []
-    for check, spec in routing.items():
-        provider, model = parse_model_spec(spec)
-        entries.append(
-            (check, F.struct(F.lit(spec).alias("s"), F.lit(provider).alias("p"), F.lit(model).alias("m")))
-        )
-    hit = F.try_element_at(_literal_map(entries), F.col("check_name"))
-    return df.withColumns({"model_spec": hit["s"], "provider": hit["p"], "model": hit["m"]})
+    """Adds ``model_spec``, ``provider`` and ``model`` for the row's ``check_name``.
+
+    Checks without a route get nulls; an invalid spec raises.
+    """
+    spec = F.try_element_at(_literal_map([(c, F.lit(s)) for c, s in routing.items()]), F.col("check_name"))
+    parsed = F.when(F.col("model_spec").isNotNull(), model_spec(F.col("model_spec")))
+    routed = df.withColumn("model_spec", spec).withColumn("_parsed", parsed)
+    return routed.withColumns({"provider": F.col("_parsed.provider"), "model": F.col("_parsed.model")}).drop("_parsed")
 
 
 def attribute_call(audit: DataFrame, rows: DataFrame) -> DataFrame:

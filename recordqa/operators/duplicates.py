@@ -8,7 +8,7 @@ the square of a hot group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.functions.text import normal_form
 
@@ -60,31 +60,11 @@ def duplicate_counts(payload: DataFrame, text: str = "article_sentence") -> Data
     ).drop("copies")
 
 
-def dedupe_context(payload: DataFrame, text: str = "article_sentence", examples: int = 5) -> DataFrame:
-    """Payload rows plus ``dedupe_context`` for the source check.
+def dedupe_context(payload: DataFrame, text: str = "article_sentence") -> DataFrame:
+    """Payload rows plus ``dedupe_context`` for the source check: the exact count over all records, and the story's key.
 
-    The count is exact over all records. The summaries are the prompt excerpt of
-    the story, its first ``examples`` distinct summaries in text order, shared by
-    every member; ``similar_summaries`` holds the complete list.
+    Summaries of a hot story are no list to repeat in every member's row; ``similar_summaries`` holds them all by story.
     """
-    if examples < 0:
-        raise ValueError("examples cannot be negative")
     counted = duplicate_counts(payload, text)
-    ranked = Window.partitionBy("story").orderBy("event_summary")
-    excerpt = (
-        similar_summaries(payload, text)
-        .filter(F.col("event_summary").isNotNull())
-        .withColumn("_rank", F.row_number().over(ranked))
-        .filter(F.col("_rank") <= examples)
-        .groupBy("story")
-        .agg(F.array_sort(F.collect_list("event_summary")).alias("_summaries"))
-    )
-    context = F.struct(
-        "possible_duplicate_count",
-        F.coalesce(F.col("_summaries"), F.array().cast("array<string>")).alias("similar_event_summaries"),
-    )
-    return (
-        counted.join(excerpt, "story", "left")
-        .withColumn("dedupe_context", context)
-        .drop("story", "_summaries", "possible_duplicate_count")
-    )
+    context = F.struct("possible_duplicate_count", F.col("story").alias("story_key"))
+    return counted.withColumn("dedupe_context", context).drop("story", "possible_duplicate_count")

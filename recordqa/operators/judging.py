@@ -21,10 +21,9 @@ from recordqa.schema import CHECKS, PAYLOAD_FIELDS, PROVIDERS
 from recordqa.session import pin, stage_table
 from recordqa.sources.lines import LINE_ORDER
 
-USER_TURN = (
-    "Judge every record of INPUT by the rules you were given. Answer with JSON only, shaped as "
-    '{"results":[{"event_id":"string","result":{}}]}, one entry per record.\n\nINPUT:\n'
-)
+# What precedes the input of a request: only the shape of the answer; wording is the caller's.
+INSTRUCTION = 'JSON: {"results":[{"event_id":"string","result":{}}]}'
+MAX_TOKENS = 1200  # fixed value
 DEFAULT_REASON = "No valid model result returned for this row."  # fixed value
 
 
@@ -51,24 +50,55 @@ def record_batches(
     return stage_table(batches, "batches")
 
 
-def chat_request(prompt: Column, model: Column, payload_json: Column) -> Column:
+def _turn(role: str, content: Column) -> Column:
+    return F.struct(F.lit(role).alias("role"), content.alias("content"))
+
+
+def _user_turn(instruction: str, payload_json: Column) -> Column:
+    return _turn("user", F.concat(F.lit(f"{instruction}\n\nINPUT:\n"), payload_json))
+
+
+def chat_request(prompt: Column, model: Column, payload_json: Column, instruction: str = INSTRUCTION) -> Column:
     """Request body in chat form, as JSON text."""
-    turn = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
     return encode_json(
         F.struct(
             model.alias("model"),
             F.lit(0).alias("temperature"),
-            F.array(turn("system", prompt), turn("user", F.concat(F.lit(USER_TURN), payload_json))).alias("messages"),
+            F.struct(F.lit("json_object").alias("type")).alias("response_format"),
+            F.array(_turn("system", prompt), _user_turn(instruction, payload_json)).alias("messages"),
         )
     )
 
 
+def block_request(
+    prompt: Column, model: Column, payload_json: Column, instruction: str = INSTRUCTION, max_tokens: int = MAX_TOKENS
+) -> Column:
+    """Request body of providers that answer in blocks: the system text stands beside the turns."""
+    return encode_json(
+        F.struct(
+            model.alias("model"),
+            F.lit(max_tokens).alias("max_tokens"),
+            F.lit(0).alias("temperature"),
+            prompt.alias("system"),
+            F.array(_user_turn(instruction, payload_json)).alias("messages"),
+        )
+    )
+
+
+def provider_request(provider: Column, prompt: Column, model: Column, payload_json: Column, instruction: str = INSTRUCTION) -> Column:
+    """The body in the provider's own shape."""
+    return F.when(provider == "openai", chat_request(prompt, model, payload_json, instruction)).otherwise(
+        block_request(prompt, model, payload_json, instruction)
+    )
+
+
 def build_requests(
     batches: DataFrame,
     prompts: DataFrame,
     routing: dict[str, str],
     run_id: str,
-    max_body_chars: int = 1500,
+    max_body_chars: int = 0,
+    instruction: str = INSTRUCTION,
 ) -> DataFrame:
     """One request row per (check, batch): ``call_id``, envelope columns, ``request``.
 
@@ -102,7 +132,7 @@ def build_requests(
         "model_spec",
         "provider",
         "model",
-        chat_request(F.col("prompt"), F.col("model"), F.col("inputs")).alias("request"),
+        provider_request(F.col("provider"), F.col("prompt"), F.col("model"), F.col("inputs"), instruction).alias("request"),
     )
 
 

@@ -13,49 +13,64 @@ def _text_or(value: Column, default: str) -> Column:
     return F.coalesce(value, F.lit(default))
 
 
-def _row_id(first_id: int) -> Column:
-    """Unique ascending surrogate without a shuffle; gaps are allowed."""
-    return F.monotonically_increasing_id() + F.lit(first_id)
+def _row_id(*parts: str | Column) -> Column:
+    """Surrogate id from what a row says, so that a reload gives the same ids and labels keep their rows.
+
+    No shuffle and no counter; rows that agree in all parts share an id.
+    """
+    return F.xxhash64(*[F.col(p) if isinstance(p, str) else p for p in parts])
 
 
 def _created(col: str = "created_at") -> Column:
     return F.try_to_timestamp(F.col(col))
 
 
-def to_quality_rows(results: DataFrame, first_id: int = 0) -> DataFrame:
+def to_quality_rows(results: DataFrame) -> DataFrame:
     """Warehouse rows of check results as read by ``read_all_checks``.
 
     Rows whose verdict holds no text event id are skipped. The check name is the
     one of the file, whatever the verdict calls itself. Confidence is lenient:
     the column is REAL, so numeric text converts.
+
+    What a verdict says is taken once, into a generated row: a filter is not pushed below a
+    generator, so no parse is repeated, whatever columns the caller reads.
     """
     check = F.col("llm_check")
-    rows = results.select(
-        _row_id(first_id).alias("id"),
-        _created().alias("created_at"),
-        "prompt_version",
-        "prompt_file",
-        "model",
-        let(check, lambda c: string_at(c, "$.event_id")).alias("event_id"),
+    said = F.struct(
+        string_at(check, "$.event_id").alias("event_id"),
         F.try_variant_get(check, "$.result", "string").alias("result"),
         number_at(check, "$.confidence", strict=False).alias("confidence"),
         F.try_variant_get(check, "$.reason", "string").alias("reason"),
         F.to_json(check).alias("llm_check_json"),
+    )
+    kept = ("created_at", "prompt_version", "prompt_file", "model", "llm_metrics", "source_record", "check_name", "run_id")
+    rows = results.select(*kept, F.explode_outer(F.array(said)).alias("_v")).filter(F.col("_v.event_id").isNotNull())
+    run = normalise_run_id(F.col("run_id"), F.col("check_name"))
+    return rows.select(
+        _row_id(run, "check_name", "_v.event_id", "created_at", "_v.llm_check_json").alias("id"),
+        _created().alias("created_at"),
+        "prompt_version",
+        "prompt_file",
+        "model",
+        "_v.event_id",
+        "_v.result",
+        "_v.confidence",
+        "_v.reason",
+        "_v.llm_check_json",
         _text_or(F.col("llm_metrics"), "null").alias("llm_metrics_json"),
         _text_or(F.col("source_record"), "{}").alias("source_record_json"),
         "check_name",
-        normalise_run_id(F.col("run_id"), F.col("check_name")).alias("run_id"),
+        run.alias("run_id"),
     )
-    # Above the surrogate id the filter is not pushed into the parse, so each line is parsed once.
-    return rows.filter(F.col("event_id").isNotNull())
 
 
-def to_remediation_rows(remediations: DataFrame, first_id: int = 0) -> DataFrame:
+def to_remediation_rows(remediations: DataFrame) -> DataFrame:
     """Warehouse rows of remediations; a missing event id stays null."""
     failed = F.when(is_object(F.col("failed_check")), F.col("failed_check"))
+    run = normalise_run_id(F.col("run_id"), F.col("check_name"))
     return remediations.select(
-        _row_id(first_id).alias("id"),
-        normalise_run_id(F.col("run_id"), F.col("check_name")).alias("run_id"),
+        _row_id(run, "check_name", "created_at", F.to_json("failed_check"), "remediation").alias("id"),
+        run.alias("run_id"),
         _created().alias("created_at"),
         "check_name",
         "model",
@@ -67,10 +82,10 @@ def to_remediation_rows(remediations: DataFrame, first_id: int = 0) -> DataFrame
     )
 
 
-def to_audit_rows(audit: DataFrame, first_id: int = 0) -> DataFrame:
+def to_audit_rows(audit: DataFrame) -> DataFrame:
     """Warehouse rows of call audits; rows without a run id load as ``legacy_<stage>``."""
     return audit.select(
-        _row_id(first_id).alias("id"),
+        _row_id("run_id", "stage", "check_name", "model", "request", "response").alias("id"),
         F.current_timestamp().alias("created_at"),
         "stage",
         normalise_run_id(F.col("run_id"), audit_fallback(F.col("stage"))).alias("run_id"),
@@ -117,8 +132,3 @@ def upsert_records(records: DataFrame, incoming: DataFrame, order: tuple[str, ..
             F.max("last_seen_at").alias("last_seen_at"),
         )
     )
-
-
-def append_rows(table: DataFrame, new: DataFrame) -> DataFrame:
-    """Plain append by column name; loading twice keeps both copies."""
-    return table.unionByName(new.select(*table.columns))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from recordqa.functions.text import normal_form
 from recordqa.functions.variants import let
+from recordqa.operators.topk import top_k
 
 # fixed values: bands of the completeness report, and its high-confidence line
 COMPLETE_BELOW = 0.01
@@ -144,18 +145,17 @@ def confidence_histogram(df: DataFrame, bins: int = 10, col: str = "confidence")
     return df.filter(F.col(col).isNotNull()).groupBy(bin_no.cast("int").alias("bin")).agg(F.count("*").alias("cnt"))
 
 
-def category_profile(df: DataFrame, category: str = "category", k: int = 20) -> DataFrame:
-    """The ``k`` most frequent categories with their share of all categorised rows,
+def category_profile(df: DataFrame, category: str = "category", k: int | None = 20) -> DataFrame:
+    """The ``k`` most frequent categories, or all, with their share of all categorised rows,
     beside the number of categories."""
-    if k <= 0:
+    if k is not None and k <= 0:
         raise ValueError("k must be positive")
     named = df.filter(F.col(category).isNotNull())
     counts = named.groupBy(F.col(category).alias("category")).agg(F.count("*").alias("cnt"))
     totals = counts.agg(F.sum("cnt").alias("t"), F.count("*").alias("d"))
+    top = counts if k is None else top_k(counts, k, F.desc("cnt"), "category")
     return (
-        counts.orderBy(F.desc("cnt"), "category")
-        .limit(k)
-        .withColumn("share", F.col("cnt") / totals.select("t").scalar())
+        top.withColumn("share", F.col("cnt") / totals.select("t").scalar())
         .withColumn("n_categories", totals.select("d").scalar())
     )
 

@@ -66,12 +66,12 @@ _OWN = {
 def empty_dedupe_context() -> Column:
     return F.struct(
         F.lit(0).cast("bigint").alias("possible_duplicate_count"),
-        F.array().cast("array<string>").alias("similar_event_summaries"),
+        F.lit(None).cast("string").alias("story_key"),
     )
 
 
 def check_input_struct(
-    payload, check_name: str, max_body_chars: int = 1500, dedupe_context: Column | None = None
+    payload, check_name: str, max_body_chars: int = 0, dedupe_context: Column | None = None
 ) -> Column:
     """Input of one check as a struct; ``payload`` maps a field name to its Column."""
     if check_name not in CHECKS:
@@ -88,7 +88,7 @@ def check_input_struct(
 
 
 def check_input(
-    payload: DataFrame, check_name: str, max_body_chars: int = 1500, context: str | None = None
+    payload: DataFrame, check_name: str, max_body_chars: int = 0, context: str | None = None
 ) -> DataFrame:
     """Payload rows plus ``input``, the struct the named check is asked about.
 
@@ -104,7 +104,7 @@ def eligible(payload: DataFrame) -> DataFrame:
 
 
 def source_context(
-    results: DataFrame, check_name: str, record_col: str = "source_record_json", excerpt_chars: int = 2500
+    results: DataFrame, check_name: str, record_col: str = "source_record_json", excerpt_chars: int = 0
 ) -> DataFrame:
     """What a reviewer sees beside a verdict: core fields, title, body excerpt.
 

@@ -45,7 +45,7 @@ def backlog(results: DataFrame, labels: DataFrame, run: str | None = ALL_RUNS, n
     )
     if n is None:
         return grouped
-    return grouped.orderBy(F.desc("last_seen_at"), "event_id", "run_id").limit(n)
+    return top_k(grouped, n, F.desc("last_seen_at"), F.asc("event_id"), F.asc("run_id"))
 
 
 def review_queue(results: DataFrame, labels: DataFrame, check_name: str, n: int = 100) -> DataFrame:
@@ -142,12 +142,8 @@ def export_breakdown(labels: DataFrame) -> DataFrame:
 
 def recent_reviews(joined: DataFrame, run: str | None = ALL_RUNS, n: int = 200) -> DataFrame:
     wanted = ("labeled_at", "reviewer", "run_id", "check_name", "event_id", "human_label", "notes")
-    return (
-        for_run(joined, run)
-        .orderBy(F.desc("labeled_at"), "quality_result_id")
-        .limit(n)
-        .select("quality_result_id", *[c for c in wanted if c in joined.columns])
-    )
+    newest = top_k(for_run(joined, run), n, F.desc("labeled_at"), F.asc("quality_result_id"))
+    return newest.select("quality_result_id", *[c for c in wanted if c in joined.columns])
 
 
 def review_metrics(joined: DataFrame) -> DataFrame:

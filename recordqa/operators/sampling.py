@@ -4,55 +4,62 @@ from __future__ import annotations
 
 import secrets
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from recordqa.operators.topk import top_k
-from recordqa.session import broadcast_if_small
-from recordqa.sources.lines import LINE_ORDER
-
-# Largest sample taken by top-k; beyond it no single task may hold the sample.
-TOP_K_LIMIT = 1_000
+# Equal lines are numbered in runs of this length, so no row holds a list as long as a group of copies.
+RUN = 10_000
 
 
 def sample_records(
-    lines: DataFrame, n: int = 100, seed: int | None = None, key: tuple[str, ...] = LINE_ORDER
+    lines: DataFrame, n: int = 100, seed: int | None = None, key: tuple[str, ...] = ("file_name", "value")
 ) -> DataFrame:
     """Exactly min(n, N) rows, uniform without replacement.
 
-    Rows are ranked by a keyed digest of the columns that identify them, so the
-    same seed and key give the same rows, and each task ships at most ``n`` rows.
-    Equal lines have different keys and are drawn independently. With the default
-    key a sample repeats as long as files and split sizes do.
+    Rows are drawn by a keyed digest of the columns that say what they are and of their number among equal
+    rows, so the same seed gives the same rows however the input is split over tasks. Equal rows are drawn
+    independently; which of them is returned makes no difference in the key columns.
     """
     if n <= 0:
         raise ValueError("sample size must be positive")
     seed = secrets.randbits(63) if seed is None else seed
-    ticket = F.md5(F.concat_ws("~", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]).cast("binary"))
-    drawn = lines.withColumn("_ticket", ticket)
-    if n <= TOP_K_LIMIT:
-        return top_k(drawn, n, "_ticket", *key).drop("_ticket")
-    return _large_sample(drawn, n, key).drop("_ticket")
-
-
-def _large_sample(drawn: DataFrame, n: int, key: tuple[str, ...]) -> DataFrame:
-    """Cut at the n-th ticket without sorting all rows: whole prefix buckets below the
-    cut are kept, only the bucket that holds the cut is ranked."""
-    prefix = F.substring("_ticket", 1, 4)  # at most 65,536 buckets
-    counts = drawn.groupBy(prefix.alias("_prefix")).agg(F.count("*").alias("_n"))
+    digest = F.md5(F.concat_ws("~", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]).cast("binary"))
+    named = lines.withColumn("_digest", digest)
+    taken = _cut(_tickets(named.groupBy("_digest").agg(F.count("*").alias("_n")), seed), n)
+    per_digest = taken.groupBy("_digest").agg(F.count("*").alias("_take"), F.max("_copies").alias("_copies"))
+    marked = named.join(per_digest, "_digest")
+    # only groups that are drawn in part need to be ranked
+    whole = marked.filter("_take = _copies")
+    part = marked.filter("_take < _copies").withColumn("_task", F.spark_partition_id())
+    for spread in (["_digest", "_task"], ["_digest"]):  # a hot group is first cut per task
+        rank = F.row_number().over(Window.partitionBy(*spread).orderBy(F.lit(0)))
+        part = part.withColumn("_rank", rank).filter("_rank <= _take").drop("_rank")
+    part = part.drop("_task")
+    return whole.unionByName(part).drop("_digest", "_take", "_copies")
+
+
+def _tickets(counts: DataFrame, seed: int) -> DataFrame:
+    """One ticket per row: (digest, copies, ticket)."""
+    runs = counts.select(
+        "_digest", F.col("_n").alias("_copies"), F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / RUN))).alias("_run")
+    )
+    last = F.least(F.col("_copies") - F.col("_run") * RUN, F.lit(RUN))
+    each = runs.select("_digest", "_copies", "_run", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("_i"))
+    number = (F.col("_run") * RUN + F.col("_i")).cast("string")
+    ticket: Column = F.md5(F.concat_ws("~", F.lit(str(seed)), "_digest", number).cast("binary"))
+    return each.select("_digest", "_copies", ticket.alias("_ticket"))
+
+
+def _cut(tickets: DataFrame, n: int) -> DataFrame:
+    """The ``n`` least tickets without sorting all: whole prefix buckets below the cut are kept, only the one
+    that holds the cut is ranked. The window over prefixes has at most 16**6 rows."""
+    prefix = F.substring("_ticket", 1, 6)
+    counts = tickets.groupBy(prefix.alias("_prefix")).agg(F.count("*").alias("_n"))
     upto = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     room = counts.select("_prefix", (F.lit(n) - F.coalesce(F.sum("_n").over(upto), F.lit(0))).alias("_room"), "_n")
-    marked = drawn.withColumn("_prefix", prefix).join(
-        broadcast_if_small(room.filter("_room > 0"), 65_536), "_prefix"
-    )
-    whole = marked.filter("_room >= _n")
-    inside = Window.partitionBy("_prefix").orderBy("_ticket", *key)
-    cut = (
-        marked.filter("_room < _n")
-        .withColumn("_rank", F.row_number().over(inside))
-        .filter("_rank <= _room")
-        .drop("_rank")
-    )
-    return whole.unionByName(cut).drop("_prefix", "_room", "_n")
+    marked = tickets.withColumn("_prefix", prefix).join(room.filter("_room > 0"), "_prefix")
+    inside = Window.partitionBy("_prefix").orderBy("_ticket")
+    cut = marked.filter("_room < _n").withColumn("_rank", F.row_number().over(inside)).filter("_rank <= _room")
+    return marked.filter("_room >= _n").select("_digest", "_copies").unionByName(cut.select("_digest", "_copies"))
 
 
 def sample_summary(lines: DataFrame, n: int) -> DataFrame:

@@ -14,15 +14,14 @@ from recordqa.operators.judging import (
     Judge,
     answers_array,
     build_requests,
-    decision_summary,
     enrich,
     finish_answer,
     judge as apply_judge,
     metrics_struct,
     record_batches,
-    unpack,
     with_call_metrics,
 )
+from recordqa.schema import CHECKS
 from recordqa.session import stage_table
 from recordqa.sources.lines import LINE_ORDER
 from recordqa.sources.prompts import latest_prompts
@@ -44,38 +43,62 @@ def run_checks(
     routing: dict[str, str] | None = None,
     run_id: str | None = None,
     batch_size: int = 10,
-    max_body_chars: int = 1500,
+    max_body_chars: int = 0,
     order: tuple[str, ...] = LINE_ORDER,
     from_scan: bool = False,
+    mode: str = "failfast",
 ) -> CheckRun:
     """Judge every eligible record with every check.
 
     ``records`` comes from ``parse_records``; ``prompts`` from ``prompt_registry``.
-    Instead of a judge, stored ``responses`` (``call_id, response, latency_ms``)
-    of an earlier attempt of the same run may be given. ``from_scan``: see ``record_batches``. Responses are staged
+    Stored ``responses`` (``call_id, response, latency_ms``) of an earlier attempt of the same run
+    are used first; a judge is called for the calls they lack. Without a judge such calls have no
+    response, and their rows get the default verdict. ``from_scan``: see ``record_batches``. Responses are staged
     before the two outputs branch, so no call is made twice.
+
+    A response without a results array raises (``failfast``), or with ``mode="quarantine"`` gives its
+    rows the default verdict and sets ``is_invalid`` in the audit. A check without a prompt raises.
     """
+    if mode not in ("failfast", "quarantine"):
+        raise ValueError("mode must be 'failfast' or 'quarantine'")
+    if judge is None and factory is None and responses is None:
+        raise ValueError("give a judge, a factory or stored responses")
     run_id = run_id or new_run_id()
+    latest = latest_prompts(prompts)
+    _require_prompts(latest)
     batches = record_batches(records, batch_size, order, from_scan)
-    requests = build_requests(
-        batches, latest_prompts(prompts), routing_table(routing), run_id, max_body_chars
-    )
+    requests = build_requests(batches, latest, routing_table(routing), run_id, max_body_chars)
     if responses is None:
         judged = stage_table(apply_judge(requests, judge, factory), "judged")
-        responses = judged.select("call_id", "response", "latency_ms")
     else:
-        judged = requests.join(responses.select("call_id", "response", "latency_ms"), "call_id")
+        stored = responses.select("call_id", "response", "latency_ms")
+        if judge is None and factory is None:
+            judged = requests.join(stored, "call_id", "left")
+        else:
+            rest = requests.join(stored, "call_id", "left_anti")
+            again = stage_table(apply_judge(rest, judge, factory), "judged")
+            judged = requests.join(stored, "call_id").unionByName(again)
+    responses = judged.select("call_id", "response", "latency_ms").filter(F.col("response").isNotNull())
     calls = with_call_metrics(judged)
-    return CheckRun(run_id, _results(batches, calls, run_id), call_audit(calls), responses)
+    return CheckRun(run_id, _results(batches, calls, run_id, mode), call_audit(calls), responses)
+
+
+def _require_prompts(latest: DataFrame) -> None:
+    """Every check has a prompt; the driver sees names of the closed check list only."""
+    found = latest.filter(F.col("base").isin(*CHECKS)).agg(F.collect_set("base")).first()[0]
+    if missing := [c for c in CHECKS if c not in found]:
+        raise FileNotFoundError(f"no prompt for: {', '.join(missing)}")
 
 
-def _results(batches: DataFrame, calls: DataFrame, run_id: str) -> DataFrame:
+def _results(batches: DataFrame, calls: DataFrame, run_id: str, mode: str = "failfast") -> DataFrame:
     """One row per (check, eligible record): answers are matched inside their call."""
     parsed = calls.drop("request").withColumn("_answers", answers_array(F.col("response"), F.col("provider")))
-    boom = F.raise_error(F.concat(F.lit("response without a results array: "), F.col("call_id")))
-    parsed = parsed.withColumn(
-        "_answers", F.coalesce(F.col("_answers"), boom.cast("array<variant>"))
-    ).withColumn(
+    if mode == "failfast":
+        boom = F.raise_error(F.concat(F.lit("response without a results array: "), F.col("call_id")))
+        bad = F.col("response").isNotNull() & F.col("_answers").isNull()
+        parsed = parsed.withColumn("_answers", F.when(bad, boom.cast("array<variant>")).otherwise(F.col("_answers")))
+    none = F.array().cast("array<variant>")
+    parsed = parsed.withColumn("_answers", F.coalesce("_answers", none)).withColumn(
         "_pairs",
         F.transform(
             "_answers",
@@ -113,10 +136,20 @@ def _results(batches: DataFrame, calls: DataFrame, run_id: str) -> DataFrame:
 
 
 def call_audit(calls: DataFrame) -> DataFrame:
-    """One audit row per call; verdicts are counted on the raw answers."""
-    counts = decision_summary(unpack(calls, F.col("provider")))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    return calls.join(counts, "call_id", "left").select(
+    """One audit row per call; verdicts are counted on the raw answers, inside the row.
+
+    ``is_invalid`` marks calls whose response is missing or holds no results array.
+    """
+    counted = calls.withColumn("_answers", answers_array(F.col("response"), F.col("provider"))).withColumn(
+        "_verdicts", F.transform("_answers", lambda a: F.coalesce(string_at(a, "$.result.result"), F.lit("")))
+    )
+    count = lambda test: F.coalesce(F.size(F.filter("_verdicts", test)), F.lit(0)).cast("bigint")
+    decision = F.struct(
+        count(lambda v: v == "pass").alias("pass"),
+        count(lambda v: v == "fail").alias("fail"),
+        count(lambda v: ~v.isin("pass", "fail")).alias("other"),
+    )
+    return counted.select(
         F.lit("quality_check").alias("stage"),
         "run_id",
         "check_name",
@@ -127,7 +160,8 @@ def call_audit(calls: DataFrame) -> DataFrame:
         "latency_ms",
         "usage",
         "cost_usd",
-        F.struct(zero("pass"), zero("fail"), zero("other")).alias("decision"),
+        decision.alias("decision"),
         F.parse_json("request").alias("request"),
-        F.parse_json("response").alias("response"),
+        F.try_parse_json("response").alias("response"),
+        F.col("_answers").isNull().alias("is_invalid"),
     )

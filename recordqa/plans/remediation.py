@@ -27,15 +27,6 @@ from recordqa.session import pin, stage_table
 from recordqa.sources.lines import LINE_ORDER
 
 PROMPT_VERSION = "v1"  # fixed value of the audit contract
-PROMPT = (
-    "Propose the smallest safe fix for each failed record, from the given input only. Never invent "
-    "facts; choose no_change when the evidence is not clear; the source is read-only, so suggest a "
-    'patch and nothing more. Answer with JSON only: {"results":[{"event_id":"string","decision":'
-    '"correct_label|correct_entity_link|mark_low_credibility|no_change","proposed_patch":{"path":'
-    '"string","old_value":"any","new_value":"any"},"reasoning":"string","confidence":0.0,'
-    '"evidence_spans":[{"text":"string","source_field":"article_sentence|source_title|source_body"}],'
-    '"review_recommended":true}]}; proposed_patch may be null.'
-)
 
 
 class RemediationRun(NamedTuple):
@@ -46,15 +37,19 @@ class RemediationRun(NamedTuple):
 
 def run_remediation(
     results: DataFrame,
+    prompt: str,
     judge: Judge | None = None,
     factory: Callable[[], Judge] | None = None,
     model: str = "gpt-4o-mini",
     max_rows_per_check: int | None = None,
     chunk: int = 10,
     run_id: str | None = None,
-    order: tuple[str, ...] = LINE_ORDER,
+    order: tuple[str, ...] | None = None,
 ) -> RemediationRun:
-    """One recommendation per failed row of every run in ``results``.
+    """One recommendation per failed row of every run in ``results``; ``prompt`` is the system text.
+
+    Rows are in the order they were written: by creation time, then run, then line; other orders
+    are named by ``order``.
 
     Requests are fixed chunks per check, so no request grows with the table.
     Answers are looked up by (check, event): the last one wins and serves every
@@ -63,6 +58,8 @@ def run_remediation(
     if max_rows_per_check is not None and max_rows_per_check <= 0:
         raise ValueError("max_rows_per_check must be positive")
     run_id = run_id or new_run_id()
+    if order is None:
+        results, order = in_written_order(results)
     rows = failed_checks(pin(results)).select("check_name", *order, "event_id", "source_record", "llm_check", "_pin")
     if max_rows_per_check is not None:
         rows = first_rows(rows, max_rows_per_check, order, ("check_name",))
@@ -86,7 +83,7 @@ def run_remediation(
             F.lit(model).alias("model"),
             F.lit("openai").alias("provider"),
             chat_request(
-                F.lit(PROMPT),
+                F.lit(prompt),
                 F.lit(model),
                 encode_json(
                     F.struct(
@@ -130,6 +127,15 @@ def run_remediation(
     return RemediationRun(run_id, remediations, remediation_audit(calls))
 
 
+def in_written_order(results: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """Results with the columns that tell when a line was written, and their names in order.
+
+    Part files of later runs may sort before those of earlier ones by name.
+    """
+    at = F.coalesce(F.try_to_timestamp("created_at"), F.timestamp_seconds(F.lit(0)))
+    return results.withColumns({"written_at": at, "written_by": F.coalesce("run_id", F.lit(""))}), ("written_at", "written_by", *LINE_ORDER)
+
+
 def remediation_audit(calls: DataFrame) -> DataFrame:
     """Audit rows of remediation calls; the contract gives them no run id and no provider."""
     total = F.size(

@@ -66,10 +66,3 @@ def pin(df: DataFrame) -> DataFrame:
     row id, as long as the id is part of what is written.
     """
     return df.withColumn("_pin", F.monotonically_increasing_id())
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting; past the bound the join stays a shuffle join."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordqa.functions.text import has_text
 from recordqa.functions.variants import let, string_at
+from recordqa.operators.topk import top_k
 from recordqa.schema import (
     AUDIT_LINE_DDL,
     CHECKS,
@@ -16,7 +17,7 @@ from recordqa.schema import (
     RESULT_LINE_DDL,
 )
 
-# Position of a line: unique, ascending in file name and then in line order.
+# Position of a line: unique, ascending in the file's full path and then in line order.
 LINE_ORDER = ("file_name", "block_start", "line_id")
 MODES = ("failfast", "drop", "quarantine")
 
@@ -27,7 +28,7 @@ def _scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
         spark.read.text(path)
         .select(
             F.btrim("value", F.lit(" \t\r\n\f\u000b")).alias("value"),
-            F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_path").alias("file_name"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("line_id"),
         )
@@ -70,7 +71,7 @@ def first_lines(lines: DataFrame, max_records: int) -> DataFrame:
     """First ``max_records`` non-blank lines in file order (a debugging cap, not a filter)."""
     if max_records <= 0:
         raise ValueError("max_records must be positive")
-    return lines.orderBy(*LINE_ORDER).limit(max_records)
+    return top_k(lines, max_records, *LINE_ORDER)
 
 
 def parse_records(

@@ -90,29 +90,25 @@ class Warehouse:
             writer = writer.partitionBy(*PARTITIONS[name])
         writer.parquet(f"{self.root}/{name}")
 
-    def _next_id(self, name: str) -> int:
-        """First free surrogate id; a one-row aggregate answered from the id column alone."""
-        return (self.table(name).agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0]) + 1
-
     def load_quality(self, results: DataFrame, replace_runs: bool = False) -> None:
         """Append result rows as read by ``read_all_checks`` and refresh the records.
 
-        Loading the same files again appends them again; ``replace_runs``
-        overwrites the (check, run) partitions at hand instead.
+        Loading the same files again appends them again, with the same ids; ``replace_runs``
+        overwrites the (check, run) partitions at hand instead, and labels keep their results.
         """
-        rows = to_quality_rows(results, self._next_id("llm_quality_results"))
+        rows = to_quality_rows(results)
         self._write("llm_quality_results", rows, "overwrite" if replace_runs else "append")
         self._refresh_records(results, "llm_check")
 
     def load_remediations(self, remediations: DataFrame) -> None:
-        self._write("llm_remediation_results", to_remediation_rows(remediations, self._next_id("llm_remediation_results")))
+        self._write("llm_remediation_results", to_remediation_rows(remediations))
         self._refresh_records(remediations, "failed_check")
 
     def load_audit(self, audit: DataFrame) -> None:
-        self._write("llm_call_audit", to_audit_rows(audit, self._next_id("llm_call_audit")))
+        self._write("llm_call_audit", to_audit_rows(audit))
 
     def load_triage(self, log: DataFrame) -> None:
-        rows = log.withColumn("id", F.monotonically_increasing_id() + F.lit(self._next_id("triage_results")))
+        rows = log.withColumn("id", F.xxhash64("run_id", "event_id", "decision", "reason", "created_at"))
         self._write("triage_results", rows)
 
     def _refresh_records(self, lines: DataFrame, verdict: str) -> None:
@@ -121,13 +117,15 @@ class Warehouse:
             string_at(F.col(verdict), "$.event_id").alias("event_id"),
             F.coalesce("source_record", F.lit("{}")).alias("source_record_json"),
             F.current_timestamp().alias("seen_at"),
+            F.coalesce(F.try_to_timestamp("created_at"), F.timestamp_seconds(F.lit(0))).alias("written_at"),
+            F.coalesce("run_id", F.lit("")).alias("run_id"),
             check_no.alias("check_no"),
             "file_name",
             "block_start",
             "line_id",
         )
         merged = upsert_records(
-            self.table("records"), incoming, ("seen_at", "check_no", "file_name", "block_start", "line_id")
+            self.table("records"), incoming, ("seen_at", "written_at", "run_id", "check_no", "file_name", "block_start", "line_id")
         )
         self._write("records", merged)
 

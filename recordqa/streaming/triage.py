@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from recordqa.functions.text import has_text
 from recordqa.functions.variants import encode_json
-from recordqa.operators.judging import not_processed, processed_ids
+from recordqa.operators.judging import not_processed
 from recordqa.operators.triage import triage
 from recordqa.sources.lines import parse_records
 
@@ -26,31 +27,41 @@ def lines_stream(spark: SparkSession, directory: str, files_per_batch: int | Non
     )
 
 
+def _holds_files(spark: SparkSession, folder: str) -> bool:
+    try:
+        return bool(spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(folder).select("path").head(1))
+    except AnalysisException:
+        return False
+
+
 def triage_stream(
     spark: SparkSession, directory: str, out_dir: str, checkpoint: str, run_id: str, files_per_batch: int | None = None
 ) -> StreamingQuery:
     """Triage new files into ``log``, ``escalated`` and ``dead_letter`` below ``out_dir``.
 
-    Every micro-batch writes its own ``batch=<id>`` folders in overwrite mode, so a
-    batch that is replayed after a failure replaces itself. Runs until the files
+    Every micro-batch writes its own ``run_id=<run>/batch=<id>`` folders in overwrite mode, so a
+    batch that is replayed after a failure replaces itself, and runs do not touch each other. A run id that
+    has output but no checkpoint here is refused: its batches would start anew and replace it. Runs until the files
     present at the start are done, then stops.
     """
-    base = out_dir.rstrip("/")
+    base, own = out_dir.rstrip("/"), f"run_id={run_id}"
+    if _holds_files(spark, f"{base}/triaged/{own}") and not _holds_files(spark, f"{checkpoint.rstrip('/')}/offsets"):
+        raise ValueError(f"run {run_id!r} already has output under another checkpoint")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = triage(parse_records(batch)).select(
             F.lit(run_id).alias("run_id"), F.current_timestamp().alias("created_at"), "event_id", "decision", "reason", "value"
         )
         # One pass: the sink splits rows by decision; log columns and lines sit side by side.
-        rows.write.mode("overwrite").partitionBy("decision").parquet(f"{base}/triaged/batch={batch_id}")
-        stored = rows.sparkSession.read.schema(rows.schema).parquet(f"{base}/triaged/batch={batch_id}")
-        stored.drop("value").write.mode("overwrite").json(f"{base}/log/batch={batch_id}")
+        rows.write.mode("overwrite").partitionBy("decision").parquet(f"{base}/triaged/{own}/batch={batch_id}")
+        stored = rows.sparkSession.read.schema(rows.schema).parquet(f"{base}/triaged/{own}/batch={batch_id}")
+        stored.drop("value").write.mode("overwrite").json(f"{base}/log/{own}/batch={batch_id}")
         stored.filter("decision = 'escalate'").select("value").write.mode("overwrite").text(
-            f"{base}/escalated/batch={batch_id}"
+            f"{base}/escalated/{own}/batch={batch_id}"
         )
         dead = F.struct("run_id", "created_at", "event_id", "reason", F.parse_json("value").alias("source_record"))
         stored.filter("decision = 'fail'").select(encode_json(dead).alias("value")).write.mode("overwrite").text(
-            f"{base}/dead_letter/batch={batch_id}"
+            f"{base}/dead_letter/{own}/batch={batch_id}"
         )
 
     return (
@@ -76,7 +87,7 @@ def resume_stream(
     """Hand each micro-batch to ``process`` without the event ids ``done()`` already holds."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        process(not_processed(batch, processed_ids(done())), batch_id)
+        process(not_processed(batch, done()), batch_id)
 
     return (
         rows.writeStream.foreachBatch(step)

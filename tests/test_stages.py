@@ -45,6 +45,7 @@ def prompts_dir(tmp_path):
     for check in CHECKS:
         for v in ("v1", "v2"):
             (folder / f"{check}_{v}.txt").write_text(f"{check} {v}")
+    (folder / "remediation_v1.txt").write_text("fix")
     return str(folder)
 
 
@@ -94,6 +95,24 @@ def test_stored_responses_give_the_same_results(spark, input_dir, prompts_dir):
     assert versions == {"v2"}
 
 
+def test_missing_prompt_raises(spark, input_dir, prompts_dir):
+    prompts = prompt_registry(spark, prompts_dir).filter("base <> 'entity_resolution'")
+    with pytest.raises(FileNotFoundError, match="entity_resolution"):
+        run_checks(parse_records(read_jsonl_lines(spark, input_dir)), prompts, length_judge)
+
+
+def test_later_run_wins_whatever_its_file_is_called(spark):
+    data = [("b", "2025-01-01T00:00:00Z", "r1", 1), ("a", "2025-01-02T00:00:00Z", "r2", 2)]
+    df = spark.createDataFrame(data, "file_name string, created_at string, run_id string, n int").select(
+        "*", F.lit(0).cast("bigint").alias("block_start"), F.lit(0).cast("bigint").alias("line_id"),
+        F.lit("semantic_accuracy").alias("check_name"), F.lit("{}").alias("source_record"),
+        F.parse_json(F.concat(F.lit('{"event_id":"e","result":"fail","reason":"'), F.col("n").cast("string"), F.lit('"}'))).alias("llm_check"),
+    )
+    run = run_remediation(df, "Fix.", fix_judge, chunk=1)
+    got = [json.loads(r[0])["confidence"] for r in run.remediations.select(F.to_json("remediation")).collect()]
+    assert got == [0.02, 0.02]
+
+
 def test_full_run_and_warehouse(spark, input_dir, prompts_dir, tmp_path):
     out = str(tmp_path / "out")
     done = run_all(spark, read_jsonl_lines(spark, input_dir), prompts_dir, out, length_judge, reason_judge, run_id="20250101T000000Z")
@@ -128,10 +147,10 @@ def test_full_run_and_warehouse(spark, input_dir, prompts_dir, tmp_path):
     assert wh.table("records").count() == 22 and wh.table("triage_results").count() == 25
     runs = {r.run_id for r in wh.table("llm_call_audit").select("run_id").distinct().collect()}
     assert runs == {"20250101T000000Z", "legacy_remediation"}
-    # a plain second load appends copies with fresh ids; records stay one per event
+    # a plain second load appends copies with the same ids; records stay one per event
     wh.load_quality(results)
     table = wh.table("llm_quality_results")
-    assert table.count() == 132 and table.select("id").distinct().count() == 132
+    assert table.count() == 132 and table.select("id").distinct().count() == 66
     assert wh.table("records").count() == 22
     wh.load_quality(results, replace_runs=True)
     assert wh.table("llm_quality_results").count() == 66
@@ -145,6 +164,10 @@ def test_full_run_and_warehouse(spark, input_dir, prompts_dir, tmp_path):
     assert rows(wh.table("human_review_labels"), "human_label") == [("approve_fail",)]
     after = review.unreviewed(wh.table("llm_quality_results"), wh.table("human_review_labels")).count()
     assert after == before - 1
+    # a reload gives the same ids, so the label still finds its result
+    wh.load_quality(results, replace_runs=True)
+    again = review.unreviewed(wh.table("llm_quality_results"), wh.table("human_review_labels")).count()
+    assert again == after
     wh.create_views()
     assert spark.sql("select count(*) from human_review_backlog").first()[0] == before
     with pytest.raises(Exception, match="must not be null"):
@@ -159,7 +182,7 @@ def test_remediation_cap_defaults_and_missing_ids(spark):
     df = spark.createDataFrame(data, "check_name string, id bigint, source_record string, c string").select(
         "check_name", "id", "source_record", F.parse_json("c").alias("llm_check")
     )
-    run = run_remediation(df, fix_judge, max_rows_per_check=5, chunk=2, order=("id",))
+    run = run_remediation(df, "Fix.", fix_judge, max_rows_per_check=5, chunk=2, order=("id",))
     got = run.remediations.orderBy("pos").collect()
     assert [r.event_id for r in got] == [None, "e1", None, "e1", None]
     decisions = [json.loads(r.d)["decision"] for r in run.remediations.orderBy("pos").select(F.to_json("remediation").alias("d")).collect()]
@@ -167,7 +190,7 @@ def test_remediation_cap_defaults_and_missing_ids(spark):
     assert decisions == ["no_change"] * 5 and got[0].llm_metrics is None and got[1].llm_metrics is not None
     assert run.audit.count() == 3
     with pytest.raises(ValueError):
-        run_remediation(df, fix_judge, max_rows_per_check=0, order=("id",))
+        run_remediation(df, "Fix.", fix_judge, max_rows_per_check=0, order=("id",))
 
 
 def test_judge_factory_is_opened_per_task(spark):
@@ -205,16 +228,16 @@ def test_sampling(spark, input_dir, tmp_path):
         sampling.sample_records(lines, 0)
 
 
-def test_large_sample_equals_top_k(spark, monkeypatch):
-    df = spark.range(5000)
-    top = rows(sampling.sample_records(df, 1234, seed=3, key=("id",)))
-    monkeypatch.setattr(sampling, "TOP_K_LIMIT", 10)
-    assert rows(sampling.sample_records(df, 1234, seed=3, key=("id",))) == top
+def test_a_seed_gives_the_same_sample_whatever_the_split(spark, monkeypatch):
+    df = spark.createDataFrame([(f"line {i % 700}",) for i in range(5000)], "value string")
+    one = rows(sampling.sample_records(df, 1234, seed=3, key=("value",)))
+    monkeypatch.setattr(sampling, "RUN", 3)
+    assert len(one) == 1234 and rows(sampling.sample_records(df.repartition(13), 1234, seed=3, key=("value",))) == one
 
 
 def test_equal_lines_are_drawn_one_by_one(spark):
     df = spark.createDataFrame([("same", i) for i in range(50)], "value string, n int")
-    assert sampling.sample_records(df, 7, seed=1, key=("n",)).count() == 7
+    assert sampling.sample_records(df, 7, seed=1, key=("value",)).count() == 7
 
 
 def test_reports(spark, tmp_path):

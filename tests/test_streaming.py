@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -34,6 +35,16 @@ def test_triage_stream_equals_batch_and_picks_up_new_files(spark, tmp_path):
     assert dead.count() == 5 and dead.select("source_record.data").first() is not None
 
 
+def test_a_second_triage_run_leaves_the_first_alone(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for run, ids in (("r1", range(5)), ("r2", range(5, 8))):
+        put(tmp_path / run, "a.jsonl", ids)
+        triage_stream(spark, str(tmp_path / run), out, str(tmp_path / f"c-{run}"), run).awaitTermination()
+    assert spark.read.json(f"{out}/log").count() == 8
+    with pytest.raises(ValueError, match="another checkpoint"):
+        triage_stream(spark, str(tmp_path / "r1"), out, str(tmp_path / "c-new"), "r1")
+
+
 def test_resume_stream_skips_processed_ids(spark, tmp_path):
     source = tmp_path / "in"
     put(source, "a.jsonl", range(6))

@@ -33,7 +33,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # ---- stand-in judges ------------------------------------------------------
 def _inputs(request: str):
-    return json.loads(json.loads(request)["messages"][1]["content"].split("INPUT:\n", 1)[1])
+    return json.loads(json.loads(request)["messages"][-1]["content"].split("INPUT:\n", 1)[1])
 
 
 def _body(provider: str, results: list, usage: dict) -> str:
@@ -92,7 +92,7 @@ def requests(spark, sf):
     rows = judging.build_requests(batches, _prompts(spark).filter("version_num = 2"), cost.routing_table(ROUTING), "run")
     turns = F.from_json("request", "messages ARRAY<STRUCT<role STRING, content STRING>>")["messages"]
     inputs = F.from_json(
-        F.split_part(F.get(turns, F.lit(1))["content"], F.lit("INPUT:\n"), F.lit(2)),
+        F.split_part(F.element_at(turns, -1)["content"], F.lit("INPUT:\n"), F.lit(2)),
         "ARRAY<STRUCT<event_id STRING, source_body STRING>>",
     )
     return rows.select(
@@ -127,6 +127,27 @@ def check_audit(spark, sf):
     )
 
 
+def check_resume(spark, sf):
+    """Half of the responses are stored, the judge is asked for the rest."""
+    first = _run(spark, sf).responses
+    records, prompts = parse_records(nested_lines(spark, sf)), _prompts(spark)
+    half = first.filter(F.crc32(F.col("call_id").cast("binary")) % 2 == 0)
+    again = run_checks(records, prompts, length_judge, responses=half, routing=ROUTING, run_id="run")
+    return judging.verdict_columns(again.results).select("check_name", "event_id", "pos", "result", "confidence", "reason")
+
+
+def check_invalid_answers(spark, sf):
+    """Responses of every 13th batch are broken: default verdicts, and a mark in the audit."""
+    batch = F.split_part("call_id", F.lit("/"), F.lit(3)).cast("int")
+    broken = _run(spark, sf).responses.withColumn("response", F.when(batch % 13 == 0, F.lit("{no json")).otherwise(F.col("response")))
+    run = run_checks(
+        parse_records(nested_lines(spark, sf)), _prompts(spark), responses=broken, routing=ROUTING, run_id="run", mode="quarantine"
+    )
+    verdicts = judging.verdict_columns(run.results).groupBy("check_name", "result", "reason").agg(F.count("*").alias("n"))
+    marked = run.audit.groupBy("check_name").agg(F.count_if("is_invalid").alias("n_invalid"))
+    return verdicts.join(marked, "check_name")
+
+
 def batch_ids(spark, sf):
     out = batching.batch_ids(results_view(spark, sf), 10, ("id",), ("run_id", "check_name"))
     return out.select("id", "run_id", "check_name", "pos", "batch_id")
@@ -364,7 +385,7 @@ def _failing(spark, sf) -> DataFrame:
 
 
 def remediations(spark, sf):
-    run = run_remediation(_failing(spark, sf), fix_judge, run_id="fix", order=("id",))
+    run = run_remediation(_failing(spark, sf), "Fix what failed.", fix_judge, run_id="fix", order=("id",))
     item, metrics = F.col("remediation"), F.col("llm_metrics")
     return run.remediations.select(
         "check_name", "event_id", "pos",
@@ -376,7 +397,7 @@ def remediations(spark, sf):
 
 
 def remediation_audit(spark, sf):
-    run = run_remediation(_failing(spark, sf), fix_judge, run_id="fix", order=("id",))
+    run = run_remediation(_failing(spark, sf), "Fix what failed.", fix_judge, run_id="fix", order=("id",))
     return run.audit.select(
         "stage", "check_name", "model", "prompt_version", "latency_ms", F.round("cost_usd", 9).alias("cost_usd"),
         F.col("decision.total_results").alias("total_results"),
@@ -497,7 +518,7 @@ def reconcile(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        requests, check_results, check_audit, batch_ids, cap_failures, cap_failures_large, unpack_chat, unpack_blocks,
+        requests, check_results, check_audit, check_resume, check_invalid_answers, batch_ids, cap_failures, cap_failures_large, unpack_chat, unpack_blocks,
         last_answer, attach_answers, decision_summary, resume, processed_ids, call_cost, cost_attribution, routing,
         model_spec, legacy_run_id, run_id_of_time, quality_rows, strict_confidence, remediation_rows, audit_rows,
         upsert_records, quarantine, remediations, remediation_audit, route, route_remediation, remediation_violations,
@@ -551,7 +572,7 @@ ORACLE = {
     "requests": _more("rec", _BATCHED) + """
 select concat('run/', check_name, '/', batch_id) call_id, check_name, count(*) n_rows, 'v2' prompt_version,
   concat(check_name, '_v2.txt') prompt_file, model model_spec, string_agg(event_id, ',' order by pos) event_ids,
-  CAST(sum(case when no_article then 0 else least(length(body), 1500) end) AS BIGINT) body_chars
+  CAST(sum(case when no_article then 0 else length(body) end) AS BIGINT) body_chars
 from eb, ck group by batch_id, check_name, model""",
     "check_results": _more("rec", _BATCHED) + f"""
 select check_name, event_id, pos, case when len % 7 = 0 or len % 3 = 0 then 'fail' else 'pass' end result,
@@ -564,6 +585,15 @@ from eb join calls using (batch_id), ck""",
     "check_audit": _more("rec", _BATCHED) + f"""
 select check_name, model, provider, 'v2' prompt_version, 600.0::DOUBLE latency_ms, round({_CALL_COST}, 9) cost_usd,
   pin prompt_tokens, n_pass, n_fail, CAST(0 AS BIGINT) n_other from calls, ck""",
+    "check_resume": _more("rec", _BATCHED) + """
+select check_name, event_id, pos, case when len % 7 = 0 or len % 3 = 0 then 'fail' else 'pass' end result,
+  case when len % 7 = 0 then 0.0::DOUBLE else (len % 100)::DOUBLE / 100 end confidence,
+  case when len % 7 = 0 then 'No valid model result returned for this row.' else 'by length' end reason from eb, ck""",
+    "check_invalid_answers": _more("rec", _BATCHED) + """
+select check_name, case when lost or len % 3 = 0 then 'fail' else 'pass' end result,
+  case when lost then 'No valid model result returned for this row.' else 'by length' end reason, count(*) n,
+  (select count(*) from calls where batch_id % 13 = 0) n_invalid
+from (select *, batch_id % 13 = 0 or len % 7 = 0 lost from eb), ck group by 1, 2, 3""",
     "batch_ids": with_views(
         "select id, run_id, check_name, p pos, p // 10 batch_id from (select *, row_number() over "
         "(partition by run_id, check_name order by id) - 1 p from qr)", "qr"),
@@ -663,14 +693,14 @@ select doc_id, v violations from (select doc_id, concat_ws(',',
   case when doc_id % 17 = 0 then 'missing_key' end,
   case when doc_id % 11 = 0 then 'unknown_verdict' end) v from ver) where v <> ''""",
     "evidence_spans": _more("rec", _VER, f"sp as ({_SPANS})")
-        + "select doc_id, check_name, CAST(span_pos AS INT) span_pos, span_text, source_field from sp where check_name <> 'entity_resolution'",
+        + "select doc_id, check_name, case when check_name = 'entity_resolution' then CAST(0 AS INT) end entity_pos, CAST(span_pos AS INT) span_pos, span_text, source_field from sp",
     "explode_assessments": _more("rec", _VER) + "select doc_id, check_name, CAST(0 AS INT) entity_pos, 'C1' entity_id, 'n' entity_name, "
         "true is_plausibly_linked, case when doc_id % 5 = 0 then 'none' else 'strong' end role_fit, CAST(2 AS INT) n_spans from ver "
         "where check_name = 'entity_resolution'",
     "quality_signals": _more("rec", _VER) + "select doc_id, check_name, true is_event_bearing, false is_marketing_heavy, "
         "case when doc_id % 4 <> 2 then false end is_likely_duplicate, true is_relevant_to_label from ver where check_name = 'source_credibility'",
     "ungrounded_spans": _more("rec", _VER, f"sp as ({_SPANS})") + """
-select doc_id event_id, check_name, span_text, source_field from sp where check_name <> 'entity_resolution' and not coalesce(contains(
+select doc_id event_id, check_name, case when check_name = 'entity_resolution' then CAST(0 AS INT) end entity_pos, span_text, source_field from sp where not coalesce(contains(
   case source_field when 'source_body' then case when not no_article then body end when 'article_sentence' then article_sentence end,
   span_text), false)""",
     "reconcile": with_views("""

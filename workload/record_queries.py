@@ -51,12 +51,19 @@ def check_input_entity(spark, sf):
 
 
 def check_input_source(spark, sf):
-    out = records.check_input(records.eligible(_payload(spark, sf)), "source_credibility", 100).select("input.*")
+    out = records.check_input(records.eligible(_payload(spark, sf)), "source_credibility").select("input.*")
+    out = out.withColumn("source_body", F.md5("source_body"))
     return out.withColumn("possible_duplicate_count", F.col("dedupe_context.possible_duplicate_count")).drop(
         "dedupe_context"
     )
 
 
+def check_input_truncated(spark, sf):
+    """The one query of the truncation feature."""
+    out = records.check_input(records.eligible(_payload(spark, sf)), "semantic_accuracy", 100)
+    return out.select("input.event_id", "input.source_body")
+
+
 def _context(check):
     def query(spark, sf):
         results = nested_lines(spark, sf).select(F.col("value").alias("source_record_json"))
@@ -121,7 +128,7 @@ def confidence_histogram(spark, sf):
 
 
 def category_profile(spark, sf):
-    out = profile.category_profile(flat_records(spark, sf), "category", 5)
+    out = profile.category_profile(flat_records(spark, sf), "category", None)
     return out.withColumn("share", F.round("share", 6))
 
 
@@ -163,8 +170,8 @@ def unknown_values(spark, sf):
 
 
 def variant_groups(spark, sf):
-    """Sentences that differ only in case and punctuation."""
-    spelled = read(spark, sf, "documents").select(F.substring("text", 1, 3).alias("name"))
+    """First lines that differ only in case and punctuation."""
+    spelled = read(spark, sf, "documents").select(F.split_part("text", F.lit("\n"), F.lit(1)).alias("name"))
     return profile.variant_groups(spelled, "name").drop("canonical")
 
 
@@ -198,11 +205,12 @@ def latest_prompts_query(spark, sf):
     version = prompt_version(F.col("file"))
     registry = (
         read(spark, sf, "documents")
-        .select(F.concat("source", F.lit("_"), "lang").alias("base"), name.alias("file"), F.substring("text", 1, 20).alias("text"))
+        .groupBy(F.concat("source", F.lit("_"), "lang").alias("base"), name.alias("file"))
+        .agg(F.max("text").alias("text"))
         .withColumn("version", version)
         .withColumn("version_num", version_number(F.col("version")))
     )
-    return latest_prompts(registry).select("base", "version", "version_num", "file")
+    return latest_prompts(registry).select("base", "version", "version_num", "file", F.md5("text").alias("text"))
 
 
 def text_rules(spark, sf):
@@ -240,7 +248,7 @@ def similar_summaries(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        payload, company_entities, check_input_semantic, check_input_entity, check_input_source, triage,
+        payload, company_entities, check_input_semantic, check_input_entity, check_input_source, check_input_truncated, triage,
         triage_counts, relationships, schema_violations, null_profile, attribute_nulls, uniqueness_profile,
         confidence_profile, confidence_histogram, category_profile, sparsity_by_category, duplicate_ids,
         duplicate_summary, dedupe, constraint_report, unknown_values, variant_groups, parse_amount, text_rules,
@@ -263,7 +271,7 @@ _INPUT = (
 _CONTEXT = (
     "event_id, category, summary, article_sentence, "
     "strftime(to_timestamp(1751846400 + doc_id) at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ') found_at, "
-    + _ART.format("left(body, 60)") + " source_title, " + _ART.format("md5(left(body, 2500))") + " source_body"
+    + _ART.format("left(body, 60)") + " source_title, " + _ART.format("md5(body)") + " source_body"
 )
 _EMPTY = "nullif(event_id, '') event_id, category, nullif(article_sentence, '') article_sentence"
 _COMPANY = "select event_id, doc_id, lang, unnest(range(1, n_companies + 1)) i from rec"
@@ -321,16 +329,18 @@ ORACLE = {
         "select event_id, concat('C', doc_id, '_', i) entity_id, 'company' entity_type, "
         f"concat('Company ', lang, ' ', i) entity_name, concat(lang, i, '.example') entity_domain from ({_COMPANY})", "rec"),
     "check_input_semantic": with_views(
-        f"select {_INPUT}, {_ART.format('md5(left(body, 1500))')} source_body, {_DATE} event_date from rec "
+        f"select {_INPUT}, {_ART.format('md5(body)')} source_body, {_DATE} event_date from rec "
         "where event_id <> ''", "rec"),
     "check_input_entity": with_views(
         f"select {_INPUT}, {_ART.format('md5(body)')} source_body, n_companies linked_entities from rec "
         "where event_id <> ''", "rec"),
     "check_input_source": with_views(
-        f"select {_INPUT}, {_ART.format('left(body, 100)')} source_body, "
+        f"select {_INPUT}, {_ART.format('md5(body)')} source_body, "
         + _ART.format("concat('https://news.example/', doc_id)") + " source_url, "
         + _ART.format("'2025-07-07T00:00:00Z'") + " published_at, CAST(0 AS BIGINT) possible_duplicate_count from rec "
         "where event_id <> ''", "rec"),
+    "check_input_truncated": with_views(
+        f"select event_id, {_ART.format('left(body, 100)')} source_body from rec where event_id <> ''", "rec"),
     "source_context_semantic": with_views(f"select {_CONTEXT} from rec", "rec"),
     "source_context_entity": with_views(
         f"select {_CONTEXT}, case n_companies when 0 then '' when 1 then concat('Company ', lang, ' 1') "
@@ -372,8 +382,7 @@ select event_id, 'data' part, CAST(0 AS INT) "position", field, rule from (
         "select CAST((doc_id % 100) // 10 + 1 AS INT) bin, count(*) cnt from rec group by 1", "rec"),
     "category_profile": with_views(
         "select category, count(*) cnt, round(count(*) / (select count(category) from rec), 6) share, "
-        "(select count(distinct category) from rec) n_categories from rec where category is not null group by 1 "
-        "order by 2 desc, 1 limit 5", "rec"),
+        "(select count(distinct category) from rec) n_categories from rec where category is not null group by 1", "rec"),
     "sparsity_by_category": with_views(
         "select lang category, field, count(*) \"rows\", round(1 - count(v) / count(*), 6) null_share from ("
         "select lang, 'event_id' field, nullif(event_id, '') v from rec union all select lang, 'category', category from "
@@ -391,7 +400,7 @@ select event_id, 'data' part, CAST(0 AS INT) "position", field, rule from (
             "lang_taxonomy": "lang not in ('en', 'de')"}.items()), "rec"),
     "unknown_values": "select lang \"value\", count(*) cnt from documents where lang = 'fr' group by 1",
     "variant_groups": f"""
-with s as (select left(text, 3) variant, count(*) cnt from documents where text is not null group by 1),
+with s as (select split_part(text, chr(10), 1) variant, count(*) cnt from documents where text is not null group by 1),
 n as (select *, {_NORMAL.format("variant")} normal_form from s),
 g as (select normal_form, count(*) n_variants, CAST(sum(cnt) AS BIGINT) n_rows from n group by 1 having count(*) > 1)
 select normal_form, variant, cnt, n_variants, n_rows from n join g using (normal_form)""",
@@ -401,23 +410,23 @@ select l_orderkey, l_linenumber, case when l_linenumber = 5 then null else {_FLO
   case l_linenumber when 1 then 'EUR' when 2 then 'THB' when 3 then 'GBP' when 4 then 'USD' end currency,
   l_linenumber <> 5 amount_parsed from lineitem""",
     "latest_prompts": """
-select base, version, version_num, file from (select *, row_number() over (partition by base order by version_num desc, file desc) r
-from (select distinct concat(source, '_', lang) base,
+select base, version, version_num, file, md5(text) "text" from (select *, row_number() over (partition by base order by version_num desc, file desc) r
+from (select concat(source, '_', lang) base, max(text) "text",
   case when doc_id % 5 = 0 then 'vfinal' else concat('v', doc_id % 12) end version,
   CAST(case when doc_id % 5 = 0 then 0 else doc_id % 12 end AS INT) version_num,
   concat(source, '_', lang, case when doc_id % 5 = 0 then '_vfinal' else concat('_v', doc_id % 12) end, '.txt') file
-from documents)) where r = 1""",
+from documents group by all)) where r = 1""",
     "text_rules": with_views(r"""
 select doc_id, CAST(w AS INT) words, w <= 30 short_enough,
   case when confidence >= 0.9 then 'unambiguous' when confidence >= 0.7 then 'strong' when confidence >= 0.4 then 'mixed'
        else 'unsupported' end band, doc_id % 4 >= 2 valid_time
 from (select *, len(list_filter(regexp_split_to_array(summary, '\s+'), lambda x: x <> '')) w from rec)""", "rec"),
-    "sample": "select doc_id, lang from documents order by md5(concat('7~', doc_id)), doc_id limit 100",
+    "sample": "select doc_id, lang from documents order by md5(concat('7~', md5(CAST(doc_id AS VARCHAR)), '~1')) limit 100",
     "sample_summary": "select count(*) seen, least(count(*), 100) kept from documents",
     "duplicate_counts": f"""
 with k as (select doc_id, nullif({_NORMAL.format("text")}, '') f from documents)
 select doc_id, case when f is null then 0 else count(*) over (partition by f) - 1 end possible_duplicate_count from k""",
     "similar_summaries": f"""
-with k as (select nullif({_NORMAL.format("text")}, '') f, left(text, 200) event_summary from documents)
+with k as (select nullif({_NORMAL.format("text")}, '') f, text event_summary from documents)
 select md5(f) story, event_summary, count(*) cnt from k where f in (select f from k group by 1 having count(*) > 1) group by 1, 2""",
 }

@@ -32,8 +32,8 @@ def backlog(spark, sf):
 
 
 def backlog_all(spark, sf):
-    """Whole backlog of one run, without the screen's top 200."""
-    out = review.backlog(results_view(spark, sf), labels_view(spark, sf), run="R03", n=None)
+    """Whole backlog, without the screen's top 200."""
+    out = review.backlog(results_view(spark, sf), labels_view(spark, sf), n=None)
     return _text_time(out, "last_seen_at")
 
 
@@ -281,7 +281,7 @@ ORACLE = {
         _BACKLOG.format(seen=_duck_time("max(q.created_at)"), extra="")
         + " order by max(q.created_at) desc, q.event_id, q.run_id limit 200", "qr", "hr"),
     "backlog_all": with_views(
-        _BACKLOG.format(seen=_duck_time("max(q.created_at)"), extra="and q.run_id = 'R03'"), "qr", "hr"),
+        _BACKLOG.format(seen=_duck_time("max(q.created_at)"), extra=""), "qr", "hr"),
     "backlog_view": with_views(
         f"select event_id, run_id, check_name, result, confidence, CAST(null AS VARCHAR) reason, "
         f"{_duck_time('created_at')} created_at from qr where result = 'fail'", "qr"),

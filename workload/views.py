@@ -83,7 +83,7 @@ def flat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(d % 17 == 0, "").otherwise(F.concat(F.lit("D"), d.cast("string"))).alias("event_id"),
         F.when(d % 13 == 0, F.lit(None)).otherwise(F.col("source")).alias("category"),
         F.when(d % 11 == 0, "").otherwise(F.split_part("text", F.lit("\n"), F.lit(1))).alias("article_sentence"),
-        F.substring("text", 1, 200).alias("summary"),
+        F.col("text").alias("summary"),
         F.col("text").alias("body"),
         "lang",
         F.when(F.col("lang") == "en", 2).when(F.col("lang") == "de", 1).otherwise(0).alias("n_companies"),
@@ -198,7 +198,7 @@ from conversations""",
 select doc_id, case when doc_id % 17 = 0 then '' else concat('D', CAST(doc_id AS VARCHAR)) end event_id,
   case when doc_id % 13 = 0 then null else source end category,
   case when doc_id % 11 = 0 then '' else split_part(text, chr(10), 1) end article_sentence,
-  left(text, 200) summary, text body, lang,
+  text summary, text body, lang,
   case when lang = 'en' then 2 when lang = 'de' then 1 else 0 end n_companies,
   doc_id % 7 = 0 no_article, (doc_id % 100) / 100.0 confidence
 from documents""",
