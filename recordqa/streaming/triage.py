@@ -15,9 +15,11 @@ from recordqa.operators.triage import triage
 from recordqa.sources.lines import parse_records
 
 
-def lines_stream(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
+def lines_stream(
+    spark: SparkSession, directory: str, files_per_batch: int | None = None, pattern: str = "*.jsonl"
+) -> DataFrame:
     """Non-blank lines of files as they arrive."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", "*.jsonl")
+    reader = spark.readStream.format("text").option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
@@ -35,7 +37,13 @@ def _holds_files(spark: SparkSession, folder: str) -> bool:
 
 
 def triage_stream(
-    spark: SparkSession, directory: str, out_dir: str, checkpoint: str, run_id: str, files_per_batch: int | None = None
+    spark: SparkSession,
+    directory: str,
+    out_dir: str,
+    checkpoint: str,
+    run_id: str,
+    files_per_batch: int | None = None,
+    pattern: str = "*.jsonl",
 ) -> StreamingQuery:
     """Triage new files into ``log``, ``escalated`` and ``dead_letter`` below ``out_dir``.
 
@@ -65,7 +73,7 @@ def triage_stream(
         )
 
     return (
-        lines_stream(spark, directory, files_per_batch)
+        lines_stream(spark, directory, files_per_batch, pattern)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
