@@ -180,10 +180,13 @@ def duplicate_summary(df: DataFrame, key: str = "id") -> DataFrame:
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row per composite key along ``order``; null keys group together.
 
-    The rank limit leaves at most one row per key and task before the shuffle.
+    The rank limit leaves at most one row per key and task before the shuffle. Rows meet and are sorted by a 128-bit
+    digest of the keys, not by the keys, which may be whole texts.
     """
-    first = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+    parts = [F.col(k) for k in keys] + [F.col(k).isNull() for k in keys]
+    keyed = df.withColumns({"_k1": F.xxhash64(*parts), "_k2": F.xxhash64(F.lit("second"), *parts)})
+    first = Window.partitionBy("_k1", "_k2").orderBy(*order)
+    return keyed.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank", "_k1", "_k2")
 
 
 # ---- constraints ----------------------------------------------------------
@@ -204,6 +207,18 @@ def is_boolean(col: str) -> Column:
     return F.col(col).try_cast("boolean").isNotNull()
 
 
+def published_rules(categories: Sequence[str], financing_types: Sequence[str]) -> dict[str, Column]:
+    """The published rule set over flat attributes; a taxonomy too long for a list goes through ``unknown_values``."""
+    required = ("id", "type", "found_at", "article_sentence", "summary")
+    return {
+        **{f"{c}_not_null": not_null(c) for c in required},
+        "confidence_range": in_range("confidence", 0.0, 1.0),
+        "human_approved_boolean": is_boolean("human_approved"),
+        "category_taxonomy": member_of("category", categories),
+        "financing_type_taxonomy": member_of("financing_type_normalized", financing_types),
+    }
+
+
 def constraint_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Violations per named rule in one pass; a rule is a Column that is true for valid rows."""
     bad = [F.count_if(~F.coalesce(valid, F.lit(False))).alias(f"_{i}") for i, valid in enumerate(rules.values())]

@@ -116,6 +116,10 @@ _PATCH_PATHS = {
 }
 
 
+# Links of the event to other objects.
+_LINK_PATH = r"^relationships\.[A-Za-z0-9_]+\.data\.id$"
+
+
 def remediation_violations(remediations: DataFrame) -> DataFrame:
     """Recommendations that break the contract: adds ``violations``, keeps only rows with some.
 
@@ -132,7 +136,9 @@ def remediation_violations(remediations: DataFrame) -> DataFrame:
     for name, field in _PATCH_PATHS.items():
         present = F.when(path == name, F.col(f"_attrs.attributes.{field}")).otherwise(present)
     old = F.try_variant_get(item, "$.proposed_patch.old_value", "string")
-    known_path = path.isin(*_PATCH_PATHS)
+    linked = path.rlike(_LINK_PATH)
+    present = F.when(linked, F.call_function("get_json_object", F.col("source_record"), F.concat(F.lit("$.data[0]."), path))).otherwise(present)
+    known_path = path.isin(*_PATCH_PATHS) | linked
     acts = decision.isin(*REMEDIATION_DECISIONS) & (decision != "no_change")
     rules = {
         "unknown_decision": ~F.coalesce(decision.isin(*REMEDIATION_DECISIONS), F.lit(False)),

@@ -1,25 +1,28 @@
 """The warehouse: Parquet tables under one root, with appends and keyed upserts.
 
-Append tables grow by partition. Keyed tables (records, labels) are rewritten
-into a new snapshot folder and read from the newest finished one, so no path is
-overwritten while it is read and a failed write leaves the old snapshot valid.
+Append tables grow by partition. Keyed tables (records, labels) are partitioned by a hash of their
+key, and an upsert rewrites only the partitions its keys fall into.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recordqa.functions.variants import string_at
 from recordqa.operators.loading import to_audit_rows, to_quality_rows, to_remediation_rows, upsert_records
 from recordqa.operators.review import backlog_view, upsert_labels
 from recordqa.schema import CHECKS, PARTITIONS, TABLE_DDL
+from recordqa.session import stage_table
 
-KEYED = ("records", "human_review_labels")
+# Keyed tables and their keys.
+KEYED = {"records": "event_id", "human_review_labels": "quality_result_id"}
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        """``buckets``: partitions of a keyed table; it must not change once tables are written."""
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     # ---- layout -----------------------------------------------------------
     def schema(self, name: str) -> T.StructType:
@@ -27,38 +30,36 @@ class Warehouse:
             raise ValueError(f"unknown table {name!r}; known: {', '.join(TABLE_DDL)}")
         return T.StructType.fromDDL(TABLE_DDL[name])
 
-    def _fs(self, path: str):
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
-
-    def _exists(self, path: str) -> bool:
-        fs, jpath = self._fs(path)
-        return fs.exists(jpath)
-
-    def _snapshots(self, name: str) -> list[int]:
-        """Numbers of the finished snapshots of a keyed table, ascending."""
-        fs, jpath = self._fs(f"{self.root}/{name}")
-        if not fs.exists(jpath):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(jpath)]
-        numbers = [int(n.removeprefix("snapshot-")) for n in names if n.startswith("snapshot-")]
-        return sorted(n for n in numbers if self._exists(f"{self.root}/{name}/snapshot-{n}/_SUCCESS"))
-
     def path(self, name: str) -> str:
-        if name not in KEYED:
-            return f"{self.root}/{name}"
-        return f"{self.root}/{name}/snapshot-{self._snapshots(name)[-1]}"
+        return f"{self.root}/{name}"
+
+    def _exists(self, name: str) -> bool:
+        try:
+            self.spark.read.schema(self.schema(name)).parquet(self.path(name))
+        except AnalysisException:
+            return False
+        return True
 
     def init(self) -> None:
         """Create the tables that do not exist yet, empty; running it again changes nothing."""
         for name in TABLE_DDL:
-            exists = self._snapshots(name) if name in KEYED else self._exists(f"{self.root}/{name}/_SUCCESS")
-            if not exists:
-                self._write(name, self.spark.createDataFrame([], self.schema(name)))
+            if not self._exists(name):
+                self._checked(name, self.spark.createDataFrame([], self.schema(name))).write.parquet(self.path(name))
 
     # ---- reads ------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
+        schema = self.schema(name)
+        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
+
+    def _bucket(self, name: str) -> Column:
+        return F.pmod(F.xxhash64(KEYED[name]), F.lit(self.buckets)).cast("int")
+
+    def _touched(self, name: str, incoming: DataFrame) -> DataFrame:
+        """Stored rows of the partitions that keys of ``incoming`` fall into."""
+        schema = T.StructType([*self.schema(name).fields, T.StructField("bucket", T.IntegerType())])
+        stored = self.spark.read.schema(schema).parquet(self.path(name))
+        hit = incoming.select(self._bucket(name).alias("bucket")).distinct()
+        return stored.join(hit, "bucket", "left_semi").drop("bucket")
 
     def create_views(self) -> None:
         """Temp views of all tables and of the stored review backlog."""
@@ -81,14 +82,12 @@ class Warehouse:
 
     def _write(self, name: str, df: DataFrame, mode: str = "append") -> None:
         rows = self._checked(name, df)
-        if name in KEYED:
-            done = self._snapshots(name)
-            rows.write.mode("overwrite").parquet(f"{self.root}/{name}/snapshot-{(done[-1] if done else 0) + 1}")
-            return
+        parts = PARTITIONS.get(name, ())
+        if name in KEYED:  # staged, since the partitions to replace are read for it
+            rows = stage_table(rows.withColumn("bucket", self._bucket(name)), f"upsert-{name}").repartition("bucket")
+            parts, mode = ("bucket",), "overwrite"
         writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        if name in PARTITIONS:
-            writer = writer.partitionBy(*PARTITIONS[name])
-        writer.parquet(f"{self.root}/{name}")
+        (writer.partitionBy(*parts) if parts else writer).parquet(self.path(name))
 
     def load_quality(self, results: DataFrame, replace_runs: bool = False) -> None:
         """Append result rows as read by ``read_all_checks`` and refresh the records.
@@ -125,11 +124,12 @@ class Warehouse:
             "line_id",
         )
         merged = upsert_records(
-            self.table("records"), incoming, ("seen_at", "written_at", "run_id", "check_no", "file_name", "block_start", "line_id")
+            self._touched("records", incoming), incoming, ("seen_at", "written_at", "run_id", "check_no", "file_name", "block_start", "line_id")
         )
         self._write("records", merged)
 
     def label(self, new: DataFrame) -> None:
         """Store reviews; a newer label of the same result replaces the older one."""
         stamped = new if "labeled_at" in new.columns else new.withColumn("labeled_at", F.current_timestamp())
-        self._write("human_review_labels", upsert_labels(self.table("human_review_labels"), self._checked("human_review_labels", stamped)))
+        new = self._checked("human_review_labels", stamped)
+        self._write("human_review_labels", upsert_labels(self._touched("human_review_labels", new), new))

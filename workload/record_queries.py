@@ -164,6 +164,32 @@ def constraint_report(spark, sf):
     return profile.constraint_report(flat, rules)
 
 
+def published_constraints(spark, sf):
+    d = F.col("doc_id")
+    flat = empty_to_null(flat_records(spark, sf)).withColumns(
+        {
+            "id": F.col("event_id"), "type": F.when(d % 29 != 0, "news_event"), "found_at": F.when(d % 31 != 0, "2025-07-01"),
+            "confidence": F.when(d % 23 == 0, 1.5).otherwise(F.col("confidence")),
+            "human_approved": F.when(d % 19 == 0, "maybe").when(d % 2 == 0, "true").otherwise("false"),
+            "financing_type_normalized": F.when(d % 5 == 0, "seed").when(d % 7 == 0, "odd"),
+        }
+    )
+    known = [f"src{i}" for i in range(18)]
+    return profile.constraint_report(flat, profile.published_rules(known, ["seed", "series_a"]))
+
+
+def dedupe_published(spark, sf):
+    """Both published keys one after the other."""
+    rows = flat_records(spark, sf).withColumn("found_at", (F.col("doc_id") % 3).cast("string"))
+    once = profile.dedupe(rows, ("found_at", "category", "summary"), ("doc_id",))
+    return profile.dedupe(once, ("found_at", "article_sentence"), ("doc_id",)).select("doc_id")
+
+
+def head_tokens(spark, sf):
+    lines = read(spark, sf, "documents").select(F.split_part("text", F.lit("\n"), F.lit(1)).alias("name"))
+    return profile.head_token_groups(lines, "name")
+
+
 def unknown_values(spark, sf):
     known = read(spark, sf, "documents").filter("lang <> 'fr'").select(F.col("lang").alias("known")).distinct()
     return profile.unknown_values(flat_records(spark, sf), "lang", known, "known")
@@ -251,7 +277,7 @@ QUERIES = {
         payload, company_entities, check_input_semantic, check_input_entity, check_input_source, check_input_truncated, triage,
         triage_counts, relationships, schema_violations, null_profile, attribute_nulls, uniqueness_profile,
         confidence_profile, confidence_histogram, category_profile, sparsity_by_category, duplicate_ids,
-        duplicate_summary, dedupe, constraint_report, unknown_values, variant_groups, parse_amount, text_rules,
+        duplicate_summary, dedupe, constraint_report, published_constraints, dedupe_published, head_tokens, unknown_values, variant_groups, parse_amount, text_rules,
         sample, sample_summary, duplicate_counts, similar_summaries,
     )
 }
@@ -398,6 +424,19 @@ select event_id, 'data' part, CAST(0 AS INT) "position", field, rule from (
             "id_not_null": "event_id = ''", "category_not_null": "category is null",
             "sentence_not_null": "article_sentence = ''", "confidence_range": "confidence > 0.5",
             "lang_taxonomy": "lang not in ('en', 'de')"}.items()), "rec"),
+    "published_constraints": with_views(" union all ".join(
+        f"select '{rule}' rule, count(*) \"rows\", count(*) filter ({bad}) violations from rec" for rule, bad in {
+            "id_not_null": "event_id = ''", "type_not_null": "doc_id % 29 = 0", "found_at_not_null": "doc_id % 31 = 0",
+            "article_sentence_not_null": "article_sentence = ''", "summary_not_null": "coalesce(summary, '') = ''",
+            "confidence_range": "doc_id % 23 = 0", "human_approved_boolean": "doc_id % 19 = 0",
+            "category_taxonomy": "category in ('src18', 'src19')",
+            "financing_type_taxonomy": "doc_id % 5 <> 0 and doc_id % 7 = 0"}.items()), "rec"),
+    "dedupe_published": with_views("""
+select doc_id from (select *, row_number() over (partition by doc_id % 3, article_sentence order by doc_id) r2 from (
+  select *, row_number() over (partition by doc_id % 3, category, summary order by doc_id) r from rec) where r = 1) where r2 = 1""", "rec"),
+    "head_tokens": f"""
+select {_NORMAL.format("split_part(split_part(text, chr(10), 1), ',', 1)")} head, split_part(text, chr(10), 1) variant, count(*) cnt
+from documents where text is not null group by 1, 2""",
     "unknown_values": "select lang \"value\", count(*) cnt from documents where lang = 'fr' group by 1",
     "variant_groups": f"""
 with s as (select split_part(text, chr(10), 1) variant, count(*) cnt from documents where text is not null group by 1),
