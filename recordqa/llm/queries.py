@@ -103,7 +103,54 @@ QUERIES = {
     "op10_tiling": op10_tiling,
 }
 
+_B32 = " || ".join(f"to_base(CAST('0x' || substr(h, {at}, 5) AS BIGINT), 32, 4)" for at in range(1, 41, 5))
+
+
+def _spans(rank: int, kind: str, pattern: str, keep: str = "true") -> str:
+    """Matches of one kind as rows (row, rank, kind, start_at, end_at) in DuckDB SQL."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+          SELECT row, {rank} AS rank, '{kind}' AS kind, start_at, start_at + length(found[i + 1]) AS end_at FROM (
+            SELECT row, found, i, CAST(list_sum(list_transform(gaps[1:i + 1], lambda x: length(x)))
+                   + coalesce(list_sum(list_transform(found[1:i], lambda x: length(x))), 0) AS INTEGER) AS start_at
+            FROM (SELECT *, unnest(range(len(found))) AS i FROM (
+              SELECT row, regexp_extract_all(text, '{quoted}') AS found, string_split_regex(text, '{quoted}') AS gaps
+              FROM texts WHERE regexp_matches(text, '{quoted}'))))
+          WHERE {keep}"""
+
+
+_KEEP = f"length(regexp_replace(found[i + 1], '{secrets.ASSIGN_HEAD.replace("'", "''")}', '')) >= 6"
+
 ORACLE = {
+    "op3_warc": f"""
+        SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+               translate({_B32}, '{warc.CONV32}', '{warc.BASE32}') AS payload_digest,
+               CASE WHEN m IS NOT NULL AND page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
+        FROM (SELECT *, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS m FROM pages)
+    """,
+    "op8_secrets": f"""
+        WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+        base AS ({" UNION ALL ".join(_spans(r, k, p, _KEEP if k == "assign" else "true") for r, (k, p) in enumerate(secrets.BASE))}),
+        weak AS ({" UNION ALL ".join(_spans(r, k, p) for r, (k, p) in enumerate(secrets.WEAK, len(secrets.BASE)))}),
+        linked AS (
+          SELECT w.* FROM weak w
+          WHERE (w.kind = 'endpoint' OR NOT EXISTS (
+                   SELECT 1 FROM base b WHERE b.row = w.row AND b.start_at < w.end_at AND w.start_at < b.end_at))
+            AND EXISTS (SELECT 1 FROM base b WHERE b.row = w.row AND abs(b.start_at - w.start_at) <= 400
+                          AND (b.kind = 'access' OR w.kind = 'endpoint' AND b.kind = 'assign'))),
+        named AS (
+          SELECT row, rank, kind, start_at, kind || ':' || start_at || ':' || end_at AS span, true AS own FROM base
+          UNION ALL SELECT row, rank, kind, start_at, kind || ':' || start_at || ':' || end_at, false FROM linked),
+        joined AS (
+          SELECT row, count(*) FILTER (own AND kind = 'assign') AS n_assign, count(*) FILTER (own AND kind = 'access') AS n_access,
+                 count(*) FILTER (own AND kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY start_at, rank) FILTER (own) AS base,
+                 string_agg(span, ',' ORDER BY start_at, rank) AS spans
+          FROM named GROUP BY row)
+        SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM texts t LEFT JOIN joined j ON t.row = j.row
+    """,
     "op1_url_lists": r"""
         WITH parsed AS (
           SELECT page_id, CAST('0x' || substr(md5('fetch:' || coalesce(CAST(page_id AS VARCHAR), '')), 1, 8) AS BIGINT) % 3650 AS fetched,
@@ -136,6 +183,21 @@ ORACLE = {
         SELECT p.page_id, p.fetched, coalesce(a.n, 0) AS n_active, coalesce(a.list, 'none') AS decision, a.pattern
         FROM parsed p LEFT JOIN active a ON p.row = a.row AND a.place = 1
     """,
+    "op5_embeddings": """
+        WITH RECURSIVE sound AS (
+          SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            AND list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+        least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+        SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+        FROM embeddings v JOIN least c ON v.vec_id = c.vec_id
+    """,
     "op6_mixing": r"""
         WITH sized AS (
           SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
