@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from recordqa.functions.variants import encode_json, is_object, let, number_at, object_at, string_at
 from recordqa.operators.batching import line_positions, positions
 from recordqa.operators.cost import cost_column, with_routing
+from recordqa.operators.duplicates import dedupe_context
 from recordqa.operators.records import check_input_struct, eligible, extract_payload
 from recordqa.schema import CHECKS, PAYLOAD_FIELDS, PROVIDERS
 from recordqa.session import pin, stage_table
@@ -29,21 +30,28 @@ DEFAULT_REASON = "No valid model result returned for this row."  # fixed value
 
 # ---- requests -------------------------------------------------------------
 def record_batches(
-    records: DataFrame, size: int, order: tuple[str, ...] = LINE_ORDER, from_scan: bool = False
+    records: DataFrame,
+    size: int,
+    order: tuple[str, ...] = LINE_ORDER,
+    from_scan: bool = False,
+    with_duplicates: bool = False,
 ) -> DataFrame:
     """Eligible records grouped into batches: ``batch_id, members``; staged.
 
     All checks share the same eligible rows in the same order, so records are
     parsed, numbered and grouped once and fanned out to checks afterwards.
     ``from_scan`` says that ``records`` are parsed lines of a scan, untouched
-    since; numbering then needs no shuffle.
+    since; numbering then needs no shuffle. ``with_duplicates`` counts the copies of each story over all
+    records for the source check; records then move, and are numbered by their order.
     """
     if size <= 0:
         raise ValueError("batch size must be positive")
     payload = extract_payload(records, (*order, F.col("value").alias("source_record")))
     flat = eligible(pin(payload))
+    if with_duplicates:
+        flat, from_scan = dedupe_context(stage_table(flat, "stories")), False
     numbered = line_positions(flat) if from_scan else positions(stage_table(flat, "payload"), order)
-    member = F.struct("pos", "source_record", *PAYLOAD_FIELDS)
+    member = F.struct("pos", "source_record", *PAYLOAD_FIELDS, *(["dedupe_context"] if with_duplicates else []))
     batches = numbered.groupBy(F.floor(F.col("pos") / F.lit(size)).cast("bigint").alias("batch_id")).agg(
         F.array_sort(F.collect_list(member)).alias("members")
     )
@@ -104,9 +112,12 @@ def build_requests(
 
     Only the narrow request leaves this step; bodies are truncated inside it.
     """
+    filled = "dedupe_context" in batches.schema["members"].dataType.elementType.fieldNames()
+
     def inputs_of(check: str) -> Column:
+        context = lambda m: m["dedupe_context"] if filled else None
         return encode_json(
-            F.transform("members", lambda m: check_input_struct(lambda f: m[f], check, max_body_chars))
+            F.transform("members", lambda m: check_input_struct(lambda f: m[f], check, max_body_chars, context(m)))
         )
 
     per_check = [F.struct(F.lit(c).alias("check_name"), inputs_of(c).alias("inputs")) for c in CHECKS]

@@ -47,6 +47,7 @@ def run_checks(
     order: tuple[str, ...] = LINE_ORDER,
     from_scan: bool = False,
     mode: str = "failfast",
+    with_duplicates: bool = False,
 ) -> CheckRun:
     """Judge every eligible record with every check.
 
@@ -58,6 +59,7 @@ def run_checks(
 
     A response without a results array raises (``failfast``), or with ``mode="quarantine"`` gives its
     rows the default verdict and sets ``is_invalid`` in the audit. A check without a prompt raises.
+    ``with_duplicates`` fills the dedupe context of the source check.
     """
     if mode not in ("failfast", "quarantine"):
         raise ValueError("mode must be 'failfast' or 'quarantine'")
@@ -66,7 +68,7 @@ def run_checks(
     run_id = run_id or new_run_id()
     latest = latest_prompts(prompts)
     _require_prompts(latest)
-    batches = record_batches(records, batch_size, order, from_scan)
+    batches = record_batches(records, batch_size, order, from_scan, with_duplicates)
     requests = build_requests(batches, latest, routing_table(routing), run_id, max_body_chars)
     if responses is None:
         judged = stage_table(apply_judge(requests, judge, factory), "judged")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from recordqa.operators import batching, contract, drift, judging, metrics, review, sampling
+from recordqa.operators.cost import routing_table
 from recordqa.plans.checks import run_checks
 from recordqa.plans.full_run import run_all
 from recordqa.plans.remediation import run_remediation
@@ -95,6 +96,18 @@ def test_stored_responses_give_the_same_results(spark, input_dir, prompts_dir):
     assert versions == {"v2"}
 
 
+def test_the_source_check_sees_how_often_a_story_was_told(spark, input_dir, prompts_dir):
+    records = parse_records(read_jsonl_lines(spark, input_dir))
+    batches = judging.record_batches(records, 40, with_duplicates=True)
+    requests = judging.build_requests(batches, prompt_registry(spark, prompts_dir).filter("version = 'v2'"), routing_table(), "r")
+    request = requests.filter("check_name = 'source_credibility'").first().request
+    inputs = json.loads(json.loads(request)["messages"][-1]["content"].split("INPUT:\n", 1)[1])
+    told = {}
+    for i in inputs:
+        told.setdefault(i["article_sentence"], []).append(i["dedupe_context"]["possible_duplicate_count"])
+    assert all(set(v) == {len(v) - 1 if s else 0} for s, v in told.items()) and len(inputs) == 25
+
+
 def test_missing_prompt_raises(spark, input_dir, prompts_dir):
     prompts = prompt_registry(spark, prompts_dir).filter("base <> 'entity_resolution'")
     with pytest.raises(FileNotFoundError, match="entity_resolution"):
