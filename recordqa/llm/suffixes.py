@@ -160,8 +160,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     family = SuffixFamily()
     for b in range(batches):
         family.add(entries.where(F.col("batch") == b).select("head"))
-    matched = stage(entries.join(family.heads(), "head", "left_semi").drop("batch"), "suffix-matched")
+    # sides of joins with hot heads are plain scans, so that skewed ones can be split
+    heads = stage(family.heads(), "suffix-heads")
     empty(*[level for _, level in family.levels], *family.matches)
+    matched = stage(entries.join(heads, "head", "left_semi").drop("batch"), "suffix-matched")
+    empty(entries)
 
     place = F.struct("k1", "k2", "at", "first", "last")
     classes = stage(
@@ -170,14 +173,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     several = classes.groupBy("head").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("head")
     reps = classes.join(several, "head", "left_semi").select("head", "stretch", "rep.*")
     windows = stage(_windows(reps, docs, length), "suffix-windows")
-    shared = windows.groupBy("head", "window").agg(F.min("stretch").alias("a"), F.max("stretch").alias("b")).where("a <> b")
+    seen = windows.groupBy("head", "window").agg(F.min("stretch").alias("a"), F.max("stretch").alias("b"))
+    shared = stage(seen.where("a <> b").select("head", "window"), "suffix-shared")
     parts = (
-        windows.join(shared.select("head", "window"), ["head", "window"], "left_semi")
+        windows.join(shared, ["head", "window"], "left_semi")
         .groupBy("head", "stretch")
         .agg(F.array_sort(F.collect_set("offset")).alias("offsets"))
     )
+    parts = stage(parts, "suffix-parts")
+    empty(windows)
     whole = classes.where("n > 1").select("head", "stretch", F.lit(True).alias("whole"))
-    cover = whole.join(parts, ["head", "stretch"], "full_outer")
+    cover = stage(whole.join(parts, ["head", "stretch"], "full_outer"), "suffix-cover")
     one = F.transform("offsets", lambda o: F.struct((F.col("at") - o).alias("start"), (F.col("at") - o + length).alias("end")))
     all_of = F.array(F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end")))
     spans = matched.join(cover, ["head", "stretch"]).select(
