@@ -8,8 +8,8 @@ their domain, and domains towards the whole corpus.
 
 from __future__ import annotations
 
+import functools
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,67 +19,63 @@ from recordqa.llm.common import map_rows, stage, text_or_empty
 
 #: Labelled texts a model is fitted on, at most; they are drawn by hash.
 SAMPLE_DOCS = 20_000
-#: Letter n-grams counted per language, at most: the most frequent.
-MAX_GRAMS = 50_000
-_WORD = re.compile(r"[^\W\d_]+")
+#: Letter n-grams are counted in this many hash buckets.
+BUCKETS = 1 << 15
+#: Characters handled at once: bounds memory on very long texts.
+CHUNK = 1 << 18
 #: Letter n-grams overlap, so their likelihoods count for less than independent evidence would.
 TEMPER = 0.3
 #: The most the text may speak for one language over another, in nats.
 MOST = 40.0
 #: Pseudo-counts of smoothing: groups towards their parents, tables towards independence.
 SMOOTH = 5.0
+_FACTORS = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def grams(word: str):
-    """Letter n-grams of a word, 1 to 3 letters, with its ends."""
-    w = f" {word} "
-    for n in (1, 2, 3):
-        for i in range(len(w) - n + 1):
-            if n > 1 or w[i] != " ":
-                yield w[i : i + n]
+@functools.cache
+def _letters() -> np.ndarray:
+    """Which code points of the basic plane are letters."""
+    return np.array([chr(c).isalpha() for c in range(0x10000)])
+
+
+def gram_buckets(text: str):
+    """Buckets of the letter n-grams (1 to 3 letters, other characters as one kind of end) and the number of
+    words, in chunks of a text."""
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
+    for at in range(0, max(1, len(codes) - 2), CHUNK):
+        part = codes[at : at + CHUNK + 2]
+        letter = np.where(part < 0x10000, _letters()[np.minimum(part, 0xFFFF)], True)
+        c = np.where(letter, part, 32).astype(np.uint64)
+        mixed = [c[i : len(c) - 2 + i] * f for i, f in enumerate(_FACTORS)]
+        first, mid = letter[:-2], letter[1:-1]
+        one, two, three = mixed[1] * _FACTORS[2], mixed[0] + mixed[1], mixed[0] + mixed[1] + mixed[2]
+        keys = np.concatenate([one[mid], two[first | mid], three[mid]])
+        keys ^= keys >> np.uint64(32)
+        buckets = (keys * _FACTORS[0] >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+        yield buckets, int((mid & ~first).sum())
 
 
 @dataclass
 class Model:
-    """Languages, and log-probabilities of n-grams by language (unseen ones share ``floor``)."""
+    """Languages, and log-probabilities of n-gram buckets: one row per bucket, one column per language."""
 
     langs: tuple[str, ...]
-    logs: dict
-    floor: np.ndarray
+    logs: np.ndarray
 
 
 class Scorer:
-    """Log-likelihoods of texts; remembers up to ``most`` words as rows of a table."""
-
-    def __init__(self, model: Model, most: int = 200_000):
-        self.model, self.most = model, most
-        self._clear()
-
-    def _clear(self):
-        self.rows, self.table = {}, np.zeros((self.most + 1, len(self.model.langs)))
-
-    def _row(self, word: str) -> int:
-        if len(self.rows) >= self.most:
-            self._clear()
-        n = self.rows[word] = len(self.rows)
-        logs, floor = self.model.logs, self.model.floor
-        self.table[n] = sum((logs.get(g, floor) for g in grams(word)), np.zeros(len(self.model.langs)))
-        return n
+    def __init__(self, model: Model):
+        self.model = model
 
     def __call__(self, text: str) -> tuple[np.ndarray, int]:
         """Tempered log-likelihoods, bounded; number of words with letters."""
-        words = _WORD.findall(text.lower())
-        total = np.zeros(len(self.model.langs))
-        for at in range(0, len(words), 10_000):
-            part = words[at : at + 10_000]
-            if len(self.rows) + len(part) > self.most:
-                self._clear()
-            rows = self.rows
-            ids = [rows[w] if w in rows else self._row(w) for w in part]
-            total += self.table[ids].sum(axis=0)
+        total, words = np.zeros(len(self.model.langs)), 0
+        for buckets, n in gram_buckets(text):
+            total += self.model.logs.take(buckets, axis=0).sum(axis=0)
+            words += n
         if words and self.model.langs:
             total = np.maximum(TEMPER * (total - total.max()), -MOST)
-        return total, len(words)
+        return total, words
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
@@ -94,31 +90,22 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_
     sample = narrow.where(F.col("h") <= F.lit(cut)).dropDuplicates(["h"])
 
     def count(batch):
-        seen: dict = {}
-        for lang, text in zip(batch["lang"], batch["text"]):
-            for word in _WORD.findall(text.lower()):
-                key = (lang, word)
-                seen[key] = seen.get(key, 0) + 1
         by: dict = {}
-        for (lang, word), n in seen.items():
-            for g in grams(word):
-                by[lang, g] = by.get((lang, g), 0) + n
-        yield {"lang": [k[0] for k in by], "gram": [k[1] for k in by], "n": list(by.values())}
-
-    counts = stage(
-        map_rows(sample.select("lang", "text"), count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")),
-        "language-grams",
-    )
-    sums = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
-    langs = tuple(sorted(sums))
-    top = counts.groupBy("gram").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "gram").limit(MAX_GRAMS)
-    table: dict = {}
-    for lang, gram, n in counts.join(top, "gram").select("lang", "gram", "n").collect():
-        table.setdefault(gram, dict.fromkeys(langs, 0))[lang] = n
-    size = len(table) + 1
-    logs = {g: np.array([math.log((by[x] + 0.5) / (sums[x] + 0.5 * size)) for x in langs]) for g, by in table.items()}
-    floor = np.array([math.log(0.5 / (sums[x] + 0.5 * size)) for x in langs])
-    return Model(langs, logs, floor)
+        for lang, text in zip(batch["lang"], batch["text"]):
+            counts = by.setdefault(lang, np.zeros(BUCKETS, np.int64))
+            for buckets, _ in gram_buckets(text):
+                counts += np.bincount(buckets, minlength=BUCKETS)
+        for lang, counts in by.items():
+            at = np.flatnonzero(counts)
+            yield {"lang": [lang] * len(at), "bucket": at.tolist(), "n": counts[at].tolist()}
+
+    part = map_rows(sample.select("lang", "text"), count, "lang string, bucket int, n long")
+    counts = part.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()  # languages x buckets at most
+    langs = tuple(sorted({r[0] for r in counts}))
+    table = np.full((BUCKETS, len(langs)), 0.5)
+    for lang, bucket, n in counts:
+        table[bucket, langs.index(lang)] += n
+    return Model(langs, np.log(table / table.sum(axis=0)))
 
 
 def suffix_of(host: Column) -> Column:
