@@ -49,10 +49,14 @@ class Trie:
                     node = node.setdefault(letter, {})
                 node[kind] = term
         self.words, self.stems = set(words), set(stems)
-        #: A term within one edit of a token shares the token's first or last half of the term.
-        fuzzy = [w for w in self.words if len(w) >= MIN_FUZZY]
-        self.heads = {w[: len(w) // 2] for w in fuzzy}
-        self.tails = {w[len(w) // 2 :] for w in fuzzy}
+        #: A term within one edit of a token has its first or its last half there, and its length to one letter.
+        self.heads: dict[str, set[int]] = {}
+        self.tails: dict[str, set[int]] = {}
+        for w in self.words:
+            if len(w) >= MIN_FUZZY:
+                reach = range(len(w) - 1, len(w) + 2)
+                self.heads.setdefault(w[: len(w) // 2], set()).update(reach)
+                self.tails.setdefault(w[len(w) // 2 :], set()).update(reach)
         self.head_sizes = sorted({len(h) for h in self.heads})
         self.tail_sizes = sorted({len(t) for t in self.tails})
 
@@ -66,28 +70,37 @@ class Trie:
                 return node["stem"]
         return None
 
-    def near(self, token: str, most: int = 1) -> str | None:
-        """The term of least distance, at most ``most`` edits away (ties: first in order)."""
+    def near(self, token: str) -> str | None:
+        """The term of least distance, at most one edit away (ties: first in order).
+
+        States are those of the Levenshtein automaton (letters read, edits made) at a node of the trie; once the
+        edit is made only the one exact path goes on.
+        """
+        n, none = len(token), ()
         if not (
-            any(token[:n] in self.heads for n in self.head_sizes) or any(token[-n:] in self.tails for n in self.tail_sizes)
+            any(n in self.heads.get(token[:k], none) for k in self.head_sizes)
+            or any(n in self.tails.get(token[-k:], none) for k in self.tail_sizes)
         ):
             return None
-        best = (most + 1, "")
-        stack = [(self.root, tuple(range(len(token) + 1)))]
+        best = (2, "")
+        stack = [(self.root, 0, 0)]
         while stack:
-            node, row = stack.pop()
-            term = node.get("word")
-            if term is not None and len(term) >= MIN_FUZZY and row[-1] <= most:
-                best = min(best, (row[-1], term))
+            node, i, edits = stack.pop()
+            if i == n and len(term := node.get("word", "")) >= MIN_FUZZY:
+                best = min(best, (edits, term))
+            own = token[i] if i < n else None
+            if own in node:
+                stack.append((node[own], i + 1, edits))
+            if edits:
+                continue
+            if own:
+                stack.append((node, i + 1, 1))  # the token has a letter too many
             for letter, child in node.items():
-                if len(letter) > 1:
-                    continue
-                new = [row[0] + 1]
-                for i, own in enumerate(token, 1):
-                    new.append(min(row[i] + 1, new[-1] + 1, row[i - 1] + (own != letter)))
-                if min(new) <= most:
-                    stack.append((child, tuple(new)))
-        return best[1] if best[0] <= most else None
+                if len(letter) == 1:
+                    stack.append((child, i, 1))  # the token lacks a letter
+                    if own and letter != own:
+                        stack.append((child, i + 1, 1))  # the token has another letter
+        return best[1] if best[0] <= 1 else None
 
 
 @dataclass
@@ -230,7 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for stem in sorted(found, key=lambda s: (len(s), s)):
         if not any(stem[:n] in shortest for n in range(MIN_STEM, len(stem))):
             shortest[stem] = found[stem]
-    words = _strong(counts, n_bad, n_good, least, MAX_TERMS, "word")
+    # a group of near copies shares rare words by chance; a term of the trade is in more toxic documents than any group has
+    words = _strong(counts, n_bad, n_good, max(3, n_bad // 40), MAX_TERMS, "word")
     model = Model(words=words, stems=shortest)
 
     def neighbours(batch):
