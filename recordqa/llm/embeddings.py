@@ -15,22 +15,41 @@ from pyspark.sql import DataFrame, functions as F
 from recordqa.llm.common import bounded_batches, components, stage
 from recordqa.llm.simhash import _spanning
 
-#: Reference points, drawn from the data by hash; the bound of what the driver holds.
+#: Reference points at most.
 PIVOTS = 64
+#: Vectors they are chosen from, about; the bound of what the driver holds.
+SAMPLE = 2_048
 #: Pivots of a vector's description; two of them must be shared.
 PREFIX = 5
 #: Vectors of one list that are compared in one block.
 BLOCK = 1_024
 
 
-def draw_pivots(vectors: DataFrame, pivots: int) -> np.ndarray:
-    """At most ``pivots`` unit vectors, the first by hash among distinct ones of the most common length."""
-    sizes = vectors.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
+def draw_pivots(classes: DataFrame, pivots: int, threshold: float, sample: int = SAMPLE) -> np.ndarray:
+    """At most ``pivots`` unit vectors of the most common length, far from one another.
+
+    About ``sample`` vectors are drawn by hash; each next pivot is the one least similar to those chosen. It ends at
+    twice the angle of a link, so vectors that all link with one another hold one pivot, however many they are: among
+    several, their order would be chance. Fewer pivots make longer lists, not fewer links.
+    """
+    sizes = classes.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     if sizes is None:
         return np.zeros((0, 0))
-    drawn = vectors.where(F.col("dim") == sizes[0]).orderBy("h1", "h2").select("embedding").limit(pivots)
-    x = np.array([r[0] for r in drawn.collect()], dtype=np.float64)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    share = int(min(1.0, sample / sizes[1]) * (1 << 40))
+    drawn = classes.where(F.col("dim") == sizes[0]).select("class", "embedding")
+    if share < 1 << 40:
+        drawn = drawn.where(F.pmod(F.xxhash64("class"), F.lit(1 << 40)) < share)
+    rows = sorted(drawn.collect()) or [classes.where(F.col("dim") == sizes[0]).select("class", "embedding").first()]
+    x = np.array([r[1] for r in rows], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    chosen, nearest = [0], x @ x[0]
+    while len(chosen) < min(pivots, len(x)):
+        at = int(nearest.argmin())
+        if nearest[at] >= 2 * threshold * threshold - 1:
+            break
+        chosen.append(at)
+        nearest = np.maximum(nearest, x @ x[at])
+    return x[chosen]
 
 
 def describe(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -100,7 +119,7 @@ def near_duplicates(
         .withColumn("class", F.xxhash64(*key)),
         "vector-classes",
     )
-    chosen = spark.sparkContext.broadcast(draw_pivots(classes, pivots))
+    chosen = spark.sparkContext.broadcast(draw_pivots(classes, pivots, threshold))
     n = len(chosen.value)
     label_kind = dict(classes.dtypes)["label"]
 

@@ -315,6 +315,20 @@ def test_embedding_recall(spark, sf_dir):
     assert exact > 100 and 0.9 * exact <= found <= exact
 
 
+@pytest.mark.parametrize("share", [1 / 3, 1.0])
+def test_embedding_recall_in_one_large_cluster(spark, share):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 64))
+    near = int(share * len(x))
+    noise = rng.normal(size=(near, 64))
+    x[:near] = unit(rng.normal(size=64)) + noise / np.linalg.norm(noise, axis=1, keepdims=True) * 0.12
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    exact = (x @ x.T >= 0.98).sum() - len(x)
+    df = spark.createDataFrame([(n, unit(v), 1) for n, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = embeddings.near_duplicates(df).agg(F.sum("n_links")).first()[0]
+    assert exact > 0.9 * near * (near - 1) and 0.9 * exact <= found <= exact
+
+
 def test_language(spark, sf_dir):
     docs = common.table(spark, "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else sf_dir, "documents")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
