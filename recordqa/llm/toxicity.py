@@ -15,12 +15,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.llm.common import bounded_batches, map_rows, stage, text_or_empty
+from recordqa.llm.simhash import simhash_components
 
 #: Labelled documents a model is fitted on, at most; they are drawn by hash.
 SAMPLE_DOCS = 20_000
 #: Lexicon entries at most, the best by evidence. Both bounds make what the driver sees independent of the corpus.
 MAX_TERMS = 4_000
 MIN_STEM, MAX_STEM = 4, 8
+#: Distinct toxic texts that hold an entry, and its log odds, at least.
+LEAST, ODDS = 3, 3.0
 #: Terms shorter than this have no misspellings.
 MIN_FUZZY = 5
 WINDOW = 8
@@ -182,27 +185,89 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _word_counts(sample: DataFrame) -> DataFrame:
-    """word, toxic and harmless documents that hold it."""
+def plain_words(text: str) -> tuple[set, set]:
+    """Words of a text of three letters or more; those of them that occur outside quotation, by the rule of ``masses``."""
+    low = text.lower()
+    words = _TOKEN.findall(low)
+    every = {w for w in words if len(w) > 2}
+    marks = np.array([m.start() for m in _MARKS.finditer(low)])
+    reports = np.array([w in REPORTING for w in words], dtype=bool)
+    if len(marks) < 2 and not reports.any():
+        return every, every
+    spans = np.array([m.span() for m in _TOKEN.finditer(low)])
+    at = np.arange(len(words))
+    first, last = np.maximum(0, at - WINDOW), np.minimum(len(words) - 1, at + WINDOW)
+    before = np.searchsorted(marks, spans[:, 0]) - np.searchsorted(marks, spans[first, 0])
+    after = np.searchsorted(marks, spans[last, 1] + 1, "right") - np.searchsorted(marks, spans[:, 0], "right")
+    told = np.r_[0, np.cumsum(reports)]
+    plain = ~(((before > 0) & (after > 0)) | (told[last + 1] > told[first]))
+    return every, {words[n] for n in np.flatnonzero(plain)} & every
 
-    def rows(batch):
+
+COUNTS = ("bad", "good", "bad_plain", "good_plain")
+
+
+def _word_counts(learn: DataFrame) -> DataFrame:
+    """word, toxic and harmless groups that hold it, and that hold it outside quotation.
+
+    ``learn`` has text, toxic and grp: texts of one group are near copies and count once; null is a group of its own.
+    """
+
+    def alone(batch):
         seen: dict = {}
         for text, toxic in zip(batch["text"], batch["toxic"]):
-            for word in set(_TOKEN.findall(text.lower())):
-                if len(word) > 2:
-                    seen.setdefault(word, [0, 0])[toxic] += 1
-        yield {"word": list(seen), "bad": [v[1] for v in seen.values()], "good": [v[0] for v in seen.values()]}
+            every, plain = plain_words(text)
+            for word in every:
+                n = seen.setdefault(word, [0, 0, 0, 0])
+                n[1 - toxic] += 1
+                n[3 - toxic] += word in plain
+        yield {"word": list(seen), **{c: [v[i] for v in seen.values()] for i, c in enumerate(COUNTS)}}
+
+    def grouped(batch):
+        seen: dict = {}
+        for text, toxic, grp in zip(batch["text"], batch["toxic"], batch["grp"]):
+            every, plain = plain_words(text)
+            for word in every:
+                seen[word, grp, toxic] = seen.get((word, grp, toxic), False) or word in plain
+        yield {"word": [k[0] for k in seen], "grp": [k[1] for k in seen], "toxic": [k[2] for k in seen], "plain": [int(v) for v in seen.values()]}
+
+    single = map_rows(learn.where("grp is null").select("text", "toxic"), alone, "word string, " + ", ".join(f"{c} long" for c in COUNTS))
+    held = map_rows(learn.where("grp is not null").select("text", "toxic", "grp"), grouped, "word string, grp long, toxic int, plain int")
+    held = held.groupBy("word", "grp", "toxic").agg(F.max("plain").alias("plain"))
+    toxic, plain = F.col("toxic").cast("long"), F.col("plain").cast("long")
+    held = held.select("word", toxic.alias("bad"), (1 - toxic).alias("good"), (toxic * plain).alias("bad_plain"), ((1 - toxic) * plain).alias("good_plain"))
+    return single.unionByName(held).groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+def _odds(kind: str, n_bad: int, n_good: int) -> Column:
+    """Log odds of being in toxic rather than harmless groups; ``kind`` is "" or "_plain"."""
+    return F.log((F.col(f"bad{kind}") + 0.5) / (n_bad + 1)) - F.log((F.col(f"good{kind}") + 0.5) / (n_good + 1))
 
-    part = map_rows(sample.select("text", "toxic"), rows, "word string, bad long, good long")
-    return part.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+def _evidence(kind: str, n_bad: int, n_good: int) -> Column:
+    """Log-likelihood ratio against being as common in toxic groups as in harmless ones, 0 where it is rarer."""
+    bad, good, n = F.col(f"bad{kind}"), F.col(f"good{kind}"), n_bad + n_good
+    part = lambda x, of: F.when(x > 0, x * F.log(x / of)).otherwise(0.0)
+    both = bad + good
+    ratio = part(bad, both * n_bad / n) + part(good, both * n_good / n)
+    ratio = ratio + part(n_bad - bad, (n - both) * n_bad / n) + part(n_good - good, (n - both) * n_good / n)
+    return F.when(bad * n_good > good * n_bad, 2 * ratio).otherwise(0.0)
 
 
 def _strong(counts: DataFrame, n_bad: int, n_good: int, least: int, most: int, kind: str) -> dict[str, float]:
-    """Entries that toxic documents hold far more often, with weights by their log odds."""
-    odds = F.log((F.col("bad") + 0.5) / (n_bad + 1)) - F.log((F.col("good") + 0.5) / (n_good + 1))
-    kept = counts.where(F.col("bad") >= least).withColumn("odds", odds)
-    kept = kept.where(F.col("odds") > 3).orderBy(F.col("bad").desc(), kind).limit(most)
-    return {r[0]: min(1.0, r[1] / 6) for r in kept.select(kind, "odds").collect()}
+    """Entries that toxic groups hold far more often, at all or outside quotation, with weights by their log odds.
+
+    The evidence must be such that of all entries tested about one would pass by chance.
+    """
+    needed = 2 * math.log(max(2, counts.count()))
+    found = counts
+    for k in ("", "_plain"):
+        odds, sure = _odds(k, n_bad, n_good), _evidence(k, n_bad, n_good)
+        passes = (F.col(f"bad{k}") >= least) & (odds > ODDS) & (sure > needed)
+        found = found.withColumn(f"odds{k}", F.when(passes, odds)).withColumn(f"sure{k}", F.when(passes, sure))
+    found = found.withColumn("odds", F.greatest("odds", "odds_plain")).where("odds is not null")
+    found = found.orderBy(F.greatest("sure", "sure_plain").desc(), kind).limit(most)
+    return {r[0]: min(1.0, r[1] / 6) for r in found.select(kind, "odds").collect()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -210,7 +275,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learns lexicon and weights from at most ``sample_docs`` labelled documents outside the held-out fold.
 
     Labels decide on their own which documents are sampled, by hash of the id; rows with a null id or label are
-    left out, of repeated labels the highest holds. Equal texts count once. Four fifths of the sample give the lexicon, the rest the weights.
+    left out, of repeated labels the highest holds. Equal texts count once, with their highest label, and in the lexicon
+    near copies (SimHash) do, once as toxic and once as harmless. Four fifths of the sample give the lexicon, the rest the weights.
+    Words and stems enter by evidence, not by the share of toxic documents that hold them.
     Without toxic or without harmless documents the lexicon is empty and scores are those of the prior weights.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -218,33 +285,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     drawn = known.orderBy(F.xxhash64("_id"), "_id").limit(sample_docs)  # bounded, so it may be broadcast
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text"))
     joined = texts.join(F.broadcast(drawn), "_id")
+    once = joined.groupBy("text").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     part = F.pmod(F.xxhash64("text"), F.lit(5))
-    sample = stage(joined.select("text", (F.col("toxic") > 0).cast("int").alias("toxic"), part.alias("part")), "toxicity-sample")
+    sample = stage(once.select(F.xxhash64("text").alias("h"), "text", "toxic", part.alias("part")), "toxicity-sample")
     learn, tune = sample.where("part <> 0"), sample.where("part = 0")
-    totals = {r[0]: r[1] for r in learn.groupBy("toxic").count().collect()}
+    # a group of near copies shares rare words by chance
+    close = simhash_components(learn, id_col="h").where("component_id is not null").select("h", "component_id")
+    close = stage(close, "toxicity-groups")
+    several = close.groupBy("component_id").count().where("count > 1").select("component_id")
+    grp = close.join(several, "component_id").select("h", F.col("component_id").alias("grp"))
+    learn = stage(learn.join(grp, "h", "left").select("text", "toxic", "grp", "h"), "toxicity-learn")
+    groups = learn.groupBy("toxic").agg(F.countDistinct(F.coalesce("grp", "h")))
+    totals = {r[0]: r[1] for r in groups.collect()}
     n_good, n_bad = totals.get(0, 0), totals.get(1, 0)
     if not (n_good and n_bad):
         return Model()
-    counts = stage(_word_counts(learn.dropDuplicates(["text"])), "toxicity-words")
-    least = max(3, n_bad // 200)
+    counts = stage(_word_counts(learn), "toxicity-words")
     size = F.col("n")
     stems = (
         counts.where(F.length("word") > MIN_STEM)
-        .select("bad", "good", "word", F.explode(F.sequence(F.lit(MIN_STEM), F.lit(MAX_STEM))).alias("n"))
+        .select(*COUNTS, "word", F.explode(F.sequence(F.lit(MIN_STEM), F.lit(MAX_STEM))).alias("n"))
         .where(size < F.length("word"))
         .groupBy(F.substring(F.col("word"), F.lit(1), size).alias("stem"))
-        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("variants"))
+        .agg(*[F.sum(c).alias(c) for c in COUNTS], F.count(F.lit(1)).alias("variants"))
         .where(F.col("variants") >= 3)
-        .select("stem", "bad", "good")
+        .select("stem", *[F.least(c, F.lit(n_bad if c.startswith("bad") else n_good)).alias(c) for c in COUNTS])
     )
-    found = _strong(stems, n_bad, n_good, 3 * least, MAX_TERMS, "stem")
+    found = _strong(stems, n_bad, n_good, 3 * LEAST, MAX_TERMS, "stem")
     # of nested stems the shortest stands for all
     shortest: dict[str, float] = {}
     for stem in sorted(found, key=lambda s: (len(s), s)):
         if not any(stem[:n] in shortest for n in range(MIN_STEM, len(stem))):
             shortest[stem] = found[stem]
-    # a group of near copies shares rare words by chance; a term of the trade is in more toxic documents than any group has
-    words = _strong(counts, n_bad, n_good, max(3, n_bad // 40), MAX_TERMS, "word")
+    words = _strong(counts, n_bad, n_good, LEAST, MAX_TERMS, "word")
     model = Model(words=words, stems=shortest)
 
     def neighbours(batch):

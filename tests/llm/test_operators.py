@@ -394,6 +394,34 @@ def test_toxicity_held_out(spark, sf_dir):
     assert hit >= 0.85 and false <= 0.02
 
 
+def labelled(spark, rows):
+    """Documents and labels of (text, toxic) rows."""
+    df = spark.createDataFrame([(n, t, x) for n, (t, x) in enumerate(rows)], "doc_id long, text string, toxic int")
+    return df.select("doc_id", "text"), df.select("doc_id", "toxic")
+
+
+def insults():
+    """900 toxic texts, of which each of 50 terms is in 2 %, and 2,100 harmless ones."""
+    rows = [(prose(30, 10_000 + n) + f" {term(n % 50)} " + prose(30, 20_000 + n), 1) for n in range(900)]
+    return rows + [(prose(60, 30_000 + n), 0) for n in range(2_100)]
+
+
+def term(n):
+    rng = random.Random(n)
+    return "".join(rng.choice("bdfgkmprstvz") + rng.choice("aeiou") for _ in range(5))
+
+
+def test_toxicity_learns_rare_terms_whatever_is_copied(spark):
+    rows, terms = insults(), {term(n) for n in range(50)}
+    base = prose(200, 7) + " oddity rarity " + prose(200, 8)
+    near = [(base.replace(" ", f" extra{n} ", 1), 1) for n in range(60)]
+    plain = toxicity.fit(*labelled(spark, rows)).words
+    copied = toxicity.fit(*labelled(spark, rows + rows[:1] * 1_500 + near)).words
+    for words in (plain, copied):
+        assert len(terms & set(words)) >= 45 and len(set(words) - terms) <= 2
+    assert not {"oddity", "rarity"} & set(copied)
+
+
 def test_toxicity_scores():
     model = toxicity.Model(words={"wretch": 1.0, "scoundrel": 1.0}, stems={"vill": 1.0}, harmless=frozenset({"wrench"}))
     score = toxicity.Scorer(model).score
