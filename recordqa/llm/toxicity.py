@@ -23,7 +23,9 @@ SAMPLE_DOCS = 20_000
 MAX_TERMS = 4_000
 MIN_STEM, MAX_STEM = 4, 8
 #: Distinct toxic texts that hold an entry, and its log odds, at least.
-LEAST, ODDS = 3, 3.0
+LEAST, ODDS = 3, 2.0
+#: Evidence (log-likelihood ratio, one degree of freedom) that a neighbour of a term is toxic itself: 95 %.
+SURE = 3.84
 #: Terms shorter than this have no misspellings.
 MIN_FUZZY = 5
 WINDOW = 8
@@ -325,7 +327,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         kept = [w for w in batch["word"] if len(w) >= MIN_FUZZY - 1 and w not in trie.words and trie.near(w)]
         yield {"word": kept}
 
-    near = map_rows(counts.where("good > 0").select("word"), neighbours, "word string")
+    # a neighbour that toxic texts hold more often, at all or outside quotation, is a misspelling that some quote
+    toxic = [(_evidence(k, n_bad, n_good) > SURE) & (_odds(k, n_bad, n_good) > 1) for k in ("", "_plain")]
+    near = map_rows(counts.where(F.col("good") > 0).where(~(toxic[0] | toxic[1])).select("word"), neighbours, "word string")
     model = Model(words, model.stems, frozenset(r[0] for r in near.collect()))
     scorer = Scorer(model)
 

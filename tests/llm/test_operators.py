@@ -422,6 +422,20 @@ def test_toxicity_learns_rare_terms_whatever_is_copied(spark):
     assert not {"oddity", "rarity"} & set(copied)
 
 
+def test_toxicity_of_terms_that_harmless_texts_quote(spark):
+    rows, terms = insults(), [term(n) for n in range(10)]
+    rows = [(t.replace(term(20), terms[0] + "t"), x) for t, x in rows]
+    # terms of common use: a tenth of toxic texts; harmless texts quote them, and one has a misspelling, one a wrong label
+    rows = [(f"{prose(20, 5 * n)} {terms[n % 10]} {t}" if x else t, x) for n, (t, x) in enumerate(rows)]
+    rows += [(f'{prose(20, 70_000 + n)} they said "{terms[n % 10]}" to us {prose(20, 80_000 + n)}', 0) for n in range(300)]
+    rows += [(f'{prose(20, 91_000 + n)} they said "{terms[0]}t" to us', 0) for n in range(3)] + [(prose(20, 95_000 + n) + f" {terms[0]}t", 0) for n in range(2)]
+    model = toxicity.fit(*labelled(spark, rows))
+    assert set(terms) <= set(model.words) and terms[0] + "t" not in model.harmless
+    score = toxicity.Scorer(model).score
+    assert score(f"you {terms[0]}t and you {terms[3]}")[1] > 0
+    assert score(f"you {terms[3]} of {prose(10, 1)}")[0] > score(f'they said "{terms[3]}" of {prose(10, 1)}')[0]
+
+
 def test_toxicity_scores():
     model = toxicity.Model(words={"wretch": 1.0, "scoundrel": 1.0}, stems={"vill": 1.0}, harmless=frozenset({"wrench"}))
     score = toxicity.Scorer(model).score
