@@ -357,6 +357,28 @@ def test_language_evidence(spark):
     assert all(r.rejected and r.lang is None for r in language.identify(df, blank, F.col("text"), keep=["n"]).collect())
 
 
+def test_language_rejects_what_is_in_none(spark, sf_dir):
+    model = language.fit(common.table(spark, "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else sf_dir, "documents"))
+    rng = random.Random(1)
+    noise = " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randrange(2, 9))) for _ in range(40))
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+        noise,
+    ]
+    listed = {
+        "en": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience.",
+        "de": "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt.",
+        "fr": "Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience.",
+        "es": "Todos los seres humanos nacen libres e iguales en dignidad y derechos y, dotados como están de razón y conciencia.",
+    }
+    df = spark.createDataFrame([(None, t) for t in foreign] + list(listed.items()), "truth string, text string")
+    for r in language.identify(df, model, F.col("text"), keep=["truth"]).collect():
+        assert r.rejected == (r.truth is None) and r.truth in (None, r.lang)
+
+
 def test_page_parts(spark):
     html = "<!DOCTYPE html><HTML class=x lang='fr-CA'><script>var lang='de'</script><body>Bon&nbsp;jour<!-- no --></body>"
     df = spark.createDataFrame([(html, "https://u@WWW.Example.co:80/x"), (None, None), ("<p>", "mailto:x")], "html string, url string")
