@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordqa.llm import embeddings, language, mixing, secrets, simhash, suffixes, tiling, toxicity, url_lists, warc
-from recordqa.llm.common import table
+from recordqa.llm import (
+    conversation_trie, embeddings, filter_audit, language, mixing, personal_data, secrets, simhash, suffixes, tiling, toxicity, url_lists, warc,
+)
+from recordqa.llm.common import stage, table
 
 
 def _number(text, of: int):
@@ -89,6 +91,20 @@ def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("k1").alias("doc_id"), F.col("item").alias("item_id"), "n_tiles", "covered", "item_tokens", "coverage")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the conversations, whose first turns are those of the first conversation of their hundred."""
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_trie.prefix_trie(stage(conversation_trie.respliced(turns), "trie-paths"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_lists": op1_url_lists,
     "op2_simhash": op2_simhash,
@@ -101,6 +117,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_suffixes": op9_suffixes,
     "op10_tiling": op10_tiling,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_personal_data": op13_personal_data,
 }
 
 _B32 = " || ".join(f"to_base(CAST('0x' || substr(h, {at}, 5) AS BIGINT), 32, 4)" for at in range(1, 41, 5))
@@ -229,4 +248,75 @@ ORACLE = {
                CAST(epochs * size + greatest(0, least(CAST(floor(target) AS BIGINT) - epochs * source_size - start_at, size)) AS BIGINT) AS taken
         FROM epochs
     """,
+    "op11_filter_audit": r"""
+        WITH texts AS (
+          SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                 coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS again,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+          FROM documents),
+        failing AS (
+          SELECT part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+                 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+                 regexp_matches(text, '[#$%&*|]') AS d, again AS e,
+                 doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) IS TRUE AS good,
+                 doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) IS TRUE AS toxic
+          FROM texts),
+        cells AS (SELECT part, a, b, c, d, e, good, toxic, count(*) AS n FROM failing GROUP BY ALL),
+        letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+          SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM letter p, letter q, letter r, letter s, letter t
+          WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+        fates AS (
+          SELECT part, filter_order, n, good, toxic, fails, n_fails,
+                 list_min(list_transform(fails, lambda x: instr(filter_order, x))) AS gone_at
+          FROM (SELECT part, n, good, toxic, list_filter(
+                         [CASE WHEN a THEN 'A' END, CASE WHEN b THEN 'B' END, CASE WHEN c THEN 'C' END, CASE WHEN d THEN 'D' END,
+                          CASE WHEN e THEN 'E' END], lambda x: x IS NOT NULL) AS fails, len(fails) AS n_fails FROM cells), orders),
+        counted AS (
+          SELECT part, filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, CAST(step AS INTEGER), 1) AS f,
+                 CAST(coalesce(sum(n) FILTER (gone_at IS NULL OR gone_at > step), 0) AS BIGINT) AS kept,
+                 CAST(coalesce(sum(n) FILTER (gone_at = step), 0) AS BIGINT) AS removed,
+                 CAST(coalesce(sum(n) FILTER (gone_at < step AND list_contains(fails, substr(filter_order, CAST(step AS INTEGER), 1))), 0) AS BIGINT) AS redundant,
+                 CAST(coalesce(sum(n) FILTER (n_fails = 1 AND list_contains(fails, substr(filter_order, CAST(step AS INTEGER), 1))), 0) AS BIGINT) AS unique_fails,
+                 CAST(coalesce(sum(n) FILTER (gone_at = step AND good), 0) AS BIGINT) AS good_lost,
+                 CAST(coalesce(sum(n) FILTER (gone_at = step AND toxic), 0) AS BIGINT) AS toxic_lost
+          FROM fates, range(1, 6) s(step) GROUP BY part, filter_order, step)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+        FROM counted
+    """,
+    "op12_conversation_trie": """
+        WITH crc AS (
+          SELECT list(c ORDER BY i) AS crc_of FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+            FROM range(256) r(i))),
+        said AS (
+          SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                               ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS turns
+          FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        drawn AS (
+          SELECT conv_id, turns, xor(list_reduce(
+                   list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                   lambda c, b: xor(c // 256, crc_of[xor(c % 256, b) + 1])), 4294967295) % 6 AS h
+          FROM said, crc),
+        paths AS (
+          SELECT d.conv_id, list_concat(coalesce(b.turns[1:d.h], []), d.turns[d.h + 1:]) AS path
+          FROM drawn d LEFT JOIN said b ON b.conv_id = d.conv_id - d.conv_id % 100),
+        prefixes AS (SELECT conv_id, len(path) AS n_turns, path[1:d] AS node, d AS depth FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM paths)),
+        nodes AS (
+          SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n_turns = depth), '')) AS ends_sha256
+          FROM prefixes GROUP BY node, depth),
+        linked AS (
+          SELECT n.*, p.conv_id AS parent_conv_id,
+                 (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.node[1:n.depth] = n.node) AS n_children
+          FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]),
+        below AS (
+          SELECT t.node, t.depth, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+                 sum(CASE WHEN u.depth > 0 THEN (u.n_convs - 1) * length(u.node[u.depth].text) ELSE 0 END) AS saved_tokens
+          FROM linked t JOIN linked u ON u.depth >= t.depth AND u.node[1:t.depth] = t.node GROUP BY t.node, t.depth)
+        SELECT l.conv_id, CAST(l.depth AS BIGINT) AS depth, l.parent_conv_id, l.n_convs, l.n_children,
+               CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, l.ends_sha256
+        FROM linked l JOIN below b ON l.node = b.node AND l.depth = b.depth
+    """,
 }
