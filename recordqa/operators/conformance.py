@@ -144,6 +144,50 @@ def schema_violations(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     )
 
 
+# The JSON type each declared attribute has when it is well formed.
+DECLARED = {
+    **{name: ("DOUBLE" if kind == "NUMBER" else "STRING" if kind == "TIMESTAMP" else kind) for name, kind in REQUIRED.items()},
+    **{name: "STRING" for name in EVENT_STRING_FIELDS},
+    **{name: "BIGINT" for name in EVENT_INT_FIELDS},
+    "effective_date": "STRING",
+    **{name: "ARRAY" for name in EVENT_TAG_FIELDS},
+    "location_data": "ARRAY",
+    "product_data": "OBJECT",
+}
+
+
+def _kind(value: Column) -> Column:
+    """JSON type of a VARIANT without its parameters; whole and broken numbers are ``NUMBER``, null is ``NULL``."""
+    name = F.regexp_extract(F.schema_of_variant(value), "^([A-Z]+)", 1)
+    return F.when(name.isin("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"), "NUMBER").when(name == "VOID", "NULL").otherwise(name)
+
+
+def schema_drift(lines: DataFrame) -> DataFrame:
+    """Attributes of events as they occur: ``attribute, kind, rows, declared, fits``.
+
+    One row per attribute and JSON type found, declared or not, and one with ``kind`` null per declared attribute
+    that no event has. ``fits`` says whether the type is the declared one; null values fit. Lines that are
+    no JSON and events without attributes count for nothing. Names and types are counted in each task; a
+    record's attributes are taken from one parse.
+    """
+    event = F.try_variant_get(F.try_parse_json("value"), "$.data[0].attributes", "map<string,variant>")
+    cells = lines.select(F.explode(event).alias("attribute", "_v")).select("attribute", _kind(F.col("_v")).alias("kind"))
+    found = cells.groupBy("attribute", "kind").agg(F.count("*").alias("rows"))
+    names = F.create_map(
+        *[F.lit(x) for name, kind in DECLARED.items() for x in (name, "NUMBER" if kind in ("DOUBLE", "BIGINT") else kind)]
+    )
+    wanted = lines.sparkSession.range(1).select(F.explode(names).alias("attribute", "declared_kind"))
+    both = found.join(wanted, "attribute", "full_outer")
+    fits = F.col("kind").isNotNull() & ((F.col("kind") == "NULL") | (F.col("kind") == F.col("declared_kind")))
+    return both.select(
+        "attribute",
+        "kind",
+        F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+        F.col("declared_kind").isNotNull().alias("declared"),
+        F.coalesce(fits, F.lit(False)).alias("fits"),
+    )
+
+
 def relationships(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Relationship targets of the first event: ``event_id, rel, target_id, target_type``.
 

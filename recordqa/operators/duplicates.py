@@ -60,11 +60,17 @@ def duplicate_counts(payload: DataFrame, text: str = "article_sentence") -> Data
     ).drop("copies")
 
 
-def dedupe_context(payload: DataFrame, text: str = "article_sentence") -> DataFrame:
-    """Payload rows plus ``dedupe_context`` for the source check: the exact count over all records, and the story's key.
+def dedupe_context(payload: DataFrame, text: str = "article_sentence", threshold: float = 1.0) -> DataFrame:
+    """Payload rows plus ``dedupe_context`` for the source check: the count of other records that tell the same
+    story, or one whose similarity is at least ``threshold``, and the story's key.
 
     Summaries of a hot story are no list to repeat in every member's row; ``similar_summaries`` holds them all by story.
     """
-    counted = duplicate_counts(payload, text)
+    if threshold < 1:
+        from recordqa.operators.near_stories import near_duplicate_counts  # which builds on the keys above
+
+        counted = near_duplicate_counts(payload, text, threshold).drop("similar_stories")
+    else:
+        counted = duplicate_counts(payload, text)
     context = F.struct("possible_duplicate_count", F.col("story").alias("story_key"))
     return counted.withColumn("dedupe_context", context).drop("story", "possible_duplicate_count")

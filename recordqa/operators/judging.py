@@ -8,10 +8,12 @@ is opened once). Retries and throttling belong to it; no client is shipped.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recordqa.functions.variants import encode_json, is_object, let, number_at, object_at, string_at
 from recordqa.operators.batching import line_positions, positions
@@ -35,6 +37,7 @@ def record_batches(
     order: tuple[str, ...] = LINE_ORDER,
     from_scan: bool = False,
     with_duplicates: bool = False,
+    duplicate_threshold: float = 1.0,
 ) -> DataFrame:
     """Eligible records grouped into batches: ``batch_id, members``; staged.
 
@@ -42,14 +45,15 @@ def record_batches(
     parsed, numbered and grouped once and fanned out to checks afterwards.
     ``from_scan`` says that ``records`` are parsed lines of a scan, untouched
     since; numbering then needs no shuffle. ``with_duplicates`` counts the copies of each story over all
-    records for the source check; records then move, and are numbered by their order.
+    records for the source check, and with a ``duplicate_threshold`` below 1 also the near copies; records then
+    move, and are numbered by their order.
     """
     if size <= 0:
         raise ValueError("batch size must be positive")
     payload = extract_payload(records, (*order, F.col("value").alias("source_record")))
     flat = eligible(pin(payload))
     if with_duplicates:
-        flat, from_scan = dedupe_context(stage_table(flat, "stories")), False
+        flat, from_scan = dedupe_context(stage_table(flat, "stories"), threshold=duplicate_threshold), False
     numbered = line_positions(flat) if from_scan else positions(stage_table(flat, "payload"), order)
     member = F.struct("pos", "source_record", *PAYLOAD_FIELDS, *(["dedupe_context"] if with_duplicates else []))
     batches = numbered.groupBy(F.floor(F.col("pos") / F.lit(size)).cast("bigint").alias("batch_id")).agg(
@@ -174,6 +178,68 @@ def judge(requests: DataFrame, fn: Judge | None = None, factory: Callable[[], Ju
     return requests.mapInPandas(run, T.StructType([*requests.schema.fields, *added]))
 
 
+def one_response(responses: DataFrame) -> DataFrame:
+    """``call_id, response, latency_ms``: one row per call, however often it was stored.
+
+    The last by ``stored_at`` if there is such a column; then a response beats none, and equal times are decided by
+    latency and text, so the choice does not depend on the layout.
+    """
+    order = [F.col(c) for c in ("stored_at",) if c in responses.columns]
+    last = F.max_by(
+        F.struct("response", "latency_ms"), F.struct(*order, F.col("response").isNotNull().alias("given"), "latency_ms", "response")
+    )
+    return responses.groupBy("call_id").agg(last.alias("_r")).select("call_id", "_r.*")
+
+
+class ResponseStore:
+    """Responses of a run in committed waves, below one folder all executors reach.
+
+    A wave is written to a folder of its own and then named in the log; readers see the waves in the log
+    only. A job that is lost in a wave has therefore paid for that wave alone: the next one asks for
+    what no committed wave holds.
+    """
+
+    FIELDS = "call_id string, response string, latency_ms double, stored_at timestamp"
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def committed(self) -> DataFrame:
+        """Responses of all committed waves: ``call_id, response, latency_ms, stored_at``."""
+        try:
+            log = self.spark.read.schema("wave string").parquet(f"{self.folder}/log")
+        except AnalysisException as err:
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.FIELDS)
+        # one name per commit; the join prunes the folders of other waves
+        stored = self.spark.read.schema(f"{self.FIELDS}, wave string").parquet(f"{self.folder}/waves")
+        return stored.join(log, "wave", "left_semi").drop("wave")
+
+    def commit(self, judged: DataFrame) -> None:
+        name = uuid.uuid4().hex
+        rows = judged.select("call_id", "response", F.col("latency_ms").cast("double"), F.current_timestamp().alias("stored_at"))
+        rows.write.mode("errorifexists").parquet(f"{self.folder}/waves/wave={name}")
+        self.spark.createDataFrame([(name,)], "wave string").coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
+
+
+def judge_in_waves(
+    requests: DataFrame, store: ResponseStore, waves: int, fn: Judge | None = None, factory: Callable[[], Judge] | None = None
+) -> DataFrame:
+    """Requests with their response: those the store holds, the others asked in up to ``waves`` commits.
+
+    Calls are dealt to waves by batch number (``batch_id``), so a wave holds every check of its batches.
+    """
+    if waves <= 0:
+        raise ValueError("waves must be positive")
+    rest = stage_table(requests.join(store.committed(), "call_id", "left_anti"), "calls-to-make")
+    for n in range(waves):
+        asked = rest.filter(F.pmod(F.col("batch_id"), F.lit(waves)) == n)
+        if not asked.isEmpty():
+            store.commit(judge(asked, fn, factory))
+    return requests.join(one_response(store.committed()), "call_id", "left")
+
+
 # ---- answers --------------------------------------------------------------
 def response_text(response: Column, provider: Column | str) -> Column:
     """The model's own text inside a response body, by provider shape."""

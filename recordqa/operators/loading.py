@@ -104,31 +104,23 @@ def upsert_records(records: DataFrame, incoming: DataFrame, order: tuple[str, ..
     """One row per event: first sighting kept, last sighting and JSON refreshed.
 
     ``incoming`` has ``event_id, source_record_json, seen_at`` and the ``order``
-    columns that say which JSON is the latest; any incoming row beats a stored one.
-    Combines map-side, so an event seen without bound is one row per task.
+    columns that say which JSON is the latest; any incoming row beats a stored one. ``records`` holds an
+    event once. Ranks combine map-side, so an event seen without bound is one narrow row per task, and only the
+    winner's JSON is carried on.
     """
     key = F.struct(*order)
-    fresh = incoming.filter(F.col("event_id").isNotNull()).select(
-        "event_id",
-        "source_record_json",
-        F.col("seen_at").alias("first_seen_at"),
-        F.col("seen_at").alias("last_seen_at"),
-        F.struct(F.lit(1).alias("fresh"), key.alias("at")).alias("_rank"),
+    known = incoming.filter(F.col("event_id").isNotNull())
+    # the latest row of an event is found without its JSON, which is then read once, for the winners
+    winners = known.groupBy("event_id").agg(
+        F.max(key).alias("_at"), F.min("seen_at").alias("_first"), F.max("seen_at").alias("_last")
     )
-    kind = fresh.schema["_rank"].dataType["at"].dataType
-    stored = records.select(
+    texts = known.select("event_id", key.alias("_at"), "source_record_json")
+    same = texts.join(winners, ["event_id", "_at"]).groupBy("event_id")  # rows of equal rank: the greatest text
+    latest = same.agg(F.max("source_record_json").alias("_json"), F.min("_first").alias("_first"), F.min("_last").alias("_last"))
+    both = records.select("event_id", "source_record_json", "first_seen_at", "last_seen_at").join(latest, "event_id", "full_outer")
+    return both.select(
         "event_id",
-        "source_record_json",
-        "first_seen_at",
-        "last_seen_at",
-        F.struct(F.lit(0).alias("fresh"), F.lit(None).cast(kind).alias("at")).alias("_rank"),
-    )
-    return (
-        stored.unionByName(fresh)
-        .groupBy("event_id")
-        .agg(
-            F.max_by("source_record_json", "_rank").alias("source_record_json"),
-            F.min("first_seen_at").alias("first_seen_at"),
-            F.max("last_seen_at").alias("last_seen_at"),
-        )
+        F.when(F.col("_last").isNull(), F.col("source_record_json")).otherwise(F.col("_json")).alias("source_record_json"),
+        F.least("first_seen_at", "_first").alias("first_seen_at"),
+        F.greatest("last_seen_at", "_last").alias("last_seen_at"),
     )

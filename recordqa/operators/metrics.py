@@ -68,6 +68,31 @@ def trend_wide(trend_rows: DataFrame, checks=CHECKS, verdicts=VERDICTS) -> DataF
     )
 
 
+def trend_rollup(results: DataFrame, run: str | None = ALL_RUNS) -> DataFrame:
+    """Result counts of every level in one pass: ``level, bucket, check_name, result, cnt``.
+
+    Levels: ``hour`` and ``day`` per (bucket, check, verdict), ``check`` and ``verdict`` over time, ``total``. Rows
+    are counted by hour, check and verdict in each task; only those counts are grouped again.
+    """
+    dated = for_run(results, run).filter(F.col("created_at").isNotNull())
+    hours = dated.groupBy(
+        time_bucket(F.col("created_at"), "hour").alias("_hour"), time_bucket(F.col("created_at"), "day").alias("_day"), "check_name", "result"
+    ).agg(F.count("*").alias("_n"))
+    sets = [
+        [F.col("_hour"), F.col("check_name"), F.col("result")],
+        [F.col("_day"), F.col("check_name"), F.col("result")],
+        [F.col("check_name")],
+        [F.col("result")],
+        [],
+    ]
+    gone = lambda c: F.grouping(c) == 1
+    level = (
+        F.when(~gone("_hour"), "hour").when(~gone("_day"), "day").when(~gone("check_name"), "check").when(~gone("result"), "verdict").otherwise("total")
+    )
+    grouped = hours.groupingSets(sets, "_hour", "_day", "check_name", "result").agg(level.alias("level"), F.sum("_n").alias("cnt"))
+    return grouped.select("level", F.coalesce("_hour", "_day").alias("bucket"), "check_name", "result", "cnt")
+
+
 def run_ids(results: DataFrame) -> DataFrame:
     """Distinct run ids, newest first."""
     return results.select("run_id").filter(F.col("run_id").isNotNull()).distinct().orderBy(F.desc("run_id"))

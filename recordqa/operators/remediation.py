@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recordqa.functions.variants import boolean_at, is_object, string_at
 from recordqa.operators.judging import last_answer, response_text
-from recordqa.schema import CORE_RECORD_DDL, REMEDIATION_DECISIONS
+from recordqa.schema import EVENT_INT_FIELDS, EVENT_STRING_FIELDS, EVENT_TAG_FIELDS, REMEDIATION_DECISIONS
 
 DEFAULT_REASONING = "No valid remediation returned for this row."  # fixed value
 
@@ -43,14 +43,23 @@ def default_remediation(event_id: Column) -> Column:
     )
 
 
-def unpack_remediations(calls: DataFrame, provider: str = "openai") -> DataFrame:
+def is_broken(calls: DataFrame, provider: str = "openai") -> Column:
+    """Whether a remediation call's response holds no JSON text."""
+    return F.try_parse_json(response_text(F.col("response"), provider)).isNull()
+
+
+def unpack_remediations(calls: DataFrame, provider: str = "openai", mode: str = "failfast") -> DataFrame:
     """Answers of remediation calls: ``check_name, batch_id, position, event_id, item``.
 
-    Text that is no JSON raises; JSON without a ``results`` array counts as no answers.
+    Text that is no JSON raises (``failfast``), or counts as no answers like JSON without a ``results`` array
+    (``quarantine``): its rows get the default, and the audit marks the call.
     """
-    text = response_text(F.col("response"), provider)
-    boom = F.raise_error(F.concat(F.lit("remediation response is not JSON: "), F.col("call_id")))
-    body = F.coalesce(F.try_parse_json(text), boom.cast("variant"))
+    if mode not in ("failfast", "quarantine"):
+        raise ValueError("mode must be 'failfast' or 'quarantine'")
+    body = F.try_parse_json(response_text(F.col("response"), provider))
+    if mode == "failfast":
+        boom = F.raise_error(F.concat(F.lit("remediation response is not JSON: "), F.col("call_id")))
+        body = F.coalesce(body, boom.cast("variant"))
     return calls.select(
         "check_name",
         "batch_id",
@@ -106,14 +115,14 @@ def _check_thresholds(hi: float, lo: float) -> None:
         raise ValueError("thresholds must satisfy 0 <= lo <= hi <= 1")
 
 
-# Raw-record fields a patch may name and how to read their present value.
-_PATCH_PATHS = {
-    "attributes.category": "category",
-    "attributes.summary": "summary",
-    "attributes.article_sentence": "article_sentence",
-    "attributes.effective_date": "effective_date",
-    "attributes.found_at": "found_at",
-}
+# Raw-record fields a patch may name: every declared attribute of the event.
+_PATCH_PATHS = tuple(
+    f"attributes.{name}"
+    for name in (
+        "summary", "category", "found_at", "confidence", "article_sentence", "human_approved", "planning", "effective_date",
+        *EVENT_STRING_FIELDS, *EVENT_INT_FIELDS, *EVENT_TAG_FIELDS, "location_data", "product_data",
+    )
+)
 
 
 # Links of the event to other objects.
@@ -131,23 +140,26 @@ def remediation_violations(remediations: DataFrame) -> DataFrame:
     decision = string_at(item, "$.decision")
     path = string_at(item, "$.proposed_patch.path")
     confidence = F.try_variant_get(item, "$.confidence", "double")
-    parsed = remediations.withColumn("_attrs", F.get(F.from_json("source_record", CORE_RECORD_DDL)["data"], F.lit(0)))
-    present = F.lit(None).cast("string")
-    for name, field in _PATCH_PATHS.items():
-        present = F.when(path == name, F.col(f"_attrs.attributes.{field}")).otherwise(present)
-    old = F.try_variant_get(item, "$.proposed_patch.old_value", "string")
     linked = path.rlike(_LINK_PATH)
-    present = F.when(linked, F.call_function("get_json_object", F.col("source_record"), F.concat(F.lit("$.data[0]."), path))).otherwise(present)
     known_path = path.isin(*_PATCH_PATHS) | linked
+    # one look-up serves all paths; text, numbers, booleans and lists alike compare by their JSON text
+    at = F.concat(F.lit("$.data[0]."), path)
+    present = F.when(known_path, F.call_function("get_json_object", F.col("source_record"), at))
+    old_value = F.try_variant_get(item, "$.proposed_patch.old_value", "variant")
+    nested = F.schema_of_variant(old_value).rlike("^(ARRAY|OBJECT)")
+    old = F.when(nested, F.to_json(old_value)).otherwise(F.try_variant_get(item, "$.proposed_patch.old_value", "string"))
+    same = F.when(nested, F.to_json(F.try_parse_json(present)).eqNullSafe(old)).otherwise(
+        old.eqNullSafe(present) | F.coalesce(old.try_cast("double") == present.try_cast("double"), F.lit(False))
+    )
     acts = decision.isin(*REMEDIATION_DECISIONS) & (decision != "no_change")
     rules = {
         "unknown_decision": ~F.coalesce(decision.isin(*REMEDIATION_DECISIONS), F.lit(False)),
         "missing_reasoning": F.coalesce(string_at(item, "$.reasoning"), F.lit("")) == "",
         "bad_confidence": ~F.coalesce(confidence.between(0.0, 1.0), F.lit(False)),
         "missing_patch": F.coalesce(acts, F.lit(False)) & path.isNull(),
-        "stale_old_value": F.coalesce(known_path, F.lit(False)) & ~old.eqNullSafe(present),
+        "stale_old_value": F.coalesce(known_path, F.lit(False)) & ~same,
         "missing_spans": F.try_variant_get(item, "$.evidence_spans", "array<variant>").isNull(),
         "missing_review_flag": boolean_at(item, "$.review_recommended").isNull(),
     }
     broken = F.array_compact(F.array(*[F.when(cond, F.lit(rule)) for rule, cond in rules.items()]))
-    return parsed.withColumn("violations", broken).drop("_attrs").filter(F.size("violations") > 0)
+    return remediations.withColumn("violations", broken).filter(F.size("violations") > 0)

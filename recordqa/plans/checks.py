@@ -12,12 +12,15 @@ from recordqa.functions.variants import string_at
 from recordqa.operators.cost import routing_table
 from recordqa.operators.judging import (
     Judge,
+    ResponseStore,
     answers_array,
     build_requests,
     enrich,
     finish_answer,
     judge as apply_judge,
+    judge_in_waves,
     metrics_struct,
+    one_response,
     record_batches,
     with_call_metrics,
 )
@@ -48,18 +51,25 @@ def run_checks(
     from_scan: bool = False,
     mode: str = "failfast",
     with_duplicates: bool = False,
+    duplicate_threshold: float = 1.0,
+    store: str | None = None,
+    waves: int = 8,
 ) -> CheckRun:
     """Judge every eligible record with every check.
 
     ``records`` comes from ``parse_records``; ``prompts`` from ``prompt_registry``.
     Stored ``responses`` (``call_id, response, latency_ms``) of an earlier attempt of the same run
     are used first; a judge is called for the calls they lack. Without a judge such calls have no
-    response, and their rows get the default verdict. ``from_scan``: see ``record_batches``. Responses are staged
-    before the two outputs branch, so no call is made twice.
+    response, and their rows get the default verdict. A call that is stored more than once counts once
+    (``one_response``). ``from_scan``: see ``record_batches``. Responses are staged before the two outputs
+    branch, so no call is made twice. With ``store``, a folder of this run, they are committed there in
+    ``waves``: when the job is lost and started again with the same run id, only calls of waves that were not
+    committed are made.
 
     A response without a results array raises (``failfast``), or with ``mode="quarantine"`` gives its
     rows the default verdict and sets ``is_invalid`` in the audit. A check without a prompt raises.
-    ``with_duplicates`` fills the dedupe context of the source check.
+    ``with_duplicates`` fills the dedupe context of the source check, with near copies too if
+    ``duplicate_threshold`` is below 1.
     """
     if mode not in ("failfast", "quarantine"):
         raise ValueError("mode must be 'failfast' or 'quarantine'")
@@ -68,18 +78,19 @@ def run_checks(
     run_id = run_id or new_run_id()
     latest = latest_prompts(prompts)
     _require_prompts(latest)
-    batches = record_batches(records, batch_size, order, from_scan, with_duplicates)
+    batches = record_batches(records, batch_size, order, from_scan, with_duplicates, duplicate_threshold)
     requests = build_requests(batches, latest, routing_table(routing), run_id, max_body_chars)
-    if responses is None:
-        judged = stage_table(apply_judge(requests, judge, factory), "judged")
+    asks = judge is not None or factory is not None
+    stored = None if responses is None else stage_table(one_response(responses), "stored-responses")
+    rest = requests if stored is None else requests.join(stored, "call_id", "left_anti")
+    if not asks:
+        judged = requests.join(stored, "call_id", "left")
     else:
-        stored = responses.select("call_id", "response", "latency_ms")
-        if judge is None and factory is None:
-            judged = requests.join(stored, "call_id", "left")
-        else:
-            rest = requests.join(stored, "call_id", "left_anti")
+        if store is None:
             again = stage_table(apply_judge(rest, judge, factory), "judged")
-            judged = requests.join(stored, "call_id").unionByName(again)
+        else:
+            again = stage_table(judge_in_waves(rest, ResponseStore(records.sparkSession, store), waves, judge, factory), "judged")
+        judged = again if stored is None else requests.join(stored, "call_id").unionByName(again)
     responses = judged.select("call_id", "response", "latency_ms").filter(F.col("response").isNotNull())
     calls = with_call_metrics(judged)
     return CheckRun(run_id, _results(batches, calls, run_id, mode), call_audit(calls), responses)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
@@ -20,13 +20,16 @@ from recordqa.operators.judging import (
 from recordqa.operators.remediation import (
     attach_remediations,
     failed_checks,
+    is_broken,
     remediation_item,
     unpack_remediations,
 )
 from recordqa.session import pin, stage_table
 from recordqa.sources.lines import LINE_ORDER
 
-PROMPT_VERSION = "v1"  # fixed value of the audit contract
+# fixed values of the audit contract
+PROMPT_VERSION = "v1"
+FALLBACK_NOTE = "chunked_fallback"
 
 
 class RemediationRun(NamedTuple):
@@ -45,8 +48,13 @@ def run_remediation(
     chunk: int = 10,
     run_id: str | None = None,
     order: tuple[str, ...] | None = None,
+    mode: str = "failfast",
+    fallback_chunk: int | None = None,
+    runs: Sequence[str] | None = None,
 ) -> RemediationRun:
-    """One recommendation per failed row of every run in ``results``; ``prompt`` is the system text.
+    """One recommendation per failed row of ``results``; ``prompt`` is the system text.
+
+    All runs found in ``results`` are covered, or those named in ``runs``.
 
     Rows are in the order they were written: by creation time, then run, then line; other orders
     are named by ``order``.
@@ -54,10 +62,20 @@ def run_remediation(
     Requests are fixed chunks per check, so no request grows with the table.
     Answers are looked up by (check, event): the last one wins and serves every
     failed row of that event.
+
+    The rows of a call whose response is no JSON are asked again in requests of ``fallback_chunk`` rows, if that is
+    given; the audit holds both calls, the later ones with a note. What is no JSON after that raises (``failfast``) or gives
+    its rows the default recommendation and sets ``is_invalid`` in the audit (``quarantine``).
     """
+    if mode not in ("failfast", "quarantine"):
+        raise ValueError("mode must be 'failfast' or 'quarantine'")
+    if fallback_chunk is not None and fallback_chunk <= 0:
+        raise ValueError("fallback chunk must be positive")
     if max_rows_per_check is not None and max_rows_per_check <= 0:
         raise ValueError("max_rows_per_check must be positive")
     run_id = run_id or new_run_id()
+    if runs is not None:
+        results = results.filter(F.col("run_id").isin(*runs))
     if order is None:
         results, order = in_written_order(results)
     rows = failed_checks(pin(results)).select("check_name", *order, "event_id", "source_record", "llm_check", "_pin")
@@ -67,48 +85,34 @@ def run_remediation(
     rows = batch_ids(stage_table(rows, "failed").drop("_pin"), chunk, order, ("check_name",))
     rows = stage_table(rows, "remediation-rows")
 
-    # VARIANT cannot be sorted, so members travel as text and become items after the sort.
-    member = F.struct("pos", "event_id", "source_record", F.to_json("llm_check").alias("failed_check"))
-    requests = (
-        rows.groupBy("check_name", "batch_id")
-        .agg(F.array_sort(F.collect_list(member)).alias("members"))
-        .select(
-            F.concat_ws("/", F.lit(run_id), F.lit("remediation"), "check_name", F.col("batch_id").cast("string")).alias(
-                "call_id"
-            ),
-            "check_name",
-            "batch_id",
-            F.size("members").cast("bigint").alias("n_rows"),
-            F.lit(model).alias("model_spec"),
-            F.lit(model).alias("model"),
-            F.lit("openai").alias("provider"),
-            chat_request(
-                F.lit(prompt),
-                F.lit(model),
-                encode_json(
-                    F.struct(
-                        "check_name",
-                        F.transform(
-                            "members",
-                            lambda m: remediation_item(
-                                m["event_id"], m["source_record"], F.parse_json(m["failed_check"])
-                            ),
-                        ).alias("failed_records"),
-                    )
-                ),
-            ).alias("request"),
+    # The audit of a call is written from the call itself; what the rows need goes by batch.
+    requests = _requests(rows, prompt, model, run_id)
+    calls = stage_table(apply_judge(requests, judge, factory), "remediation-judged").withColumn("note", F.lit(None).cast("string"))
+    answered = calls
+    if fallback_chunk is not None:
+        broken = stage_table(calls.filter(is_broken(calls)).select("check_name", "batch_id"), "remediation-broken")
+        # batches keep their order: the parts of batch b are numbered after it and before batch b + 1
+        parts = -(-chunk // fallback_chunk) + 1
+        part = 1 + F.floor((F.col("pos") % chunk) / fallback_chunk)
+        moved = rows.join(broken.withColumn("_again", F.lit(True)), ["check_name", "batch_id"], "left").withColumn(
+            "batch_id", F.col("batch_id") * parts + F.when(F.col("_again"), part).otherwise(0)
         )
-    )
-    calls = with_call_metrics(stage_table(apply_judge(requests, judge, factory), "remediation-judged"))
-
-    answers = unpack_remediations(calls)
+        rows = stage_table(moved, "remediation-parts")
+        again = _requests(rows.filter("_again").drop("_again"), prompt, model, run_id, "again")
+        again = stage_table(apply_judge(again, judge, factory), "remediation-judged").withColumn("note", F.lit(FALLBACK_NOTE))
+        rows = rows.drop("_again")
+        first = calls.withColumn("batch_id", F.col("batch_id") * parts)
+        answered = first.filter(~is_broken(first)).unionByName(again)
+        calls = first.unionByName(again)
+    answers = unpack_remediations(answered, mode=mode)
+    answered = with_call_metrics(answered)
     last_batch = (
         rows.filter(F.col("event_id").isNotNull())
         .groupBy("check_name", "event_id")
         .agg(F.max("batch_id").alias("batch_id"))
     )
     shares = last_batch.join(
-        calls.select("check_name", "batch_id", metrics_struct(F.col("n_rows")).alias("llm_metrics")),
+        answered.select("check_name", "batch_id", metrics_struct(F.col("n_rows")).alias("llm_metrics")),
         ["check_name", "batch_id"],
     ).drop("batch_id")
     out = attach_remediations(rows, answers).join(shares, ["check_name", "event_id"], "left")
@@ -124,7 +128,27 @@ def run_remediation(
         "remediation",
         "llm_metrics",
     )
-    return RemediationRun(run_id, remediations, remediation_audit(calls))
+    return RemediationRun(run_id, remediations, remediation_audit(with_call_metrics(calls)))
+
+
+def _requests(rows: DataFrame, prompt: str, model: str, run_id: str, *tag: str) -> DataFrame:
+    """One request per (check, batch) of numbered failed rows."""
+    # VARIANT cannot be sorted, so members travel as text and become items after the sort.
+    member = F.struct("pos", "event_id", "source_record", F.to_json("llm_check").alias("failed_check"))
+    name = [F.lit(run_id), F.lit("remediation"), F.col("check_name"), *[F.lit(t) for t in tag], F.col("batch_id").cast("string")]
+    item = lambda m: remediation_item(m["event_id"], m["source_record"], F.parse_json(m["failed_check"]))
+    body = encode_json(F.struct("check_name", F.transform("members", item).alias("failed_records")))
+    grouped = rows.groupBy("check_name", "batch_id").agg(F.array_sort(F.collect_list(member)).alias("members"))
+    return grouped.select(
+        F.concat_ws("/", *name).alias("call_id"),
+        "check_name",
+        "batch_id",
+        F.size("members").cast("bigint").alias("n_rows"),
+        F.lit(model).alias("model_spec"),
+        F.lit(model).alias("model"),
+        F.lit("openai").alias("provider"),
+        chat_request(F.lit(prompt), F.lit(model), body).alias("request"),
+    )
 
 
 def in_written_order(results: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
@@ -137,7 +161,10 @@ def in_written_order(results: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
 
 
 def remediation_audit(calls: DataFrame) -> DataFrame:
-    """Audit rows of remediation calls; the contract gives them no run id and no provider."""
+    """Audit rows of remediation calls; the contract gives them no run id and no provider.
+
+    ``note`` names calls that repeat a broken one in smaller parts, ``is_invalid`` the broken ones.
+    """
     total = F.size(
         F.coalesce(
             F.try_variant_get(
@@ -160,5 +187,7 @@ def remediation_audit(calls: DataFrame) -> DataFrame:
         "cost_usd",
         F.struct(total.alias("total_results")).alias("decision"),
         F.parse_json("request").alias("request"),
-        F.parse_json("response").alias("response"),
+        F.try_parse_json("response").alias("response"),
+        "note",
+        is_broken(calls).alias("is_invalid"),
     )

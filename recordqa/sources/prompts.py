@@ -10,7 +10,8 @@ from recordqa.functions.ids import prompt_version, version_number
 def prompt_registry(spark: SparkSession, directory: str) -> DataFrame:
     """One row per ``<base>_v*.txt``: base, version, version_num, file, text."""
     files = spark.read.text(f"{directory.rstrip('/')}/*_v*.txt", wholetext=True)
-    name = F.col("_metadata.file_name")
+    # the scan names files as in a URL, where a plus sign stands for itself
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     version = prompt_version(name)
     return files.select(
         F.regexp_extract(name, r"^(.+)_v[^/]*\.txt$", 1).alias("base"),

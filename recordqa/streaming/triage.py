@@ -86,6 +86,24 @@ def first_sightings(rows: DataFrame, time_col: str = "created_at", delay: str =
     return rows.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
+def resume_stateful(rows: DataFrame, out_dir: str, checkpoint: str, ttl: str = "30 days") -> StreamingQuery:
+    """Appends rows whose event id was not seen in the last ``ttl`` to ``out_dir``, over any number of starts.
+
+    What was seen is the query's own state, which the checkpoint carries from start to start and which is as
+    large as the ids of one ``ttl``; the history is never read. Time is that of arrival, so no row is late. Of rows with one
+    id in a batch any may pass; rows without an id are left out. Output is exactly once (file sink with a commit log).
+    """
+    arrived = rows.filter(F.col("event_id").isNotNull()).withColumn("arrived_at", F.current_timestamp())
+    return (
+        first_sightings(arrived, "arrived_at", ttl)
+        .writeStream.format("parquet")
+        .option("path", out_dir)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def resume_stream(
     rows: DataFrame,
     done: Callable[[], DataFrame],

@@ -1,0 +1,243 @@
+"""Near copies, waves, quarantine, stateful resume, stored sketches: what the SQL twins cannot show."""
+
+import json
+import random
+import sys
+
+import pandas as pd
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import rows
+from recordqa.operators import conformance, duplicates, judging, loading, near_stories, sketches
+from recordqa.plans.checks import run_checks
+from recordqa.plans.full_run import run_all
+from recordqa.plans.remediation import run_remediation
+from recordqa.schema import CHECKS
+from recordqa.sources.lines import parse_records, read_all_checks, read_audit, read_jsonl_lines
+from recordqa.sources.prompts import prompt_registry
+from recordqa.streaming.triage import resume_stateful
+from workload.judge_queries import fix_judge, length_judge
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+# ---- near copies ----------------------------------------------------------
+def _jaccard(a, b, k=5):
+    cut = lambda t: {tuple(t.split()[i : i + k]) for i in range(max(len(t.split()) - k + 1, 1))}
+    return len(cut(a) & cut(b)) / len(cut(a) | cut(b))
+
+
+def _texts(seed, n_families=12, members=6):
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(400)}"
+    out = []
+    for _ in range(n_families):
+        base = [word() for _ in range(rng.choice([4, 60, 120, 200]))]
+        for _ in range(members):
+            own = list(base)
+            for _ in range(rng.randrange(3)):
+                own[rng.randrange(len(own))] = word()
+            out.append(" ".join(own))
+    return out + [out[0], out[0].upper() + "!", None, "", " - ", "one"]
+
+
+def test_near_links_are_the_pairs_above_the_threshold(spark):
+    texts = _texts(3)
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "id int, article_sentence string, a string")
+    forms = sorted({" ".join("".join(c if c.isalnum() else " " for c in t.lower()).split()) for t in texts if t} - {""})
+    want = {(a, b) for i, a in enumerate(forms) for b in forms[i + 1 :] if _jaccard(a, b) >= 0.8}
+    key = {r.k: r.f for r in spark.createDataFrame([(f,) for f in forms], "f string").select("f", duplicates.story_key(F.col("f")).alias("k")).collect()}
+    got = {tuple(sorted((key[r.a], key[r.b]))) for r in near_stories.near_links(df).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) and len(want) > 20
+    for r in near_stories.near_links(df).collect():
+        assert r.similarity == pytest.approx(_jaccard(key[r.a], key[r.b]))
+
+
+def test_large_buckets_are_dealt_out_without_losing_a_pair(spark, monkeypatch):
+    texts = [" ".join(f"w{n}" for n in range(80)) + f" tail{i}" for i in range(60)]  # all in the same buckets
+    df = spark.createDataFrame([(t,) for t in texts], "article_sentence string")
+    monkeypatch.setattr(near_stories, "BUCKET", 7)
+    assert near_stories.near_links(df).count() == 60 * 59 // 2
+    counted = near_stories.near_duplicate_counts(df)
+    assert rows(counted.select("possible_duplicate_count", "similar_stories").distinct()) == [(59, 59)]
+
+
+def test_near_context_counts_copies_of_similar_stories(spark):
+    base = " ".join(f"w{n}" for n in range(60))
+    df = spark.createDataFrame([(1, base), (2, base), (3, base + " more"), (4, "other words"), (5, None)], "id int, article_sentence string")
+    count = F.col("dedupe_context.possible_duplicate_count").alias("n")
+    assert rows(duplicates.dedupe_context(df, threshold=0.8).select("id", count)) == [(1, 2), (2, 2), (3, 2), (4, 0), (5, 0)]
+    assert rows(duplicates.dedupe_context(df).select("id", count)) == [(1, 1), (2, 1), (3, 0), (4, 0), (5, 0)]
+    assert near_stories.near_links(df.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        near_stories.near_links(df, threshold=0)
+
+
+def test_what_bands_may_miss_is_rare():
+    assert near_stories.miss_probability(0.8) < 4e-4 and near_stories.miss_probability(0.9) < 1e-7
+
+
+# ---- waves ----------------------------------------------------------------
+def _prompts(spark, *more):
+    return spark.createDataFrame(
+        [(c, "v1", 1, f"{c}_v1.txt", c) for c in (*CHECKS, *more)], "base string, version string, version_num int, file string, text string"
+    )
+
+
+def _records(spark, n=40):
+    lines = [json.dumps({"data": [{"id": f"e{i:02d}", "attributes": {"summary": "x" * (i + 1), "category": "c", "article_sentence": f"s {i}"}}]}) for i in range(n)]
+    return spark.createDataFrame([(v, "f", 0, i) for i, v in enumerate(lines)], "value string, file_name string, block_start long, line_id long")
+
+
+def lost_after_two(requests: pd.DataFrame) -> pd.DataFrame:
+    if any(int(c.rsplit("/", 1)[1]) >= 2 for c in requests["call_id"]):
+        raise RuntimeError("lost")
+    return length_judge(requests).assign(latency_ms=1.0)
+
+
+def late(requests: pd.DataFrame) -> pd.DataFrame:
+    return length_judge(requests).assign(latency_ms=2.0)
+
+
+def test_a_lost_run_asks_only_for_what_no_committed_wave_holds(spark, tmp_path):
+    records, prompts, store = parse_records(_records(spark)), _prompts(spark), str(tmp_path / "calls")
+    run = lambda judge, n: run_checks(records, prompts, judge, run_id="r", batch_size=5, store=store, waves=n)
+    with pytest.raises(PySparkException, match="lost"):
+        run(lost_after_two, 4)  # batches 0..7: waves 0 and 1 fail with batches 4 and 5, so nothing is committed
+    assert judging.ResponseStore(spark, store).committed().count() == 0
+    with pytest.raises(PySparkException, match="lost"):
+        run(lost_after_two, 8)  # one batch a wave: 0 and 1 are committed
+    held = judging.ResponseStore(spark, store).committed()
+    assert held.count() == 2 * len(CHECKS) and held.where("latency_ms <> 1").count() == 0
+    out = run(late, 3)
+    assert rows(out.audit.groupBy("latency_ms").count()) == [(1.0, 2 * len(CHECKS)), (2.0, 6 * len(CHECKS))]
+    assert judging.ResponseStore(spark, store).committed().groupBy("call_id").count().where("count > 1").count() == 0
+    assert out.results.count() == 40 * len(CHECKS)
+    again = run(lost_after_two, 3)  # all is held: nobody is asked
+    assert again.audit.where("latency_ms = 2").count() == 6 * len(CHECKS)
+
+
+def test_one_response_is_the_last_stored(spark):
+    df = spark.createDataFrame(
+        [("a", "old", 1.0, 1), ("a", None, 1.0, 2), ("a", "new", 1.0, 2), ("b", None, None, 1), ("c", "x", 1.0, 1), ("c", "x", 1.0, 1)],
+        "call_id string, response string, latency_ms double, stored_at int",
+    )
+    assert rows(judging.one_response(df), "call_id", "response") == [("a", "new"), ("b", None), ("c", "x")]
+
+
+# ---- quarantine -----------------------------------------------------------
+def half_broken(requests: pd.DataFrame) -> pd.DataFrame:
+    out = fix_judge(requests)
+    out.loc[requests["call_id"].str.contains("entity_resolution"), "response"] = "no json"
+    return out
+
+
+@pytest.fixture
+def failing(spark):
+    values = [(c, i, f'{{"data":[{{"id":"e{i}"}}]}}', f'{{"event_id":"e{i}","result":"fail","reason":"{i + 1}"}}') for c in CHECKS for i in range(5)]
+    df = spark.createDataFrame(values, "check_name string, id int, source_record string, llm_check string")
+    return df.withColumn("llm_check", F.parse_json("llm_check"))
+
+
+def test_one_broken_remediation_answer_does_not_end_the_run(spark, failing):
+    with pytest.raises(PySparkException, match="not JSON"):
+        run_remediation(failing, "Fix.", half_broken, order=("id",)).remediations.collect()
+    run = run_remediation(failing, "Fix.", half_broken, order=("id",), mode="quarantine", chunk=4, fallback_chunk=3)
+    got = run.remediations.select("check_name", F.try_variant_get("remediation", "$.reasoning", "string").alias("why"))
+    counts = rows(got.groupBy("check_name", "why").count())
+    assert counts == [("entity_resolution", "No valid remediation returned for this row.", 5)] + [(c, "by row", 5) for c in sorted(CHECKS) if c != "entity_resolution"]
+    audit = rows(run.audit.groupBy("check_name", "note", "is_invalid").count())
+    # two calls, broken, and their parts of three: 3 + 1 and 1
+    assert [a for a in audit if a[0] == "entity_resolution"] == [("entity_resolution", None, True, 2), ("entity_resolution", "chunked_fallback", True, 3)]
+    assert all(a[1:] == (None, False, 2) for a in audit if a[0] != "entity_resolution")
+    for wrong in ({"mode": "drop"}, {"fallback_chunk": 0}):
+        with pytest.raises(ValueError):
+            run_remediation(failing, "Fix.", fix_judge, order=("id",), **wrong)
+
+
+def every_fix_broken(requests: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"call_id": requests["call_id"], "response": "no json", "latency_ms": 1.0})
+
+
+def test_a_run_survives_bad_lines_and_bad_answers_and_loses_neither(spark, tmp_path):
+    folder = tmp_path / "input"
+    folder.mkdir()
+    lines = [json.loads(r.value) for r in _records(spark, 12).collect()]
+    (folder / "a.jsonl").write_text("\n".join([*map(json.dumps, lines), "{broken", '{"data":[']) + "\n")
+    prompts = tmp_path / "prompts"
+    prompts.mkdir()
+    for base in (*CHECKS, "remediation"):
+        (prompts / f"{base}_v1.txt").write_text(base)
+    read = lambda: read_jsonl_lines(spark, str(folder))
+    with pytest.raises(PySparkException, match="malformed"):
+        run_all(spark, read(), str(prompts), str(tmp_path / "x"), length_judge, every_fix_broken)
+    done = run_all(spark, read(), str(prompts), str(tmp_path / "out"), length_judge, every_fix_broken, run_id="r1", mode="quarantine")
+    kept = spark.read.json(done.quarantine_path)
+    assert rows(kept, "run_id", "value") == [("r1", '{"data":['), ("r1", "{broken")] and kept.where("file_name LIKE '%a.jsonl'").count() == 2
+    assert rows(done.triage_counts, "escalate") == [(12,)] and read_all_checks(spark, done.results_dir).count() == 12 * len(CHECKS)
+    fixed = spark.read.json(done.remediations_dir).select("remediation.decision").distinct()
+    assert rows(fixed) == [("no_change",)]
+    assert read_audit(spark, done.audit_path).where("stage = 'remediation'").count() == len(CHECKS)
+
+
+# ---- the rest -------------------------------------------------------------
+def test_prompt_names_are_those_of_the_files(spark, tmp_path):
+    for name in ("a b_v1.txt", "a+b_v2.txt", "50%25_v3.txt", "ä_v4.txt"):
+        (tmp_path / name).write_text("x")
+    assert {r.file for r in prompt_registry(spark, str(tmp_path)).collect()} == {"a b_v1.txt", "a+b_v2.txt", "50%25_v3.txt", "ä_v4.txt"}
+
+
+def test_stateful_resume_reads_no_history(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    spark.createDataFrame([("a", 1), ("b", 1), ("a", 1), (None, 1)], "event_id string, n int").write.parquet(src)
+    stream = lambda: spark.readStream.schema("event_id string, n int").parquet(src)
+    resume_stateful(stream(), out, state).awaitTermination()
+    spark.createDataFrame([("b", 2), ("c", 2), ("c", 2)], "event_id string, n int").write.mode("append").parquet(src)
+    query = resume_stateful(stream(), out, state)
+    query.awaitTermination()
+    assert rows(spark.read.parquet(out), "event_id", "n") == [("a", 1), ("b", 1), ("c", 2)]
+    assert query.lastProgress is None or len(query.lastProgress["sources"]) == 1
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 3  # the second start reads its own files only
+
+
+def test_upsert_keeps_the_first_sighting_and_takes_the_last_text(spark):
+    kind = "event_id string, source_record_json string, first_seen_at int, last_seen_at int"
+    old = spark.createDataFrame([("a", "old", 5, 6), ("z", "z", 1, 1)], kind)
+    new = spark.createDataFrame([("a", "x", 4, 1), ("a", "y", 9, 1), ("a", "w", 9, 1), ("b", "b", 7, 2), (None, "n", 1, 1)], "event_id string, source_record_json string, seen_at int, n int")
+    got = loading.upsert_records(old, new, ("seen_at", "n"))
+    assert rows(got, "event_id", "source_record_json", "first_seen_at", "last_seen_at") == [("a", "y", 4, 9), ("b", "b", 7, 7), ("z", "z", 1, 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan
+    assert rows(loading.upsert_records(old, new.limit(0), ("seen_at", "n")), "event_id", "first_seen_at") == [("a", 5), ("z", 1)]
+
+
+def test_merged_sketches_answer_without_the_data(spark):
+    df = spark.range(40_000).select((F.col("id") % 4).alias("load"), (F.col("id") % 5000).alias("v"), F.sqrt(F.col("id") / 40_000).alias("x"))
+    stored = sketches.distinct_sketches(df, ["v"], ["load"])
+    assert stored.count() == 4
+    found = sketches.merged_distinct(stored).first()
+    assert found["rows"] == 40_000 and abs(found.distinct_estimate - 5000) <= 100
+    quantiles = {r.share: r.value for r in sketches.merged_quantiles(sketches.quantile_sketches(df, "x", ["load"]), [0.25, 0.5]).collect()}
+    assert quantiles[0.25] == pytest.approx(0.5, abs=0.01) and quantiles[0.5] == pytest.approx(0.7071, abs=0.01)
+
+
+def test_leaders_are_exact_or_refused(spark, monkeypatch):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 5).otherwise(F.col("id")).cast("string").alias("v"))
+    leaders = sketches.exact_leaders(df, "v", sketches.frequency_sketches(df, "v"), 3)
+    want = df.groupBy("v").count().orderBy(F.desc("count"), "v").limit(3)
+    assert rows(leaders, "value", "cnt") == rows(want)
+    monkeypatch.setattr(sketches, "FOLLOWED", 100)
+    flat = spark.range(5000).select(F.col("id").alias("v"))
+    with pytest.raises(PySparkException, match="no leaders"):
+        sketches.exact_leaders(flat, "v", sketches.frequency_sketches(flat, "v"), 3).collect()
+
+
+def test_schema_drift_of_odd_lines(spark):
+    lines = [("{bad",), ('{"data":[]}',), ('{"data":[{"attributes":{"summary":null,"headcount":1.5,"new":[1]}}]}',), (None,)]
+    found = rows(conformance.schema_drift(spark.createDataFrame(lines, "value string")).where("rows > 0"))
+    assert found == [("headcount", "NUMBER", 1, True, True), ("new", "ARRAY", 1, False, False), ("summary", "NULL", 1, True, True)]
+    empty = conformance.schema_drift(spark.createDataFrame([], "value string"))
+    assert empty.count() == len(conformance.DECLARED) and empty.where("rows > 0 OR fits").count() == 0
