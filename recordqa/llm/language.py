@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import functools
 import math
+import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,74 +33,131 @@ MOST = 40.0
 SMOOTH = 5.0
 #: Probability, before any evidence, that a text is in none of the known languages.
 FOREIGN = 0.01
-#: Where a text of none of them begins, from its n-grams' likelihood in a foreign language (0) to that in their own (1).
-#: Formulas such as licences lie at 0.2 in the corpus, prose of unlisted languages in Latin letters below 0.1.
-BORDER = 0.125
+#: Share of the n-gram model that is the mean of all languages and of a uniform one. It bounds what one n-gram can say, so
+#: words and letters that the labelled texts happen to lack do not outweigh those they share with a text.
+SHARED = 0.3
+#: A letter that makes up less than this share of a language's letters is a stranger in its texts.
+STRANGE = 1e-4
+#: Share of words with a letter outside the alphabet, in texts of a language (names, quotations, what labelled
+#: texts lack) and in texts of none of the known ones.
+STRANGE_WORDS = (0.02, 0.2)
+#: The most frequent letters that make up this share of a language's letters; noise draws letters evenly.
+CORE = 0.8
+#: Least share of core letters that is expected of a text of the language, whatever its words.
+CORE_SHARE = 0.55
+#: Letters that a labelled text counts for, however long it is.
+WEIGHT = 1000
 _FACTORS = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
 @functools.cache
 def _letters() -> np.ndarray:
-    """Which code points of the basic plane are letters."""
-    return np.array([chr(c).isalpha() for c in range(0x10000)])
+    """Which code points of the first four planes are letters; beyond them there are none."""
+    return np.array([chr(c).isalpha() for c in range(0x40000)])
 
 
-def gram_buckets(text: str):
-    """Buckets of the letter n-grams (1 to 3 letters, other characters as one kind of end) and the number of
-    words, in chunks of a text."""
+def _chunks(text: str) -> Iterator[np.ndarray]:
+    """Code points of a text in lower case between blanks, in chunks that overlap by two."""
     codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
     for at in range(0, max(1, len(codes) - 2), CHUNK):
-        part = codes[at : at + CHUNK + 2]
-        letter = np.where(part < 0x10000, _letters()[np.minimum(part, 0xFFFF)], True)
-        c = np.where(letter, part, 32).astype(np.uint64)
-        mixed = [c[i : len(c) - 2 + i] * f for i, f in enumerate(_FACTORS)]
-        first, mid = letter[:-2], letter[1:-1]
-        one, two, three = mixed[1] * _FACTORS[2], mixed[0] + mixed[1], mixed[0] + mixed[1] + mixed[2]
-        keys = np.concatenate([one[mid], two[first | mid], three[mid]])
-        keys ^= keys >> np.uint64(32)
-        buckets = (keys * _FACTORS[0] >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
-        yield buckets, int((mid & ~first).sum())
+        yield codes[at : at + CHUNK + 2]
+
+
+def _is_letter(part: np.ndarray) -> np.ndarray:
+    return np.where(part < len(_letters()), _letters()[np.minimum(part, len(_letters()) - 1)], False)
+
+
+def _buckets(part: np.ndarray, letter: np.ndarray) -> np.ndarray:
+    """Buckets of the letter n-grams of a chunk (1 to 3 letters, other characters as one kind of end)."""
+    c = np.where(letter, part, 32).astype(np.uint64)
+    mixed = [c[i : len(c) - 2 + i] * f for i, f in enumerate(_FACTORS)]
+    first, mid = letter[:-2], letter[1:-1]
+    one, two, three = mixed[1] * _FACTORS[2], mixed[0] + mixed[1], mixed[0] + mixed[1] + mixed[2]
+    keys = np.concatenate([one[mid], two[first | mid], three[mid]])
+    keys ^= keys >> np.uint64(32)
+    return (keys * _FACTORS[0] >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
 @dataclass
 class Model:
-    """Languages, and log-probabilities of n-gram buckets: one row per bucket, one column per language."""
+    """Languages; log-probabilities of n-gram buckets, one row per bucket and one column per language; per language
+    which code points belong to its alphabet and which are its core letters."""
 
     langs: tuple[str, ...]
     logs: np.ndarray
+    alphabet: np.ndarray
+    core: np.ndarray
 
-    @functools.cached_property
-    def foreign(self) -> np.ndarray:
-        """By language, the mean log-likelihood of an n-gram below which a text is not of it: ``BORDER`` of
-        the way from what the labelled texts' n-grams get from the next best language, or a uniform one, to their own mean."""
-        p = np.exp(self.logs)
-        means = p.T @ self.logs  # row: language of the n-grams, column: language that explains them
-        own = np.diag(means).copy()
-        np.fill_diagonal(means, -math.log(BUCKETS))
-        other = means.max(axis=1, initial=-math.log(BUCKETS))
-        return other + BORDER * (own - other)
+
+def letter_tables(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(alphabet, core) of a language from the counts of its letters, as flags by code point.
+
+    To the alphabet belongs what is no stranger, the whole of a-z for a language that writes Latin letters, and a
+    Latin letter under marks that the language puts on others.
+    """
+    n = len(_letters())
+    alphabet, core = np.zeros(n, bool), np.zeros(n, bool)
+    total = sum(counts.values())
+    known = {c for c, k in counts.items() if c < n and k >= STRANGE * total}
+    marks = {m for c in known for m in unicodedata.normalize("NFD", chr(c))[1:]}
+    alphabet[list(known)] = True
+    if 2 * sum(k for c, k in counts.items() if 97 <= c <= 122) > total:
+        alphabet[97:123] = True
+        for c in range(0xC0, 0x250):
+            base, *on = unicodedata.normalize("NFD", chr(c))
+            if "a" <= base <= "z" and on and marks.issuperset(on):
+                alphabet[c] = True
+    held = 0
+    for c, k in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
+        if c < n and held < CORE * total:
+            core[c] = True
+            held += k
+    return alphabet, core
 
 
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
+        sizes = np.maximum(model.alphabet.sum(axis=0), 1)
+        even = np.clip(model.core.sum(axis=0) / sizes, 0.05, CORE_SHARE - 0.05)  # share of core letters in noise
+        self.core_odds = np.log(even / CORE_SHARE), np.log((1 - even) / (1 - CORE_SHARE))
+        self.strange = ~model.alphabet.any(axis=1)
+        few, many = STRANGE_WORDS
+        self.strange_odds = math.log(many / few), math.log((1 - many) / (1 - few))
 
     def __call__(self, text: str) -> tuple[np.ndarray, float, int]:
-        """Tempered log-likelihoods, bounded, of the languages and of none of them; number of words with letters."""
-        total, foreign, grams, words = np.zeros(len(self.model.langs)), 0.0, 0, 0
-        for buckets, n in gram_buckets(text):
-            total += self.model.logs.take(buckets, axis=0).sum(axis=0)
-            grams += len(buckets)
-            words += n
-        if words and self.model.langs:
+        """Tempered log-likelihoods, bounded, of the languages and of none of them; number of words with letters.
+
+        A text is of none of them by its letters (words with letters strange to all) or as noise (letters drawn
+        evenly, by the core letters of the language its n-grams fit best).
+        """
+        model, k = self.model, len(self.model.langs)
+        total, core = np.zeros(k), np.zeros(k, np.int64)
+        strange = letters = words = 0
+        for part in _chunks(text):
+            letter = _is_letter(part)
+            mid, first = letter[1:-1], letter[:-2]
+            starts = mid & ~first
+            words += int(starts.sum())
+            total += model.logs.take(_buckets(part, letter), axis=0).sum(axis=0)
+            codes = part[1:-1][mid]
+            letters += len(codes)
+            core += model.core[codes].sum(axis=0)
+            odd = np.flatnonzero(self.strange[codes])
+            if len(odd):
+                strange += len(np.unique(np.cumsum(starts)[mid][odd]))
+        foreign = 0.0
+        if words and k:
             top = int(total.argmax())
-            foreign = float(np.clip(TEMPER * (grams * self.model.foreign[top] - total[top]), -MOST, MOST))
+            by_alphabet = strange * self.strange_odds[0] + max(words - strange, 0) * self.strange_odds[1]
+            by_noise = core[top] * self.core_odds[0][top] + (letters - core[top]) * self.core_odds[1][top]
+            foreign = float(np.clip(np.logaddexp(by_alphabet, by_noise), -MOST, MOST))
             total = np.maximum(TEMPER * (total - total[top]), -MOST)
         return total, foreign, words
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """N-gram counts by language from at most ``sample_docs`` labelled texts, the first by hash of the text.
+    """N-grams and letters by language from at most ``sample_docs`` labelled texts, the first by hash of the text.
 
     Texts without a label are left out; none at all give a model without languages, which rejects everything.
     """
@@ -111,20 +170,33 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_
     def count(batch):
         by: dict = {}
         for lang, text in zip(batch["lang"], batch["text"]):
-            counts = by.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            for buckets, _ in gram_buckets(text):
-                counts += np.bincount(buckets, minlength=BUCKETS)
-        for lang, counts in by.items():
-            at = np.flatnonzero(counts)
-            yield {"lang": [lang] * len(at), "bucket": at.tolist(), "n": counts[at].tolist()}
-
-    part = map_rows(sample.select("lang", "text"), count, "lang string, bucket int, n long")
-    counts = part.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()  # languages x buckets at most
-    langs = tuple(sorted({r[0] for r in counts}))
-    table = np.full((BUCKETS, len(langs)), 0.5)
-    for lang, bucket, n in counts:
-        table[bucket, langs.index(lang)] += n
-    return Model(langs, np.log(table / table.sum(axis=0)))
+            counts, letters = by.setdefault(lang, (np.zeros(BUCKETS, np.int64), np.zeros(len(_letters()), np.int64)))
+            own = np.zeros(len(letters), np.int64)
+            for part in _chunks(text):
+                letter = _is_letter(part)
+                counts += np.bincount(_buckets(part, letter), minlength=BUCKETS)
+                own += np.bincount(part[1:-1][letter[1:-1]], minlength=len(own))
+            letters += own * WEIGHT // max(1, own.sum())
+        for lang, both in by.items():
+            for letters, counts in enumerate(both):
+                at = np.flatnonzero(counts)
+                yield {"lang": [lang] * len(at), "letters": [bool(letters)] * len(at), "at": at.tolist(), "n": counts[at].tolist()}
+
+    part = map_rows(sample.select("lang", "text"), count, "lang string, letters boolean, at int, n long")
+    # at most a row per language and bucket or letter
+    counts = part.groupBy("lang", "letters", "at").agg(F.sum("n").alias("n")).collect()
+    langs = tuple(sorted({r.lang for r in counts}))
+    table, alphabets = np.zeros((BUCKETS, len(langs))), {x: {} for x in langs}
+    for lang, letters, at, n in counts:
+        if letters:
+            alphabets[lang][at] = n
+        else:
+            table[at, langs.index(lang)] += n
+    own = table / np.maximum(table.sum(axis=0), 1.0)
+    mean = (own.sum(axis=1, keepdims=True) + 1.0 / BUCKETS) / (len(langs) + 1)
+    tables = [letter_tables(alphabets[x]) for x in langs]
+    stacked = [np.stack(t, axis=1) if langs else np.zeros((len(_letters()), 0), bool) for t in zip(*tables)] or [np.zeros((len(_letters()), 0), bool)] * 2
+    return Model(langs, np.log((1 - SHARED) * own + SHARED * mean), *stacked)
 
 
 def suffix_of(host: Column) -> Column:
@@ -150,8 +222,9 @@ def identify(
 
     Evidence that is absent (null declared language, null host, a text without letters) says nothing. Evidence tables
     are counted from the texts' own posteriors; a row's own count is taken out of its host's and domain's prior. A row
-    is rejected if its text has no letters or no language reaches ``min_posterior``, where the posteriors leave room for
-    a text of none of the languages (``Model.foreign``); its lang is then the best guess, null if the model knows none. Ties go to the first language in order. Repeated rows get a row each, empty tables
+    is rejected if its text has no letters or the known languages together do not reach ``min_posterior``, where the
+    posteriors leave room for a text of none of them (``Scorer``); a text that could be in either of two known
+    languages stays. The lang of a rejected row is the best guess, null if the model knows none. Ties go to the first language in order. Repeated rows get a row each, empty tables
     give none.
 
     Texts are scanned once and not shuffled with: likelihoods, a few numbers per row, are written first. Tables of
@@ -237,7 +310,7 @@ def identify(
         F.when(F.col("_n") > 0, best(own)).alias("text_lang"),
         F.when(F.col("_n") > 0, F.array_max(own)).otherwise(0.0).alias("text_posterior"),
         F.col("_n").alias("n_words"),
-        ((F.col("_n") == 0) | (F.array_max("_post") < min_posterior)).alias("rejected"),
+        ((F.col("_n") == 0) | (F.aggregate("_post", F.lit(0.0), lambda a, b: a + b) < min_posterior)).alias("rejected"),
     )
 
 
