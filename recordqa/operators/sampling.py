@@ -6,8 +6,12 @@ import secrets
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from recordqa.session import stage_table
+
 # Equal lines are numbered in runs of this length, so no row holds a list as long as a group of copies.
 RUN = 10_000
+# Samples up to this size are drawn by one task from the tickets below the cut.
+FEW = 100_000
 
 
 def sample_records(
@@ -24,17 +28,24 @@ def sample_records(
     seed = secrets.randbits(63) if seed is None else seed
     digest = F.md5(F.concat_ws("~", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]).cast("binary"))
     named = lines.withColumn("_digest", digest)
-    taken = _cut(_tickets(named.groupBy("_digest").agg(F.count("*").alias("_n")), seed), n)
-    per_digest = taken.groupBy("_digest").agg(F.count("*").alias("_take"), F.max("_copies").alias("_copies"))
-    marked = named.join(per_digest, "_digest")
-    # only groups that are drawn in part need to be ranked
-    whole = marked.filter("_take = _copies")
-    part = marked.filter("_take < _copies").withColumn("_task", F.spark_partition_id())
-    for spread in (["_digest", "_task"], ["_digest"]):  # a hot group is first cut per task
-        rank = F.row_number().over(Window.partitionBy(*spread).orderBy(F.lit(0)))
-        part = part.withColumn("_rank", rank).filter("_rank <= _take").drop("_rank")
-    part = part.drop("_task")
-    return whole.unionByName(part).drop("_digest", "_take", "_copies")
+    counts = stage_table(named.groupBy("_digest").agg(F.count("*").alias("_n")), "sample-digests")
+    taken = _cut(_low(_tickets(counts, seed), counts, n), n)
+    per_digest = taken.groupBy("_digest").agg(F.count("*").alias("_take"))
+    marked = named.join(stage_table(per_digest, "sample-taken"), "_digest")
+    # the literal bound cuts a hot group in each task before it is shuffled
+    rank = F.row_number().over(Window.partitionBy("_digest").orderBy(F.lit(0)))
+    drawn = marked.withColumn("_rank", rank).filter((F.col("_rank") <= n) & (F.col("_rank") <= F.col("_take")))
+    return drawn.drop("_digest", "_take", "_rank")
+
+
+def _low(tickets: DataFrame, counts: DataFrame, n: int) -> DataFrame:
+    """Tickets below a cut that the ``n`` least lie below: ``n`` and a margin are expected there.
+
+    Tickets are uniform, so fewer than ``n`` below it have a probability of less than 1e-16.
+    """
+    total = counts.agg(F.sum("_n")).scalar()
+    cut = (n + 12 * n**0.5 + 64) / total * float(1 << 60)
+    return tickets.filter(F.conv(F.substring("_ticket", 1, 15), 16, 10).cast("double") <= cut)
 
 
 def _tickets(counts: DataFrame, seed: int) -> DataFrame:
@@ -50,8 +61,10 @@ def _tickets(counts: DataFrame, seed: int) -> DataFrame:
 
 
 def _cut(tickets: DataFrame, n: int) -> DataFrame:
-    """The ``n`` least tickets without sorting all: whole prefix buckets below the cut are kept, only the one
+    """The ``n`` least tickets. Few are ranked by a top-n in each task; many without sorting all: whole prefix buckets below the cut are kept, only the one
     that holds the cut is ranked. The window over prefixes has at most 16**6 rows."""
+    if n <= FEW:
+        return tickets.orderBy("_ticket", "_digest").limit(n).select("_digest", "_copies")
     prefix = F.substring("_ticket", 1, 6)
     counts = tickets.groupBy(prefix.alias("_prefix")).agg(F.count("*").alias("_n"))
     upto = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)

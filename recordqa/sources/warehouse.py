@@ -1,7 +1,8 @@
 """The warehouse: Parquet tables under one root, with appends and keyed upserts.
 
-Append tables grow by partition. Keyed tables (records, labels) are partitioned by a hash of their
-key, and an upsert rewrites only the partitions its keys fall into.
+Append tables grow by partition. Keyed tables (records, labels) are cut by a hash of their key into buckets whose
+number follows the table: it is a power of two, stored as the folder ``buckets=<n>``, and doubles when buckets
+grow beyond a bound. An upsert reads and rewrites only the buckets its keys fall into.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from recordqa.session import stage_table
 
 # Keyed tables and their keys.
 KEYED = {"records": "event_id", "human_review_labels": "quality_result_id"}
+# Rows of a bucket beyond which a keyed table is cut into twice as many.
+BUCKET_ROWS = 1_000_000
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
-        """``buckets``: partitions of a keyed table; it must not change once tables are written."""
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, bucket_rows: int = BUCKET_ROWS):
+        """``bucket_rows``: rows of a bucket of a keyed table beyond which the table is cut finer."""
+        self.spark, self.root, self.bucket_rows = spark, root.rstrip("/"), bucket_rows
 
     # ---- layout -----------------------------------------------------------
     def schema(self, name: str) -> T.StructType:
@@ -44,22 +47,46 @@ class Warehouse:
         """Create the tables that do not exist yet, empty; running it again changes nothing."""
         for name in TABLE_DDL:
             if not self._exists(name):
-                self._checked(name, self.spark.createDataFrame([], self.schema(name))).write.parquet(self.path(name))
+                none = self._checked(name, self.spark.createDataFrame([], self.schema(name)))
+                if name in KEYED:
+                    self._write_layout(name, 1, none.withColumn("bucket", F.lit(0)))
+                else:
+                    none.write.parquet(self.path(name))
+
+    # ---- keyed layout -----------------------------------------------------
+    def buckets(self, name: str) -> int:
+        """Buckets of a keyed table as last committed; a table that was never written has one."""
+        try:
+            log = self.spark.read.schema("name string, buckets int").parquet(f"{self.root}/layouts")
+        except AnalysisException as err:
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 1
+        return log.filter(F.col("name") == name).agg(F.max("buckets")).first()[0] or 1
+
+    def _bucket(self, name: str, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(KEYED[name]), F.lit(buckets)).cast("int")
+
+    def _layout(self, name: str, buckets: int) -> str:
+        return f"{self.path(name)}/buckets={buckets}"
+
+    def _stored(self, name: str, buckets: int) -> DataFrame:
+        """Rows of a layout with their bucket; the other layout of a table that is being cut finer is not seen."""
+        schema = T.StructType([*self.schema(name).fields, T.StructField("bucket", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(self._layout(name, buckets))
 
     # ---- reads ------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
         schema = self.schema(name)
+        if name in KEYED:
+            return self._stored(name, self.buckets(name)).drop("bucket")
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
 
-    def _bucket(self, name: str) -> Column:
-        return F.pmod(F.xxhash64(KEYED[name]), F.lit(self.buckets)).cast("int")
-
     def _touched(self, name: str, incoming: DataFrame) -> DataFrame:
-        """Stored rows of the partitions that keys of ``incoming`` fall into."""
-        schema = T.StructType([*self.schema(name).fields, T.StructField("bucket", T.IntegerType())])
-        stored = self.spark.read.schema(schema).parquet(self.path(name))
-        hit = incoming.select(self._bucket(name).alias("bucket")).distinct()
-        return stored.join(hit, "bucket", "left_semi").drop("bucket")
+        """Stored rows of the buckets that keys of ``incoming`` fall into."""
+        buckets = self.buckets(name)
+        hit = incoming.select(self._bucket(name, buckets).alias("bucket")).distinct()  # at most one row per bucket
+        return self._stored(name, buckets).join(hit, "bucket", "left_semi").drop("bucket")
 
     def create_views(self) -> None:
         """Temp views of all tables and of the stored review backlog."""
@@ -82,13 +109,39 @@ class Warehouse:
 
     def _write(self, name: str, df: DataFrame, mode: str = "append") -> None:
         rows = self._checked(name, df)
+        if name in KEYED:
+            self._replace_buckets(name, rows)
+            return
         parts = PARTITIONS.get(name, ())
-        if name in KEYED:  # staged, since the partitions to replace are read for it
-            rows = stage_table(rows.withColumn("bucket", self._bucket(name)), f"upsert-{name}").repartition("bucket")
-            parts, mode = ("bucket",), "overwrite"
         writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         (writer.partitionBy(*parts) if parts else writer).parquet(self.path(name))
 
+    def _replace_buckets(self, name: str, rows: DataFrame) -> None:
+        """Replaces the buckets that ``rows`` fall into; cuts the table finer first if they would grow too large.
+
+        A finer layout is written beside the present one, which stays the table until the new one is in the log.
+        """
+        buckets = self.buckets(name)
+        # staged, since the buckets to replace are read for it
+        rows = stage_table(rows.withColumn("bucket", self._bucket(name, buckets)), f"upsert-{name}")
+        replaced = rows.select("bucket").distinct()
+        rest = self._stored(name, buckets).join(replaced, "bucket", "left_anti")
+        n_rows, finer = rest.count() + rows.count(), buckets
+        while n_rows > finer * self.bucket_rows:
+            finer *= 2
+        if finer == buckets:
+            self._write_layout(name, buckets, rows)
+            return
+        self._write_layout(name, finer, rest.unionByName(rows).withColumn("bucket", self._bucket(name, finer)))
+        self.spark.createDataFrame([(name, finer)], "name string, buckets int").coalesce(1).write.mode("append").parquet(f"{self.root}/layouts")
+        self._write_layout(name, buckets, rows.limit(0), "static")  # frees what is no longer read
+
+    def _write_layout(self, name: str, buckets: int, rows: DataFrame, overwrite: str = "dynamic") -> None:
+        """One task and one file per bucket, sorted by the key so that a look-up reads few row groups."""
+        dealt = rows.repartition("bucket").sortWithinPartitions("bucket", KEYED[name])
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy("bucket")
+        writer.parquet(self._layout(name, buckets))
+
     def load_quality(self, results: DataFrame, replace_runs: bool = False) -> None:
         """Append result rows as read by ``read_all_checks`` and refresh the records.
 

@@ -59,9 +59,9 @@ def test_scorecard_reads_no_wide_columns(spark, sf_dir, qr):
     assert "source_record_json" not in optimized(metrics.trend(qr)) and "ReadSchema" in text
 
 
-def test_sample_counts_before_it_draws(spark, sf_dir):
+def test_sample_reads_the_rows_once_after_it_has_drawn(spark, sf_dir):
     text = plan(sample_records(read(spark, sf_dir, "documents"), 10, seed=1, key=("doc_id",)))
-    assert "partial_count" in text and "CartesianProduct" not in text
+    assert text.count("FileScan") == 2 and "sample-taken" in text and "CartesianProduct" not in text
 
 
 def test_quality_rows_parse_each_line_once(spark):

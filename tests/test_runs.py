@@ -11,13 +11,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from recordqa.operators import conformance, duplicates, judging, loading, near_stories, sketches
+from recordqa.operators import conformance, duplicates, judging, loading, near_stories, sampling, sketches
 from recordqa.plans.checks import run_checks
 from recordqa.plans.full_run import run_all
 from recordqa.plans.remediation import run_remediation
 from recordqa.schema import CHECKS
 from recordqa.sources.lines import parse_records, read_all_checks, read_audit, read_jsonl_lines
 from recordqa.sources.prompts import prompt_registry
+from recordqa.sources.warehouse import Warehouse
 from recordqa.streaming.triage import resume_stateful
 from workload.judge_queries import fix_judge, length_judge
 
@@ -241,3 +242,58 @@ def test_schema_drift_of_odd_lines(spark):
     assert found == [("headcount", "NUMBER", 1, True, True), ("new", "ARRAY", 1, False, False), ("summary", "NULL", 1, True, True)]
     empty = conformance.schema_drift(spark.createDataFrame([], "value string"))
     assert empty.count() == len(conformance.DECLARED) and empty.where("rows > 0 OR fits").count() == 0
+
+
+# ---- keyed tables ---------------------------------------------------------
+def _reviews(spark, ids, label):
+    return spark.createDataFrame(
+        [(i, f"e{i}", CHECKS[0], label, "me", None) for i in ids],
+        "quality_result_id long, event_id string, check_name string, human_label string, reviewer string, notes string",
+    )
+
+
+def _files(folder):
+    return {str(f.relative_to(folder)) for f in folder.rglob("*.parquet")}
+
+
+def test_keyed_tables_are_cut_finer_as_they_grow(spark, tmp_path):
+    wh, folder = Warehouse(spark, str(tmp_path), bucket_rows=10), tmp_path / "human_review_labels"
+    wh.init()
+    table = lambda: rows(wh.table("human_review_labels"), "quality_result_id", "human_label")
+    assert table() == [] and wh.buckets("human_review_labels") == 1
+    wh.label(_reviews(spark, range(5), "approve_fail"))
+    assert wh.buckets("human_review_labels") == 1 and len(table()) == 5
+    wh.label(_reviews(spark, range(3, 60), "override_pass"))
+    want = {i: "override_pass" if i >= 3 else "approve_fail" for i in range(60)}
+    assert wh.buckets("human_review_labels") == 8 and dict(table()) == want and len(table()) == 60
+    before = _files(folder / "buckets=8")
+    assert len(before) == 8 and _files(folder / "buckets=1") == set()  # what is no longer read is gone
+    wh.label(_reviews(spark, [7], "reject_record"))  # one key: one bucket is written anew
+    after = _files(folder / "buckets=8")
+    assert len(before - after) == 1 and len(after - before) == 1 and dict(table()) == {**want, 7: "reject_record"}
+
+
+def test_a_finer_layout_that_was_not_committed_is_not_read(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    wh.init()
+    wh.label(_reviews(spark, range(4), "approve_fail"))
+    stray = wh.table("human_review_labels").limit(2)
+    stray.write.parquet(str(tmp_path / "human_review_labels" / "buckets=2" / "bucket=0"))  # a load was lost here
+    assert len(rows(wh.table("human_review_labels"))) == 4
+    finer = Warehouse(spark, str(tmp_path), bucket_rows=2)
+    finer.label(_reviews(spark, [9], "reject_record"))
+    assert finer.buckets("human_review_labels") == 4 and len(rows(finer.table("human_review_labels"))) == 5
+
+
+def test_sample_is_exact_for_copies_and_for_all(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("value"))
+    for n in (1, 40, 2999, 3000, 9000):
+        one = rows(sampling.sample_records(df, n, seed=5, key=("value",)))
+        assert len(one) == min(n, 3000) and one == rows(sampling.sample_records(df.repartition(9), n, seed=5, key=("value",)))
+    few, many = rows(sampling.sample_records(df, 60, seed=5, key=("value",))), sampling.FEW
+    sampling.FEW = 10
+    try:
+        assert few == rows(sampling.sample_records(df, 60, seed=5, key=("value",)))  # either way of ranking
+    finally:
+        sampling.FEW = many
+    assert sampling.sample_records(df.limit(0), 5, key=("value",)).collect() == []
