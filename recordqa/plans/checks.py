@@ -87,12 +87,13 @@ def run_checks(
         judged = requests.join(stored, "call_id", "left")
     else:
         if store is None:
-            again = stage_table(apply_judge(rest, judge, factory), "judged")
+            again = apply_judge(rest, judge, factory)
         else:
-            again = stage_table(judge_in_waves(rest, ResponseStore(records.sparkSession, store), waves, judge, factory), "judged")
+            again = judge_in_waves(rest, ResponseStore(records.sparkSession, store), waves, judge, factory)
         judged = again if stored is None else requests.join(stored, "call_id").unionByName(again)
-    responses = judged.select("call_id", "response", "latency_ms").filter(F.col("response").isNotNull())
-    calls = with_call_metrics(judged)
+    # staged with what the response says, so that it is parsed where it arrives and nowhere else
+    calls = stage_table(with_call_metrics(judged).withColumn("_answers", answers_array(F.col("response"), F.col("provider"))), "judged")
+    responses = calls.select("call_id", "response", "latency_ms").filter(F.col("response").isNotNull())
     return CheckRun(run_id, _results(batches, calls, run_id, mode), call_audit(calls), responses)
 
 
@@ -105,7 +106,7 @@ def _require_prompts(latest: DataFrame) -> None:
 
 def _results(batches: DataFrame, calls: DataFrame, run_id: str, mode: str = "failfast") -> DataFrame:
     """One row per (check, eligible record): answers are matched inside their call."""
-    parsed = calls.drop("request").withColumn("_answers", answers_array(F.col("response"), F.col("provider")))
+    parsed = calls.drop("request")
     if mode == "failfast":
         boom = F.raise_error(F.concat(F.lit("response without a results array: "), F.col("call_id")))
         bad = F.col("response").isNotNull() & F.col("_answers").isNull()
@@ -153,7 +154,9 @@ def call_audit(calls: DataFrame) -> DataFrame:
 
     ``is_invalid`` marks calls whose response is missing or holds no results array.
     """
-    counted = calls.withColumn("_answers", answers_array(F.col("response"), F.col("provider"))).withColumn(
+    if "_answers" not in calls.columns:
+        calls = calls.withColumn("_answers", answers_array(F.col("response"), F.col("provider")))
+    counted = calls.withColumn(
         "_verdicts", F.transform("_answers", lambda a: F.coalesce(string_at(a, "$.result.result"), F.lit("")))
     )
     count = lambda test: F.coalesce(F.size(F.filter("_verdicts", test)), F.lit(0)).cast("bigint")

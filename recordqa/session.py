@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -43,6 +46,25 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_open_scratch: ContextVar[list[str] | None] = ContextVar("open_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Empties the tables staged inside the block when it ends, whether it ends well or not.
+
+    For whole runs, whose results are written elsewhere: what the block returns must not read a staged table.
+    """
+    paths: list[str] = []
+    token = _open_scratch.set(paths)
+    try:
+        yield
+    finally:
+        _open_scratch.reset(token)
+        for path in paths:
+            spark.createDataFrame([], "x int").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
 def stage_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written.
 
@@ -55,6 +77,8 @@ def stage_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     path = f"{shared_dir(spark)}/recordqa/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(by) if by else writer).parquet(path)
+    if (paths := _open_scratch.get()) is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,7 @@
 import json
 import random
 import sys
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -16,6 +17,7 @@ from recordqa.plans.checks import run_checks
 from recordqa.plans.full_run import run_all
 from recordqa.plans.remediation import run_remediation
 from recordqa.schema import CHECKS
+from recordqa.session import shared_dir
 from recordqa.sources.lines import parse_records, read_all_checks, read_audit, read_jsonl_lines
 from recordqa.sources.prompts import prompt_registry
 from recordqa.sources.warehouse import Warehouse
@@ -175,9 +177,13 @@ def test_a_run_survives_bad_lines_and_bad_answers_and_loses_neither(spark, tmp_p
     read = lambda: read_jsonl_lines(spark, str(folder))
     with pytest.raises(PySparkException, match="malformed"):
         run_all(spark, read(), str(prompts), str(tmp_path / "x"), length_judge, every_fix_broken)
+    before = set((Path(shared_dir(spark).removeprefix("file:")) / "recordqa").rglob("*.parquet"))
     done = run_all(spark, read(), str(prompts), str(tmp_path / "out"), length_judge, every_fix_broken, run_id="r1", mode="quarantine")
     kept = spark.read.json(done.quarantine_path)
     assert rows(kept, "run_id", "value") == [("r1", '{"data":['), ("r1", "{broken")] and kept.where("file_name LIKE '%a.jsonl'").count() == 2
+    staged = Path(shared_dir(spark).removeprefix("file:")) / "recordqa"
+    new = {f for f in staged.rglob("*.parquet") if f not in before and "round-trips" not in f.parts}
+    assert sum(spark.read.parquet(str(f)).count() for f in new) == 0  # scratch of the run is empty
     assert rows(done.triage_counts, "escalate") == [(12,)] and read_all_checks(spark, done.results_dir).count() == 12 * len(CHECKS)
     fixed = spark.read.json(done.remediations_dir).select("remediation.decision").distinct()
     assert rows(fixed) == [("no_change",)]
