@@ -11,10 +11,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from recordqa.llm.common import stage
 from recordqa.llm.language import page_host
 
-#: Width of a time bucket of the interval join, in the unit of the times.
-BUCKET = 90
-
-
 def intervals(events: DataFrame) -> DataFrame:
     """Validity intervals (list, pattern, valid_from, valid_to) of dated events (list, pattern, action, at).
 
@@ -49,18 +45,29 @@ def patterns_of(url: Column) -> Column:
     return F.when(host.isNotNull(), F.array_distinct(F.concat(tails, folders)))
 
 
-def evaluate(captures: DataFrame, events: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched",
-             bucket: int = BUCKET) -> DataFrame:
+def dyadic(spans: DataFrame) -> DataFrame:
+    """Spans (lo, hi, both included) with ``level`` and ``block``, one or two rows each.
+
+    The level is the least whose blocks of 2**level ticks are as long as the span, so two blocks cover it, whatever
+    the unit of the times and however long the span.
+    """
+    level = F.when(F.col("hi") > F.col("lo"), F.length(F.bin(F.col("hi") - F.col("lo")))).otherwise(0).cast("int")
+    blocks = F.expr("sequence(shiftright(lo, level), shiftright(hi, level))")
+    return spans.withColumn("level", level).withColumn("block", F.explode(blocks))
+
+
+def evaluate(captures: DataFrame, events: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched") -> DataFrame:
     """One row per capture: id, fetched, n_active, decision, pattern.
 
     ``n_active`` counts active entries that match; the longest pattern decides (ties: a list named ``allow`` wins, then the
     first pattern in order), ``decision`` is its list, or ``none``. An entry is active from its addition, that moment included,
     to the moment before its removal. Captures with a null url or time, or a url without a host, match nothing; repeated rows
-    get a row each; empty tables give no rows or no matches; other columns are ignored.
+    get a row each; empty tables give no rows or no matches; other columns are ignored. Urls of any length are read whole.
 
-    Intervals are cut at bucket borders, so the join is one on (pattern, bucket) with a range test on few candidates:
-    a host with a third of all captures spreads over its buckets, and skewed buckets can be split, since an entry is unique in
-    its bucket per interval. Only ids, patterns and times are shuffled.
+    Intervals are covered by one or two dyadic blocks, so the join is one on (pattern, level, block) with a range test: of one
+    list and pattern, whose intervals are disjoint, three at most meet a block of their level. A capture looks a pattern up
+    on the levels that pattern has. A host with a third of all captures meets few intervals, and its join can be
+    split on the captures' side. Only ids, patterns and times are shuffled.
     """
     rows = stage(
         captures.select(
@@ -71,18 +78,14 @@ def evaluate(captures: DataFrame, events: DataFrame, id_col: str = "page_id", ur
         ),
         "url-captures",
     )
-    first, last = rows.agg(F.min("fetched"), F.max("fetched")).first()
-    keys = rows.where("fetched is not null").select(
-        "row", "fetched", F.explode("patterns").alias("pattern"), F.floor(F.col("fetched") / bucket).alias("bucket")
-    )
-    spans = intervals(events)
-    if first is not None:
-        ends = F.coalesce(F.least(F.col("valid_to") - 1, F.lit(last)), F.lit(last))
-        spans = spans.withColumn("lo", F.greatest(F.col("valid_from"), F.lit(first))).withColumn("hi", ends).where("lo <= hi")
-        spans = spans.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("lo") / bucket), F.floor(F.col("hi") / bucket))))
-    else:
-        spans = spans.withColumn("bucket", F.lit(0).cast("long"))
-    active = keys.join(spans, ["pattern", "bucket"]).where(
+    first, last = (x or 0 for x in rows.agg(F.min("fetched"), F.max("fetched")).first())
+    spans = intervals(events).withColumn("lo", F.greatest("valid_from", F.lit(first)))
+    spans = spans.withColumn("hi", F.coalesce(F.least(F.col("valid_to") - 1, F.lit(last)), F.lit(last))).where("lo <= hi")
+    spans = stage(dyadic(spans).drop("lo", "hi"), "url-spans")
+    levels = spans.groupBy("pattern").agg(F.collect_set("level").alias("levels"))  # 64 at most
+    keys = rows.where("fetched is not null").select("row", "fetched", F.explode("patterns").alias("pattern")).join(levels, "pattern")
+    keys = keys.withColumn("level", F.explode("levels")).withColumn("block", F.expr("shiftright(fetched, level)")).drop("levels")
+    active = keys.join(spans, ["pattern", "level", "block"]).where(
         (F.col("valid_from") <= F.col("fetched")) & (F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to")))
     )
     rank = F.struct((-F.length("pattern")).alias("n"), (F.col("list") != "allow").alias("other"), "pattern", "list")
