@@ -6,7 +6,7 @@ own: an interval join over scopes keeps them only where complementary parts co-o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordqa.llm.common import stage, text_or_empty
 
@@ -40,15 +40,20 @@ def spans_of(text: Column, kind: str, rank: int, pattern: str, keep=None) -> Col
 
     Gaps between matches and matches alternate, so starts are running sums of their lengths.
     ``keep`` tells from the matched text whether a match stands. Both lists are bound once per
-    row, in a one-element array: an expression inside a lambda is evaluated at every step.
+    row, in a one-element array: an expression inside a lambda is evaluated at every step. An array that
+    grows is copied at every step, so spans are gathered in groups of about the root of their number.
     """
     lists = F.array(
         F.struct(
             F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps")
         )
     )
+    none = F.array().cast(f"array<{SPAN}>")
 
     def walk(row: Column) -> Column:
+        n = F.size(row["found"])
+        width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+
         def step(acc: Column, i: Column) -> Column:
             start = acc["at"] + F.length(row["gaps"][i])
             end = start + F.length(row["found"][i])
@@ -58,10 +63,14 @@ def spans_of(text: Column, kind: str, rank: int, pattern: str, keep=None) -> Col
                 out = F.when(keep(row["found"][i]), out).otherwise(acc["out"])
             return F.struct(end.alias("at"), out.alias("out"))
 
+        def group(acc: Column, first: Column) -> Column:
+            upto = F.least(first + width, n) - 1
+            part = F.aggregate(F.sequence(first, upto), F.struct(acc["at"].alias("at"), none.alias("out")), step)
+            return F.transform(F.array(part), lambda p: F.struct(p["at"].alias("at"), F.concat(acc["out"], p["out"]).alias("out")))[0]
+
         zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(row["found"]) - 1), zero, step, lambda acc: acc["out"])
+        return F.aggregate(F.sequence(F.lit(0), n - 1, width), zero, group, lambda acc: acc["out"])
 
-    none = F.array().cast(f"array<{SPAN}>")
     return F.when(F.rlike(text, F.lit(pattern)), F.transform(lists, walk)[0]).otherwise(none)
 
 
@@ -96,6 +105,21 @@ def linked(parts: DataFrame, weak: str, anchors: tuple[str, ...], scope: int) ->
     return both.where(gap <= scope).select("k1", "k2", "start", "rank", "kind", "end").distinct()
 
 
+def uncovered(parts: DataFrame) -> DataFrame:
+    """The parts without opaque ones of which a base finding of the same text covers anything.
+
+    One pass over each text's parts in order: a base part that begins no later and ends behind the start
+    overlaps, and so does one that begins inside.
+    """
+    own = F.col("kind").isin(*[k for k, _ in BASE])
+    before = Window.partitionBy("k1", "k2").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy("k1", "k2").orderBy("start").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    reach, following = F.max(F.when(own, F.col("end"))).over(before), F.min(F.when(own, F.col("start"))).over(after)
+    marked = parts.withColumns({"_reach": reach, "_next": following})
+    covered = F.coalesce(F.col("_reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("_next") < F.col("end"), F.lit(False))
+    return marked.where((F.col("kind") != "opaque") | ~covered).drop("_reach", "_next")
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE_CHARS, with_key: bool = False) -> DataFrame:
     """One row per document: id (``with_key``: also k1, k2, the id as text and the text's hash), n_assign, n_access, n_hex, base (spans), spans (base and linked).
 
@@ -121,10 +145,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = found.select("*", F.array_sort(F.concat(*[F.col(k) for k, _ in BASE])).alias("base"))
     rows = stage(rows, "secret-spans")
     parts = rows.where((F.size("opaque") > 0) | (F.size("endpoint") > 0)).select(
-        "k1", "k2", "base", F.explode(F.concat("base", "opaque", "endpoint")).alias("part")
+        "k1", "k2", F.explode(F.concat("base", "opaque", "endpoint")).alias("part")
     )
-    covered = F.exists("base", lambda b: (b["start"] < F.col("part.end")) & (F.col("part.start") < b["end"]))
-    parts = parts.where((F.col("part.kind") != "opaque") | ~covered).select("k1", "k2", "part.*")
+    parts = uncovered(parts.select("k1", "k2", "part.*").distinct())
     more = linked(parts, "opaque", ("access",), scope).unionByName(linked(parts, "endpoint", ("access", "assign"), scope))
     extra = more.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "rank", "kind", "end")).alias("extra"))
     return rows.join(extra, ["k1", "k2"], "left").select(

@@ -90,17 +90,21 @@ def tiles(pairs: Iterable[tuple[int, int]], k: int) -> list[tuple[int, int, int]
 
 
 def _seeds(items: DataFrame, k: int) -> DataFrame:
+    """Seeds of items: runs of ``k`` tokens, or the whole item where it has fewer; ``width`` is their length."""
+
     def rows(batch):
         hashes = TokenHashes()
-        out = {n: [] for n in ("item", "i2", "n_tokens", "seed", "ipos")}
+        out = {n: [] for n in ("item", "i2", "n_tokens", "width", "seed", "ipos")}
         for item, i2, text in zip(batch["item"], batch["i2"], batch["text"]):
             tokens = hashes(text)
-            for pos, seed in enumerate(seed_hashes(tokens, k).tolist()):
-                for n, v in zip(out, (item, i2, len(tokens), seed, pos)):
+            width = min(k, len(tokens))
+            for pos, seed in enumerate(seed_hashes(tokens, width).tolist() if width else ()):
+                for n, v in zip(out, (item, i2, len(tokens), width, seed, pos)):
                     out[n].append(v)
         yield out
 
-    return map_rows(items, rows, "item long, i2 long, n_tokens int, seed long, ipos int")
+    kind = items.schema["item"].dataType.simpleString()
+    return map_rows(items, rows, f"item {kind}, i2 long, n_tokens int, width int, seed long, ipos int")
 
 
 def seed_filter(spark: SparkSession, seeds: DataFrame) -> np.ndarray:
@@ -131,8 +135,9 @@ def contaminated(
     runs of letters, digits and underscores in lower case, so punctuation does not hide a passage.
     Tiles have at least ``min_match`` tokens.
 
-    Null texts are empty; items with fewer than ``min_match`` tokens are covered by nothing. Rows that repeat id
-    and text give one row per item; null ids are kept. Empty tables give no rows, other columns are
+    Null texts are empty, and an item without tokens is covered by nothing. An item with fewer than ``min_match`` tokens
+    is covered where a document holds all of it in a row; callers who do not want such matches filter on
+    ``item_tokens``. Item ids keep their type. Rows that repeat id and text give one row per item; null ids are kept. Empty tables give no rows, other columns are
     ignored. Items with one id and several texts are judged each on its own.
 
     Documents are scanned once against a bit table of fixed size that knows all seeds; only seeds that
@@ -140,29 +145,32 @@ def contaminated(
     one row, bounded by its two texts. Equality is that of 64-bit hashes of ``min_match`` tokens.
     """
     spark = docs.sparkSession
-    items = items.select(F.col(item_col).cast("long").alias("item"), text_or_empty(item_text_col).alias("text"))
+    items = items.select(F.col(item_col).alias("item"), text_or_empty(item_text_col).alias("text"))
     seeds = stage(_seeds(items.select("item", F.xxhash64("text").alias("i2"), "text").distinct(), min_match), "tiling-seeds")
     table = spark.sparkContext.broadcast(seed_filter(spark, seeds))
+    widths = sorted(r.width for r in seeds.select("width").distinct().collect())  # min_match of them at most
     low = (1 << FILTER_BITS) - 1
     hashes = TokenHashes()
 
     def hits(batch):
-        out = {n: [] for n in ("k1", "k2", "seed", "dpos")}
+        out = {n: [] for n in ("k1", "k2", "width", "seed", "dpos")}
         known = table.value
         for k1, k2, text in zip(batch["k1"], batch["k2"], batch["text"]):
-            found = seed_hashes(hashes(text), min_match)
-            at = np.flatnonzero(known[found & low])
-            out["seed"] += found[at].tolist()
-            out["dpos"] += at.tolist()
-            out["k1"] += [k1] * len(at)
-            out["k2"] += [k2] * len(at)
+            tokens = hashes(text)
+            for width in widths:
+                found = seed_hashes(tokens, width)
+                at = np.flatnonzero(known[found & low])
+                out["seed"] += found[at].tolist()
+                out["dpos"] += at.tolist()
+                for name, value in (("k1", k1), ("k2", k2), ("width", width)):
+                    out[name] += [value] * len(at)
         yield out
 
     text = text_or_empty(text_col)
     keyed = docs.select(F.col(id_col).alias("k1"), F.xxhash64(text).alias("k2"), text.alias("text"))
     kind = keyed.schema["k1"].dataType.simpleString()
-    found = map_rows(keyed, hits, f"k1 {kind}, k2 long, seed long, dpos int")
-    pairs = found.join(seeds, "seed").groupBy("k1", "k2", "item", "i2", "n_tokens").agg(
+    found = map_rows(keyed, hits, f"k1 {kind}, k2 long, width int, seed long, dpos int")
+    pairs = found.join(seeds, ["width", "seed"]).groupBy("k1", "k2", "item", "i2", "n_tokens").agg(
         F.collect_list(F.struct("dpos", "ipos")).alias("pairs")
     )
     # a seed covers min_match tokens at most: pairs that cannot reach the threshold need no tiling
@@ -172,7 +180,7 @@ def contaminated(
     def tile(batch):
         out = {n: [] for n in ("k1", "k2", "item", "n_tiles", "covered", "item_tokens")}
         for k1, k2, item, n, positions in zip(*(batch[c] for c in ("k1", "k2", "item", "n_tokens", "pairs"))):
-            found = tiles(((p["dpos"], p["ipos"]) for p in positions), min_match)
+            found = tiles(((p["dpos"], p["ipos"]) for p in positions), min(min_match, n))
             covered = sum(t[2] for t in found)
             for name, v in zip(out, (k1, k2, item, len(found), covered, n)):
                 out[name].append(v)
@@ -181,7 +189,7 @@ def contaminated(
     tiled = map_rows(
         pairs.select("k1", "k2", "item", "n_tokens", "pairs"),
         tile,
-        f"k1 {kind}, k2 long, item long, n_tiles int, covered int, item_tokens int",
+        f"k1 {kind}, k2 long, item {items.schema['item'].dataType.simpleString()}, n_tiles int, covered int, item_tokens int",
     )
     coverage = F.col("covered") / F.col("item_tokens")
     return tiled.withColumn("coverage", coverage).where(F.col("coverage") >= threshold)
