@@ -46,11 +46,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose tiles cover half or more of a benchmark item."""
+    """Drops documents whose tiles cover half or more of a benchmark item; items of under five tokens, which any text may
+    hold, decide nothing."""
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_k1")
     rows = docs.select(*COLUMNS, ident, F.xxhash64(text_or_empty("text")).alias("_k2"))
     named = docs.select(ident.alias("id"), "text")
-    found = tiling.contaminated(named, table(spark, sf_dir, "benchmark"), id_col="id", threshold=0.5)
+    found = tiling.contaminated(named, table(spark, sf_dir, "benchmark"), id_col="id", threshold=0.5).where("item_tokens >= 5")
     dropped = stage(found.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct(), "pipeline-tiling")
     return rows.join(dropped, ["_k1", "_k2"], "left_anti").select(*COLUMNS)
 
