@@ -7,7 +7,6 @@ fingerprint emits its variants within r bits and meets others on equal variants.
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,29 +14,47 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordqa.llm.common import WORD, bounded_batches, components, stage, text_or_empty
+from recordqa.llm.common import bounded_batches, components, stage, text_or_empty
 
 #: XXH64 seed of a shingle.
 SEED = 42
-_WORD = re.compile(WORD)
-#: A-Z only; other letters stay.
-_LOWER = {c: c + 32 for c in range(65, 91)}
+#: UTF-8 bytes as they are hashed: A-Z in lower case (other letters stay), separators as spaces.
+_BYTES = bytes(32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: The bits of each byte, lowest first.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+#: Bits by which the variants of a crowded head are cut further.
+CUT_BITS = 8
+#: Fingerprints a head has on average, at most, before variants (as a power of two).
+HEAD_ROWS = 12
 #: Hashes counted at once: bounds memory on long texts.
 CHUNK = 1 << 16
 
 
+def _joined(text: str) -> bytes:
+    """The words of a text in UTF-8, with one space between them."""
+    raw = np.frombuffer(text.encode().translate(_BYTES), np.uint8)
+    inside = raw != 32
+    inside[1:] |= inside[:-1].copy()  # the first space after a word
+    return raw[inside].tobytes().rstrip(b" ")
+
+
 def fingerprint(text: str | None, n_words: int = 4) -> int:
-    """64-bit SimHash of a text: a bit is 1 if it is set in over half of the shingle hashes."""
-    words = _WORD.findall((text or "").translate(_LOWER))
+    """64-bit SimHash of a text: a bit is 1 if it is set in over half of the shingle hashes.
+
+    A shingle is a slice of the joined words, so no word and no shingle is built as a string of its own.
+    """
+    words = _joined(text or "")
     if not words:
         return 0
-    n = max(1, len(words) - n_words + 1)
-    ones = np.zeros(64, np.int64)
+    gaps = np.flatnonzero(np.frombuffer(words, np.uint8) == 32)
+    n = max(1, len(gaps) + 2 - n_words)
+    starts = np.r_[0, gaps + 1]
+    ends = np.r_[gaps, len(words)][min(n_words, len(gaps) + 1) - 1 :]
+    ones, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
     for at in range(0, n, CHUNK):
-        hashes = np.array(
-            [xxhash.xxh64_intdigest(" ".join(words[i : i + n_words]), SEED) for i in range(at, min(n, at + CHUNK))], dtype="<u8"
-        )
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        spans = zip(starts[at : min(n, at + CHUNK)].tolist(), ends[at : at + CHUNK].tolist())
+        hashes = np.array([digest(words[i:j], SEED) for i, j in spans], dtype="<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.concatenate([np.bincount(hashes[:, lane], minlength=256) @ _BITS for lane in range(8)])
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
@@ -102,13 +119,14 @@ def _meet(heads: np.ndarray, prints: np.ndarray, spent: np.ndarray, low_bits: in
     """Links (fingerprint, fingerprint) among rows that share a head, by completing their variants.
 
     Completed variants are handled in slices of at most ``max_rows``, whole heads together where they
-    fit; a head beyond that is cut by ranges of the variant's low half, which keeps equal variants together.
+    fit. A head beyond that is cut by the next bits of the variant: for each value of those bits a row goes on if it can reach
+    the value within its radius. So every variant is built once, and what is held at a time is bounded by ``max_rows`` and the
+    rows of the head, however alike they are.
     """
     low_masks, low = masks(low_bits, radius), np.uint64((1 << low_bits) - 1)
-    sizes = {s: sum(len(low_masks[n]) for n in range(radius - s + 1)) for s in range(radius + 1)}
-    deltas = {s: np.concatenate([low_masks[n] for n in range(radius - s + 1)]) for s in sizes}
+    deltas = {s: np.concatenate([low_masks[n] for n in range(radius - s + 1)]) for s in range(radius + 1)}
     starts = np.flatnonzero(np.r_[True, heads[1:] != heads[:-1]])
-    weight = np.add.reduceat(np.array([sizes[s] for s in range(radius + 1)])[spent], starts)
+    weight = np.add.reduceat(np.array([len(deltas[s]) for s in range(radius + 1)])[spent], starts)
     ends = np.r_[starts[1:], len(heads)]
     i = 0
     while i < len(starts):
@@ -117,36 +135,47 @@ def _meet(heads: np.ndarray, prints: np.ndarray, spent: np.ndarray, low_bits: in
             total += weight[j]
             j += 1
         rows = slice(starts[i], ends[j - 1])
-        h, p, s = heads[rows], prints[rows], spent[rows]
-        parts = max(1, -(-int(total) // max_rows))
+        i, h, p, s = j, heads[rows], prints[rows], spent[rows]
+        if total > max_rows and low_bits:
+            yield from _cut(h[0], p, s, low_bits, radius, max_rows)
+            continue
         uniq, member = np.unique(p, return_inverse=True)
-        for part in range(parts):
-            values, owners = [], []
-            for level, delta in deltas.items():
-                at = np.flatnonzero(s == level)
-                if not len(at):
-                    continue
-                v = (p[at] & low)[:, None] ^ delta[None, :]
-                o = np.broadcast_to(member[at][:, None], v.shape)
-                full = (h[at].astype(np.uint64) << np.uint64(low_bits))[:, None] | v
-                if parts > 1:
-                    mine = v % np.uint64(parts) == part
-                    values.append(full[mine])
-                    owners.append(o[mine])
-                else:
-                    values.append(full.ravel())
-                    owners.append(o.ravel())
-            a, b = _forest(np.concatenate(values), np.concatenate(owners).astype(np.int64))
-            # sharing a variant is a distance of at most 2r; checked all the same
-            close = np.bitwise_count(uniq[a] ^ uniq[b]) <= 2 * radius
-            nodes, roots = _spanning(len(uniq), a[close], b[close])
-            if len(nodes):
-                yield uniq[nodes], uniq[roots]
-        i = j
+        values, owners = [], []
+        for level, delta in deltas.items():
+            at = np.flatnonzero(s == level)
+            v = (p[at] & low)[:, None] ^ delta[None, :]
+            values.append(((h[at].astype(np.uint64) << np.uint64(low_bits))[:, None] | v).ravel())
+            owners.append(np.broadcast_to(member[at][:, None], v.shape).ravel())
+        a, b = _forest(np.concatenate(values), np.concatenate(owners).astype(np.int64))
+        # sharing a variant is a distance of at most 2r; checked all the same
+        close = np.bitwise_count(uniq[a] ^ uniq[b]) <= 2 * radius
+        nodes, roots = _spanning(len(uniq), a[close], b[close])
+        if len(nodes):
+            yield uniq[nodes], uniq[roots]
+
+
+def _cut(head: int, p: np.ndarray, spent: np.ndarray, low_bits: int, radius: int, max_rows: int):
+    """Links within one head, by the values of the variant's next ``CUT_BITS`` bits; at most one link per row."""
+    step = min(CUT_BITS, low_bits)
+    left = low_bits - step
+    top = (p >> np.uint64(left)) & np.uint64((1 << step) - 1)
+    uniq = np.unique(p)
+    a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for value in range(1 << step):
+        cost = spent + np.bitwise_count(top ^ np.uint64(value)).astype(np.int8)
+        mine = np.flatnonzero(cost <= radius)
+        longer = np.full(len(mine), np.uint64(head) << np.uint64(step) | np.uint64(value))
+        for x, y in _meet(longer, p[mine], cost[mine], left, radius, max_rows) if len(mine) > 1 else ():
+            a, b = np.r_[a, np.searchsorted(uniq, x)], np.r_[b, np.searchsorted(uniq, y)]
+            if len(a) > 2 * len(uniq):
+                a, b = _spanning(len(uniq), a, b)
+    if len(a):
+        nodes, roots = _spanning(len(uniq), a, b)
+        yield uniq[nodes], uniq[roots]
 
 
 def fingerprint_links(prints: DataFrame, max_bits: int = 4, head_bits: int = 16, max_rows: int = 2_000_000) -> DataFrame:
-    """Edges (a, b) that connect all fingerprints linked by at most ``max_bits`` differing bits.
+    """Edges (a, b) that connect all fingerprints linked by at most ``max_bits`` differing bits, an even number.
 
     ``prints`` has one column ``fp`` of distinct longs. A variant is a head (its high ``head_bits`` bits) and a low
     part. The shuffle is on the head: a fingerprint travels once per variant head, with the bits already spent, and the low
@@ -154,8 +183,11 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 4, head_bits: int = 16,
     within ``max_bits`` of each other, so a chain per variant connects what all its pairs would, and a spanning forest
     per task is what is emitted: never more edges than rows.
     """
-    radius, low_bits = -(-max_bits // 2), 64 - head_bits
-    bounded_batches(prints.sparkSession)
+    if max_bits % 2:
+        raise ValueError("max_bits must be even: variants within half of it decide")
+    radius, low_bits = max_bits // 2, 64 - head_bits
+    spark = prints.sparkSession
+    bounded_batches(spark)
     head_masks = masks(head_bits, radius)
     flips = np.concatenate([head_masks[n] for n in range(radius + 1)]).astype(np.int64)
     costs = np.concatenate([np.full(len(head_masks[n]), n, np.int8) for n in range(radius + 1)])
@@ -198,13 +230,15 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 4, head_bits: int = 16,
                 yield from flush(False)
         yield from flush(True)
 
-    variants = prints.select("fp").mapInArrow(emit, "head int, fp long, spent byte")
+    # a row becomes many: its narrow input is spread, so that emitting is not left to the few tasks it would fit into
+    spread = prints.select("fp").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    variants = spread.mapInArrow(emit, "head int, fp long, spent byte")
     met = variants.repartition("head").sortWithinPartitions("head")
     return met.mapInArrow(meet, "a long, b long").distinct()
 
 
 def simhash_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4, max_bits: int = 4, head_bits: int = 16
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4, max_bits: int = 4
 ) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id.
 
@@ -214,12 +248,14 @@ def simhash_components(
     component of its fingerprint. Empty tables give no rows; other columns are ignored.
 
     Copies fold into one fingerprint before anything meets, so groups of copies cost their size, not its square.
+    The heads on which variants meet get longer as documents grow, so that what shares a head does not.
     """
     bounded_batches(docs.sparkSession)
     rows = stage(
         docs.select(F.col(id_col).alias("id"), fingerprint_column(text_or_empty(text_col), n_words).alias("fp")), "simhash-prints"
     )
     prints = rows.groupBy("fp").agg(F.min("id").alias("least"))
+    head_bits = min(max(16, rows.count().bit_length() - HEAD_ROWS), 30)
     links = fingerprint_links(prints.select("fp"), max_bits, head_bits)
     classes = components(links, "simhash")
     named = prints.join(classes, prints.fp == classes.node, "left").select(

@@ -2,11 +2,14 @@
 
 import random
 import time
+import tracemalloc
 
 import brute
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from recordqa.llm import queries, secrets, tiling
+from recordqa.llm import queries, secrets, simhash, tiling
 
 
 def test_many_matches_in_one_text_take_less_than_quadratic_time(spark):
@@ -47,3 +50,36 @@ def test_items_keep_the_type_of_their_ids_and_short_ones_are_found_whole(spark):
         (1, "q-1", 1, 7, 1.0), (2, "q-2", 1, 3, 1.0), (4, "q-3", 1, 1, 1.0), (5, None, 1, 2, 1.0),
     ]
     assert "op10_tiling" in queries.QUERIES
+
+
+@pytest.mark.parametrize("alike", [True, False])
+def test_a_crowded_head_is_linked_whole_in_bounded_memory(alike):
+    rng = random.Random(4)
+    centre = rng.getrandbits(48)
+    if alike:
+        low = {centre ^ sum({1 << rng.randrange(48) for _ in range(3)}) for _ in range(3_000)}
+    else:
+        low = {c ^ 1 << rng.randrange(48) for c in (rng.getrandbits(48) for _ in range(500)) for _ in range(6)}
+    prints = np.array(sorted(low), np.uint64)
+    n = len(prints)
+    tracemalloc.start()
+    found = list(simhash._meet(np.zeros(n, np.int32), prints, np.zeros(n, np.int8), 48, 2, 20_000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = brute.roots(prints.tolist(), [(a, b) for x, y in found for a, b in zip(x.tolist(), y.tolist())])
+    near = np.argwhere(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 4)
+    assert got == brute.roots(prints.tolist(), [(int(prints[a]), int(prints[b])) for a, b in near if a < b])
+    assert sum(len(x) for x, _ in found) < n
+    assert peak < 12_000_000  # all variants at once would take n * 1,177 * 16 bytes, 30 MB and more
+
+
+def test_fingerprints_of_odd_texts():
+    odd = [None, "", " \t\n", "A", " a b  c ", "a b c d", "\x0ba b c d e\x0c", "É Ä b\xa0c \x1c d \x85 e", "x\x00 y z w v", "😀 😀 😀 😀 A"]
+    long = " ".join(random.Random(1).choice(["Ab", "c", "dé", "e  f"]) for _ in range(simhash.CHUNK + 5_000))
+    for text in [*odd, long]:
+        assert simhash.fingerprint(text) == brute.simhash(text), text
+
+
+def test_an_odd_distance_is_refused(spark):
+    with pytest.raises(ValueError, match="even"):
+        simhash.fingerprint_links(spark.createDataFrame([(1,)], "fp long"), max_bits=3)
