@@ -8,8 +8,9 @@ reordered passages count as much as whole ones.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import xxhash
@@ -67,8 +68,43 @@ def tiles(pairs: Iterable[tuple[int, int]], k: int) -> list[tuple[int, int, int]
             runs[-1][2] += 1
         else:
             runs.append([diagonal, d, 1])
-    heap = [(-(n + k - 1), d - diagonal, d) for diagonal, d, n in runs]
+    return greedy(((n, d - diagonal, d) for diagonal, d, n in runs), k)
+
+
+def diagonal_runs(hits: dict[int, np.ndarray], shape: Sequence[int]) -> Iterator[tuple[int, int, int]]:
+    """Maximal runs of equal seeds: (number of seeds, item position, document position).
+
+    ``shape`` names the seed at each position of the item, ``hits`` the sorted document positions of each seed. Lengths are
+    carried from the item's last position to its first, so the product of equal seeds is never held.
+    """
+    none = np.zeros(0, np.int64)
+    after, lengths = none, none
+    for i in range(len(shape) - 1, -1, -1):
+        here = hits.get(shape[i], none)
+        at = np.searchsorted(after, here + 1)
+        goes_on = np.append(after, -1)[at] == here + 1
+        lengths = 1 + np.where(goes_on, np.append(lengths, 0)[at], 0)
+        before = hits.get(shape[i - 1], none) if i else none
+        first = ~np.isin(here - 1, before)
+        yield from zip(lengths[first].tolist(), itertools.repeat(i), here[first].tolist())
+        after = here
+
+
+def _room(taken: set[int], span: int, k: int) -> bool:
+    """Whether ``k`` positions in a row below ``span`` are free."""
+    last = -1
+    for place in [*sorted(taken), span]:
+        if place - last > k:
+            return True
+        last = place
+    return False
+
+
+def greedy(runs: Iterable[tuple[int, int, int]], k: int) -> list[tuple[int, int, int]]:
+    """Tiles of maximal runs (number of seeds, item position, document position), see ``tiles``."""
+    heap = [(-(n + k - 1), i, d) for n, i, d in runs]
     heapq.heapify(heap)
+    span = max((i - length for length, i, _ in heap), default=0)
     in_doc, in_item, out = set(), set(), []
     while heap:
         length, i, d = heapq.heappop(heap)
@@ -77,6 +113,8 @@ def tiles(pairs: Iterable[tuple[int, int]], k: int) -> list[tuple[int, int, int]
             out.append((d, i, -length))
             in_doc.update(range(d, d - length))
             in_item.update(range(i, i - length))
+            if not _room(in_item, span, k):
+                break
             continue
         at = 0
         while at < len(free):
@@ -89,22 +127,35 @@ def tiles(pairs: Iterable[tuple[int, int]], k: int) -> list[tuple[int, int, int]
     return sorted(out)
 
 
+def _by_place(hits: Iterable[dict]) -> dict[int, np.ndarray]:
+    """Sorted document positions of each seed, by its first place in the item."""
+    at: dict[int, list[int]] = {}
+    for hit in hits:
+        at.setdefault(hit["place"], []).append(hit["dpos"])
+    return {place: np.unique(np.array(v, np.int64)) for place, v in at.items()}
+
+
 def _seeds(items: DataFrame, k: int) -> DataFrame:
-    """Seeds of items: runs of ``k`` tokens, or the whole item where it has fewer; ``width`` is their length."""
+    """Distinct seeds of items, with their positions (``places``): runs of ``k`` tokens, or the whole item where it has fewer.
+
+    ``width`` is the length of a seed.
+    """
 
     def rows(batch):
         hashes = TokenHashes()
-        out = {n: [] for n in ("item", "i2", "n_tokens", "width", "seed", "ipos")}
+        out = {n: [] for n in ("item", "i2", "n_tokens", "width", "seed", "places")}
         for item, i2, text in zip(batch["item"], batch["i2"], batch["text"]):
             tokens = hashes(text)
-            width = min(k, len(tokens))
+            width, places = min(k, len(tokens)), {}
             for pos, seed in enumerate(seed_hashes(tokens, width).tolist() if width else ()):
-                for n, v in zip(out, (item, i2, len(tokens), width, seed, pos)):
+                places.setdefault(seed, []).append(pos)
+            for seed, at in places.items():
+                for n, v in zip(out, (item, i2, len(tokens), width, seed, at)):
                     out[n].append(v)
         yield out
 
     kind = items.schema["item"].dataType.simpleString()
-    return map_rows(items, rows, f"item {kind}, i2 long, n_tokens int, width int, seed long, ipos int")
+    return map_rows(items, rows, f"item {kind}, i2 long, n_tokens int, width int, seed long, places array<int>")
 
 
 def seed_filter(spark: SparkSession, seeds: DataFrame) -> np.ndarray:
@@ -141,8 +192,8 @@ def contaminated(
     ignored. Items with one id and several texts are judged each on its own.
 
     Documents are scanned once against a bit table of fixed size that knows all seeds; only seeds that
-    pass are shuffled and joined exactly, so its false alarms cost a row and no result. A pair's positions meet in
-    one row, bounded by its two texts. Equality is that of 64-bit hashes of ``min_match`` tokens.
+    pass are shuffled and joined exactly, so its false alarms cost a row and no result. A pair is one row of the
+    document's seeds, each once, and the item's: bounded by the sum of the two texts, whatever repeats in both. Equality is that of 64-bit hashes of ``min_match`` tokens.
     """
     spark = docs.sparkSession
     items = items.select(F.col(item_col).alias("item"), text_or_empty(item_text_col).alias("text"))
@@ -170,24 +221,33 @@ def contaminated(
     keyed = docs.select(F.col(id_col).alias("k1"), F.xxhash64(text).alias("k2"), text.alias("text"))
     kind = keyed.schema["k1"].dataType.simpleString()
     found = map_rows(keyed, hits, f"k1 {kind}, k2 long, width int, seed long, dpos int")
-    pairs = found.join(seeds, ["width", "seed"]).groupBy("k1", "k2", "item", "i2", "n_tokens").agg(
-        F.collect_list(F.struct("dpos", "ipos")).alias("pairs")
+    # a seed goes by its first place in the item; where else it stands there is told once per item text
+    first, times = F.col("places")[0].alias("place"), F.size("places").alias("times")
+    entries = seeds.select("item", "i2", "n_tokens", "width", "seed", first, times)
+    pairs = found.join(entries, ["width", "seed"]).groupBy("k1", "k2", "item", "i2", "n_tokens").agg(
+        F.collect_list(F.struct("dpos", "place")).alias("hits"), F.collect_set(F.struct("place", "times")).alias("seen")
     )
     # a seed covers min_match tokens at most: pairs that cannot reach the threshold need no tiling
-    n_seeds = F.size(F.array_distinct(F.col("pairs.ipos")))
+    n_seeds = F.aggregate("seen", F.lit(0), lambda n, s: n + s["times"])
     pairs = pairs.where(n_seeds * min_match >= F.col("n_tokens") * F.lit(threshold))
+    shapes = seeds.select("i2", "seed", "places").distinct().groupBy("i2").agg(F.collect_list("places").alias("shape"))
+    pairs = pairs.join(shapes, "i2")
 
     def tile(batch):
         out = {n: [] for n in ("k1", "k2", "item", "n_tiles", "covered", "item_tokens")}
-        for k1, k2, item, n, positions in zip(*(batch[c] for c in ("k1", "k2", "item", "n_tokens", "pairs"))):
-            found = tiles(((p["dpos"], p["ipos"]) for p in positions), min(min_match, n))
+        for k1, k2, item, n, hits, places in zip(*(batch[c] for c in ("k1", "k2", "item", "n_tokens", "hits", "shape"))):
+            shape = [0] * sum(map(len, places))
+            for same in places:
+                for place in same:
+                    shape[place] = same[0]
+            found = greedy(diagonal_runs(_by_place(hits), shape), min(min_match, n))
             covered = sum(t[2] for t in found)
             for name, v in zip(out, (k1, k2, item, len(found), covered, n)):
                 out[name].append(v)
         yield out
 
     tiled = map_rows(
-        pairs.select("k1", "k2", "item", "n_tokens", "pairs"),
+        pairs.select("k1", "k2", "item", "n_tokens", "hits", "shape"),
         tile,
         f"k1 {kind}, k2 long, item {items.schema['item'].dataType.simpleString()}, n_tiles int, covered int, item_tokens int",
     )

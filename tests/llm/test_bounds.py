@@ -83,3 +83,25 @@ def test_fingerprints_of_odd_texts():
 def test_an_odd_distance_is_refused(spark):
     with pytest.raises(ValueError, match="even"):
         simhash.fingerprint_links(spark.createDataFrame([(1,)], "fp long"), max_bits=3)
+
+
+def test_runs_by_place_tile_like_runs_of_pairs():
+    rng = random.Random(8)
+    for k in (1, 2, 3):
+        for _ in range(80):
+            item, doc = [rng.randrange(3) for _ in range(rng.randrange(k, 20))], [rng.randrange(3) for _ in range(50)]
+            seeds = lambda t: [tuple(t[n : n + k]) for n in range(len(t) - k + 1)]
+            first = {s: seeds(item).index(s) for s in seeds(item)}
+            hits = [{"place": first[s], "dpos": d} for d, s in enumerate(seeds(doc)) if s in first]
+            pairs = [(d, i) for d, a in enumerate(seeds(doc)) for i, b in enumerate(seeds(item)) if a == b]
+            got = tiling.greedy(tiling.diagonal_runs(tiling._by_place(hits), [first[s] for s in seeds(item)]), k)
+            assert sorted(got) == tiling.tiles(pairs, k)
+
+
+def test_one_token_repeated_in_both_texts_is_not_multiplied(spark):
+    items = spark.createDataFrame([(1, "la " * 60), (2, "la " * 20 + "lo"), (3, "la la la")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "la " * 200_000), (2, "la la lo"), (3, "la " * 12)], "doc_id long, text string")
+    began = time.perf_counter()
+    got = {(r.k1, r.item, r.covered) for r in tiling.contaminated(docs, items).collect()}
+    assert got == {(1, 1, 60), (1, 2, 20), (1, 3, 3), (3, 2, 12), (3, 3, 3)}
+    assert time.perf_counter() - began < 60
