@@ -19,8 +19,6 @@ from recordqa.llm.simhash import simhash_components
 
 #: Labelled documents a model is fitted on, at most; they are drawn by hash.
 SAMPLE_DOCS = 20_000
-#: Lexicon entries at most, the best by evidence. Both bounds make what the driver sees independent of the corpus.
-MAX_TERMS = 4_000
 MIN_STEM, MAX_STEM = 4, 8
 #: Distinct toxic texts that hold an entry, and its log odds, at least.
 LEAST, ODDS = 3, 2.0
@@ -256,19 +254,19 @@ def _evidence(kind: str, n_bad: int, n_good: int) -> Column:
     return F.when(bad * n_good > good * n_bad, 2 * ratio).otherwise(0.0)
 
 
-def _strong(counts: DataFrame, n_bad: int, n_good: int, least: int, most: int, kind: str) -> dict[str, float]:
+def _strong(counts: DataFrame, n_bad: int, n_good: int, least: int, kind: str) -> dict[str, float]:
     """Entries that toxic groups hold far more often, at all or outside quotation, with weights by their log odds.
 
-    The evidence must be such that of all entries tested about one would pass by chance.
+    The evidence must be such that of all entries tested about one would pass by chance. All that pass are kept: they
+    are words of the bounded sample of labelled texts, whatever the size of the corpus.
     """
     needed = 2 * math.log(max(2, counts.count()))
     found = counts
     for k in ("", "_plain"):
         odds, sure = _odds(k, n_bad, n_good), _evidence(k, n_bad, n_good)
         passes = (F.col(f"bad{k}") >= least) & (odds > ODDS) & (sure > needed)
-        found = found.withColumn(f"odds{k}", F.when(passes, odds)).withColumn(f"sure{k}", F.when(passes, sure))
+        found = found.withColumn(f"odds{k}", F.when(passes, odds))
     found = found.withColumn("odds", F.greatest("odds", "odds_plain")).where("odds is not null")
-    found = found.orderBy(F.greatest("sure", "sure_plain").desc(), kind).limit(most)
     return {r[0]: min(1.0, r[1] / 6) for r in found.select(kind, "odds").collect()}
 
 
@@ -313,13 +311,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .where(F.col("variants") >= 3)
         .select("stem", *[F.least(c, F.lit(n_bad if c.startswith("bad") else n_good)).alias(c) for c in COUNTS])
     )
-    found = _strong(stems, n_bad, n_good, 3 * LEAST, MAX_TERMS, "stem")
+    found = _strong(stems, n_bad, n_good, 3 * LEAST, "stem")
     # of nested stems the shortest stands for all
     shortest: dict[str, float] = {}
     for stem in sorted(found, key=lambda s: (len(s), s)):
         if not any(stem[:n] in shortest for n in range(MIN_STEM, len(stem))):
             shortest[stem] = found[stem]
-    words = _strong(counts, n_bad, n_good, LEAST, MAX_TERMS, "word")
+    words = _strong(counts, n_bad, n_good, LEAST, "word")
     model = Model(words=words, stems=shortest)
 
     def neighbours(batch):
