@@ -79,6 +79,8 @@ def empty(*frames: DataFrame) -> None:
     """Frees the files of staged tables that have no reader left, by overwriting them with no rows."""
     for df in frames:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+            while "=" in folder.rsplit("/", 1)[1]:  # the folder of a partition
+                folder = folder.rsplit("/", 1)[0]
             df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
 
 

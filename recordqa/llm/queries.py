@@ -83,7 +83,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    """The removed bytes of every document, and whether there are any."""
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

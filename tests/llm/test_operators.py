@@ -188,7 +188,7 @@ def test_suffixes_in_pieces(docs, monkeypatch):
 
 def test_suffixes_of_benchmark_documents(spark, sf_dir):
     texts = [tuple(r) for r in common.table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
-    expected = sorted(((i, *r) for (i, _), r in zip(texts, brute.repeats([t for _, t in texts]))), key=str)
+    expected = sorted(((i, *r, r[1] > 0) for (i, _), r in zip(texts, brute.repeats([t for _, t in texts]))), key=str)
     assert tuples(queries.op9_suffixes(spark, sf_dir)) == expected
 
 
@@ -197,11 +197,51 @@ def test_suffixes_empty(none):
 
 
 def test_suffix_levels_double(spark):
-    family = suffixes.SuffixFamily()
+    family, met = suffixes.SuffixFamily(), []
     for b in range(5):
-        family.add(spark.createDataFrame([(b,), (100,)], "head long"))
+        rows = [(b, 1, b, b, 0, 0, 0), (100, 1, b, b, 9, 0, 0), (100, 1, b, b, 50, 0, 0), (200 + b // 4, b, b, b, 0, 0, 0)]
+        entries = spark.createDataFrame(rows, "head long, stretch long, k1 long, k2 long, first int, lead int, reach int")
+        met.append({r[0] for r in family.add(entries).collect()})
     assert [rank for rank, _ in family.levels] == [2, 0]
-    assert {r[0] for r in family.heads().collect()} == {100}
+    assert met == [{100}, {100, 200}, {100, 200}, {100, 200}, {100}]
+    heads = spark.createDataFrame([(100,)], "head long")
+    assert [(r.head, r.n) for r in family.classes(heads).collect()] == [(100, 10)]
+
+
+@pytest.mark.parametrize("parts", [2, 3])
+def test_stored_suffix_family_finds_what_new_texts_repeat(spark, tmp_path, parts):
+    texts = [(i, t) for i, t in enumerate(dict.fromkeys(t or "" for _, t in TEXTS))]
+    texts += [(100 + i, t[5:] + "!") for i, t in texts if len(t) > 100][:5]
+    kinds = "doc_id long, text string"
+    everything = suffixes.keyed_texts(spark.createDataFrame(texts, kinds))
+    seen: list = []
+    for part in range(parts):
+        new = [t for t in texts if t[0] % parts == part]
+        seen += new
+        family = suffixes.SuffixFamily.open(spark, str(tmp_path / f"family-{part - 1}")) if part else suffixes.SuffixFamily()
+        keyed = spark.createDataFrame(new, kinds).select("*", F.xxhash64(F.lit("id"), F.col("doc_id").cast("string")).alias("k1"))
+        spans = suffixes.add_batch(family, suffixes.keyed_texts(keyed), everything, 40, 20)
+        covered: dict = {}
+        for r in spans.join(keyed, "k1").select("doc_id", "start", "end").collect():
+            covered.setdefault(r[0], set()).update(range(r[1], r[2]))
+        expected = dict(zip([i for i, _ in seen], brute.repeats([t for _, t in seen], 40)))
+        assert {i: len(covered.get(i, ())) for i, _ in new} == {i: expected[i][1] for i, _ in new}
+        family.save(str(tmp_path / f"family-{part}"))
+    assert any(n for _, n, *_ in expected.values())
+    stored = spark.read.parquet(str(tmp_path / "family-0"))
+    assert stored.count() and set(stored.columns) == {*suffixes.CLASS, *suffixes.PLACE, "n", "rank"}
+    with pytest.raises(ValueError):
+        suffixes.SuffixFamily().save(str(tmp_path / "none"))
+
+
+def test_suffix_hashes_tell_strings_apart():
+    rng = random.Random(4)
+    data = bytes(rng.choice(b"ab") for _ in range(3000)) + b"ab" * 700 + b"a" * 900
+    by_hash: dict = {}
+    for base, _, first, last, _, stretch in suffixes._entries(data, 40, 20):
+        for a, b, h in zip(first.tolist(), last.tolist(), stretch.tolist()):
+            by_hash.setdefault(h, set()).add(data[base + a : base + b + 40])
+    assert len(by_hash) > 100 and all(len(v) == 1 for v in by_hash.values())
 
 
 def test_tiling(spark):
