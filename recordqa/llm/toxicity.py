@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordqa.llm.common import bounded_batches, map_rows, stage, text_or_empty
+from recordqa.llm.common import bounded_batches, empty, map_rows, stage, text_or_empty
 from recordqa.llm.simhash import simhash_components
 
 #: Labelled documents a model is fitted on, at most; they are drawn by hash.
@@ -274,8 +274,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample_docs: int = SAMPLE_DOCS) -> Model:
     """Learns lexicon and weights from at most ``sample_docs`` labelled documents outside the held-out fold.
 
-    Labels decide on their own which documents are sampled, by hash of the id; rows with a null id or label are
-    left out, of repeated labels the highest holds. Equal texts count once, with their highest label, and in the lexicon
+    Labels decide on their own which documents are sampled, by hash of the id; if ids repeat, so that they have more
+    texts than ``sample_docs``, a hash of the text decides which are used. Rows with a null id or label are left out, of repeated labels the highest holds. Equal texts count once, with their highest label, and in the lexicon
     near copies (SimHash) do, once as toxic and once as harmless. Four fifths of the sample give the lexicon, the rest the weights.
     Words and stems enter by evidence, not by the share of toxic documents that hold them.
     Without toxic or without harmless documents the lexicon is empty and scores are those of the prior weights.
@@ -287,7 +287,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     joined = texts.join(F.broadcast(drawn), "_id")
     once = joined.groupBy("text").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     part = F.pmod(F.xxhash64("text"), F.lit(5))
-    sample = stage(once.select(F.xxhash64("text").alias("h"), "text", "toxic", part.alias("part")), "toxicity-sample")
+    once = stage(once.select(F.xxhash64("text").alias("h"), "text", "toxic", part.alias("part")), "toxicity-drawn")
+    # an id that repeats brings all its texts: of those the bound holds as well
+    least = once.select("h").orderBy("h").limit(sample_docs)
+    sample = stage(once.join(F.broadcast(least), "h", "left_semi"), "toxicity-sample")
+    empty(once)
     learn, tune = sample.where("part <> 0"), sample.where("part = 0")
     # a group of near copies shares rare words by chance
     close = simhash_components(learn, id_col="h").where("component_id is not null").select("h", "component_id")

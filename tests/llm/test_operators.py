@@ -484,6 +484,18 @@ def test_toxicity_learns_rare_terms_whatever_is_copied(spark):
     assert not {"oddity", "rarity"} & set(copied)
 
 
+def test_toxicity_sample_bounds_texts_of_repeated_ids(spark, monkeypatch):
+    docs, labels = labelled(spark, insults()[:400] + insults()[-400:])
+    again = docs.withColumn("text", F.concat("text", F.lit(" once more")))
+    sizes: dict = {}
+    monkeypatch.setattr(toxicity, "stage", lambda df, name: sizes.setdefault(name, []).append(df.count()) or common.stage(df, name))
+    toxicity.fit(docs.unionByName(again), labels, sample_docs=300)
+    assert sizes["toxicity-sample"] == [300] and sizes["toxicity-drawn"] == [600]
+    sizes.clear()
+    toxicity.fit(docs, labels, sample_docs=300)
+    assert sizes["toxicity-sample"] == sizes["toxicity-drawn"] == [300]
+
+
 def test_toxicity_of_terms_that_harmless_texts_quote(spark):
     rows, terms = insults(), [term(n) for n in range(10)]
     rows = [(t.replace(term(20), terms[0] + "t"), x) for t, x in rows]
