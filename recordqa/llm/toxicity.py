@@ -344,13 +344,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _logistic(points: np.ndarray, prior=PRIOR, strength: float = 0.1) -> tuple[float, ...]:
-    """Weights of a logistic regression on log masses and length, pulled towards ``prior``; Newton steps."""
+    """Weights of a logistic regression on log masses and length, pulled towards ``prior``; damped Newton steps."""
     hit = points[:, 0] + points[:, 1] > 0
     x = np.column_stack([np.ones(len(points)), np.log1p(points[:, :2]), np.log1p(points[:, 2]) * hit])
     y, w, at = points[:, 3], np.array(prior), np.array(prior)
+
+    def value(w):
+        z = x @ w
+        return (y * z - np.logaddexp(0, z)).sum() - strength / 2 * ((w - at) ** 2).sum()
+
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + strength * np.eye(4), x.T @ (y - p) - strength * (w - at))
+        while value(w + step) < value(w) and np.abs(step).max() > 1e-9:  # a whole step can overshoot
+            step = step / 2
         w = w + step
         if np.abs(step).max() < 1e-9:
             break

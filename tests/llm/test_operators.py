@@ -484,6 +484,13 @@ def test_toxicity_learns_rare_terms_whatever_is_copied(spark):
     assert not {"oddity", "rarity"} & set(copied)
 
 
+def test_toxicity_weights_without_hits_give_the_share_of_toxic_texts():
+    for toxic in (10, 50, 90):
+        points = np.array([[0.0, 0.0, 40, n < toxic] for n in range(100)], float)
+        bias, *rest = toxicity._logistic(points)
+        assert abs(1 / (1 + np.exp(-bias)) - toxic / 100) < 0.02 and np.allclose(rest, toxicity.PRIOR[1:])
+
+
 def test_toxicity_sample_bounds_texts_of_repeated_ids(spark, monkeypatch):
     docs, labels = labelled(spark, insults()[:400] + insults()[-400:])
     again = docs.withColumn("text", F.concat("text", F.lit(" once more")))
