@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recordqa.session import stage_table
+
 # Registers of a distinct-count sketch as a power of two: a standard error of 0.8 %.
 HLL_BITS = 14
 # Size parameter of a quantile sketch: ranks are within about 0.4 % (99 % confidence).
@@ -71,28 +73,38 @@ def candidates(sketches: DataFrame, k: int) -> DataFrame:
     return combined.select(F.explode(listed).alias("_e")).select(F.col("_e.item").alias("value"), F.col("_e.count").alias("estimate"))
 
 
-def exact_leaders(df: DataFrame, col: str, sketches: DataFrame, k: int) -> DataFrame:
+def exact_leaders(df: DataFrame, col: str, sketches: DataFrame, k: int, flat: str = "refuse") -> DataFrame:
     """The ``k`` most frequent values with exact counts: ``value, cnt, share, n``.
 
     The merged sketches name the candidates, one pass over the data counts just those: no value that is not a
-    candidate is shuffled. The k-th must be frequent enough for the sketch to follow it, or the call fails: a flat
-    distribution has no leaders, and ``category_profile`` counts it in full.
+    candidate is shuffled. The k-th must be frequent enough for the sketch to follow it. Where values are too evenly
+    spread for that, the call fails (``flat="refuse"``), or every value is counted, one narrow row per
+    value and task (``flat="count"``, which runs the first pass to find out).
     """
     if not 0 < k <= FOLLOWED:
         raise ValueError(f"k must be between 1 and {FOLLOWED}")
+    if flat not in ("refuse", "count"):
+        raise ValueError("flat must be 'refuse' or 'count'")
     named = candidates(sketches, FOLLOWED).select("value")  # every value that is followed
-    counted = (
-        df.select(F.col(col).cast("string").alias("value"))
-        .join(named, "value", "left_semi")
-        .groupBy("value")
-        .agg(F.count("*").alias("cnt"))
-    )
-    first = counted.orderBy(F.desc("cnt"), "value").limit(k)
-    listed = first.agg(F.collect_list(F.struct("value", "cnt")).alias("_l"), F.min("cnt").alias("_least"), F.sum("cnt").alias("_sum"))
+    values = df.select(F.col(col).cast("string").alias("value"))
+    listed = _listed(values.join(named, "value", "left_semi"), k)
     n = sketches.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     both = listed.join(n, F.lit(True))  # one row on either side
     # any value above this share is followed for certain; fewer than k values are all there are if they cover the rows
-    certain = (F.col("_least") > F.col("n") / (0.75 * FOLLOWED)) & (F.size("_l") == k)
-    flat = F.raise_error(F.lit("no leaders: values are too evenly spread for the sketch")).cast("array<struct<value:string,cnt:bigint>>")
-    checked = F.when(certain | (F.coalesce("_sum", F.lit(0)) == F.col("n")), F.col("_l")).otherwise(flat)
+    followed = (F.col("_least") > F.col("n") / (0.75 * FOLLOWED)) & (F.size("_l") == k)
+    certain = followed | (F.coalesce("_sum", F.lit(0)) == F.col("n"))
+    if flat == "count":
+        both = stage_table(both, "leaders")
+        if not both.select(F.coalesce(certain, F.lit(False))).first()[0]:  # one row
+            both = _listed(values.filter("value IS NOT NULL"), k).join(n, F.lit(True))
+        checked = F.col("_l")
+    else:
+        boom = F.raise_error(F.lit("no leaders: values are too evenly spread for the sketch")).cast("array<struct<value:string,cnt:bigint>>")
+        checked = F.when(certain, F.col("_l")).otherwise(boom)
     return both.select("n", F.explode(checked).alias("_x")).select("_x.*", F.try_divide("_x.cnt", "n").alias("share"), "n")
+
+
+def _listed(values: DataFrame, k: int) -> DataFrame:
+    """The ``k`` most frequent of ``values`` as one row: ``_l``, their least count and the sum of their counts."""
+    first = values.groupBy("value").agg(F.count("*").alias("cnt")).orderBy(F.desc("cnt"), "value").limit(k)
+    return first.agg(F.collect_list(F.struct("value", "cnt")).alias("_l"), F.min("cnt").alias("_least"), F.sum("cnt").alias("_sum"))

@@ -22,6 +22,7 @@ from recordqa.sources.lines import parse_records, read_all_checks, read_audit, r
 from recordqa.sources.prompts import prompt_registry
 from recordqa.sources.warehouse import Warehouse
 from recordqa.streaming.triage import resume_stateful
+from workload import run_queries
 from workload.judge_queries import fix_judge, length_judge
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -242,6 +243,25 @@ def test_leaders_are_exact_or_refused(spark, monkeypatch):
         sketches.exact_leaders(flat, "v", sketches.frequency_sketches(flat, "v"), 3).collect()
 
 
+def test_leaders_of_even_values_are_counted(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sketches, "FOLLOWED", 100)
+    df = spark.range(20_000).select(F.concat(F.lit("v"), (F.col("id") % 4_999).cast("string")).alias("v")).unionByName(
+        spark.createDataFrame([(None,), ("v7",), ("v7",)], "v string")
+    )
+    leaders = sketches.exact_leaders(df, "v", sketches.frequency_sketches(df, "v"), 3, flat="count")
+    assert rows(leaders, "value", "cnt", "n") == [("v0", 5, 20_002), ("v1", 5, 20_002), ("v7", 6, 20_002)]
+    few = df.filter("v in ('v1', 'v7')")
+    assert rows(sketches.exact_leaders(few, "v", sketches.frequency_sketches(few, "v"), 3, flat="count"), "value", "cnt") == [("v1", 5), ("v7", 6)]
+    # the query itself, over more users than the sketch follows
+    events = spark.range(4_000).select(
+        F.col("id").alias("event_id"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'").alias("ts"), (F.col("id") % 1_999).alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k":1}').alias("props"),
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = rows(run_queries.frequent_events(spark, str(tmp_path)), "value", "cnt", "n")
+    assert len(got) == 20 and got[:2] == [("E0", 3, 4_000), ("E1", 3, 4_000)]
+
+
 def test_schema_drift_of_odd_lines(spark):
     lines = [("{bad",), ('{"data":[]}',), ('{"data":[{"attributes":{"summary":null,"headcount":1.5,"new":[1]}}]}',), (None,)]
     found = rows(conformance.schema_drift(spark.createDataFrame(lines, "value string")).where("rows > 0"))
