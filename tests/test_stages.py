@@ -275,3 +275,47 @@ def test_reports(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "evals/labelled_sets")).count() == 2
     text = spark.read.text(str(tmp_path / "evals/findings"), wholetext=True).first()[0].splitlines()
     assert text[0].startswith("# ") and "- Reviewed items: **3**" in text and text[-1] == "- `x` / `approve_fail`: **1**"
+
+
+# ---- what travels ---------------------------------------------------------
+def test_positions_in_many_ranges_with_groups_nulls_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(batching, "RANGES", 7)
+    data = [(None if i % 5 == 0 else f"g{i % 3}", i * 37 % 101, "x" * (i % 4)) for i in range(101)]
+    df = spark.createDataFrame(data, "g string, o int, text string")
+    got = {(r.g, r.o): r.pos for r in batching.positions(df, ("o",), ("g",)).collect()}
+    want = {(g, o): n for key in {d[0] for d in data} for n, (g, o) in enumerate(sorted((d[:2] for d in data if d[0] == key), key=lambda d: d[1]))}
+    assert got == want
+    ranged = batching.ranged_positions(df, ("o",), size=10)
+    assert [r.pos for r in ranged.orderBy("o").collect()] == list(range(101))
+    batches = ranged.groupBy(F.floor(F.col("pos") / 10)).agg(F.countDistinct("_range").alias("n"))
+    assert ranged.select("_range").distinct().count() > 3 and batches.filter("n > 1").count() == 0
+    twice = batching.positions(df.filter("o < 40").unionByName(df.filter("o < 40")), ("o",))
+    assert sorted(r.pos for r in twice.collect()) == sorted(2 * [p for p in range(80)])
+    assert batching.positions(df.limit(0), ("o",)).count() == 0
+
+
+def test_rows_are_numbered_where_one_shuffle_put_them(spark):
+    df = spark.createDataFrame([(i, "text") for i in range(50)], "o int, text string")
+    batches = batching.ranged_positions(df, ("o",), size=10).groupBy("_range", F.floor(F.col("pos") / 10)).agg(F.collect_list("text"))
+    assert batches._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_a_judge_is_given_frames_of_bounded_size(spark):
+    def sizes(pdf):
+        return pdf[["call_id"]].assign(response=str(int(pdf["request"].str.len().sum())), latency_ms=1.0)
+
+    rows_ = spark.range(400).select(
+        F.col("id").cast("string").alias("call_id"), F.lit("c").alias("check_name"), F.lit("m").alias("model_spec"), F.repeat(F.lit("x"), 100_000).alias("request")
+    )
+    seen = judging.judge(rows_.coalesce(1), sizes).select(F.max(F.col("response").cast("bigint")), F.count("*")).first()
+    assert seen[0] <= 2 * judging.FRAME_BYTES and seen[1] == 400
+
+
+def test_stored_responses_meet_batches_and_not_requests(spark):
+    batches = spark.createDataFrame([(0, [1]), (1, [2])], "batch_id bigint, members array<int>")
+    stored = spark.createDataFrame(
+        [(f"r/{CHECKS[0]}/0", "a", 1.0), (f"r/{CHECKS[1]}/0", None, 2.0), (f"r/{CHECKS[0]}/01", "b", 3.0), (f"s/{CHECKS[0]}/1", "c", 4.0), ("x", "d", 5.0)],
+        "call_id string, response string, latency_ms double",
+    )
+    given = {r.batch_id: r._given for r in judging.with_given(batches, stored, "r").collect()}
+    assert {k: tuple(v) for k, v in given[0].items()} == {CHECKS[0]: ("a", 1.0), CHECKS[1]: (None, 2.0)} and given[1] is None
