@@ -280,6 +280,7 @@ def test_reports(spark, tmp_path):
 # ---- what travels ---------------------------------------------------------
 def test_positions_in_many_ranges_with_groups_nulls_and_ties(spark, monkeypatch):
     monkeypatch.setattr(batching, "RANGES", 7)
+    monkeypatch.setattr(batching, "STEP", 3)
     data = [(None if i % 5 == 0 else f"g{i % 3}", i * 37 % 101, "x" * (i % 4)) for i in range(101)]
     df = spark.createDataFrame(data, "g string, o int, text string")
     got = {(r.g, r.o): r.pos for r in batching.positions(df, ("o",), ("g",)).collect()}
