@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from recordqa.operators import drift, metrics, profile, review
+from recordqa.operators import drift, metrics, near_stories, profile, review
 from recordqa.operators.loading import to_quality_rows
 from recordqa.operators.sampling import sample_records
 from recordqa.plans.checks import call_audit
@@ -93,3 +93,12 @@ def test_library_has_no_driver_side_row_loops():
     banned = re.compile(r"\.collect\(\)|\.toPandas\(|\.toLocalIterator\(|\.crossJoin\(|localCheckpoint|\.rdd\b|\budf\(")
     hits = [(p.name, m.group()) for p in root.rglob("*.py") if "llm" not in p.parts for m in [banned.search(p.read_text())] if m]
     assert hits == []
+
+
+def test_a_story_is_split_once_for_all_its_shingles(spark):
+    words = [f"w{n}" for n in range(9)]
+    df = spark.createDataFrame([(" ".join(words),), ("one two",), (None,)], "t string").select(near_stories.shingles(F.col("t")).alias("h"))
+    assert optimized(df).count("split(") == 1  # and not again inside the function over its words
+    runs = [" ".join(words[i : i + 5]) for i in range(5)]
+    want = [r.h for r in spark.createDataFrame([(r,) for r in runs], "r string").select(F.xxhash64("r").alias("h")).collect()]
+    assert df.first().h == want and [len(r.h) for r in df.collect()] == [5, 1, 1]
