@@ -14,7 +14,7 @@ from recordqa.functions.variants import string_at
 from recordqa.operators.loading import to_audit_rows, to_quality_rows, to_remediation_rows, upsert_records
 from recordqa.operators.review import backlog_view, upsert_labels
 from recordqa.schema import CHECKS, PARTITIONS, TABLE_DDL
-from recordqa.session import stage_table
+from recordqa.session import scratch, stage_table
 
 # Keyed tables and their keys.
 KEYED = {"records": "event_id", "human_review_labels": "quality_result_id"}
@@ -148,13 +148,16 @@ class Warehouse:
         Loading the same files again appends them again, with the same ids; ``replace_runs``
         overwrites the (check, run) partitions at hand instead, and labels keep their results.
         """
-        rows = to_quality_rows(results)
-        self._write("llm_quality_results", rows, "overwrite" if replace_runs else "append")
-        self._refresh_records(results, "llm_check")
+        with scratch(self.spark):
+            lines = self._parsed(results, "llm_check")
+            self._write("llm_quality_results", to_quality_rows(lines), "overwrite" if replace_runs else "append")
+            self._refresh_records(lines)
 
     def load_remediations(self, remediations: DataFrame) -> None:
-        self._write("llm_remediation_results", to_remediation_rows(remediations))
-        self._refresh_records(remediations, "failed_check")
+        with scratch(self.spark):
+            lines = self._parsed(remediations, "failed_check")
+            self._write("llm_remediation_results", to_remediation_rows(lines))
+            self._refresh_records(lines)
 
     def load_audit(self, audit: DataFrame) -> None:
         self._write("llm_call_audit", to_audit_rows(audit))
@@ -163,10 +166,14 @@ class Warehouse:
         rows = log.withColumn("id", F.xxhash64("run_id", "event_id", "decision", "reason", "created_at"))
         self._write("triage_results", rows)
 
-    def _refresh_records(self, lines: DataFrame, verdict: str) -> None:
+    def _parsed(self, lines: DataFrame, verdict: str) -> DataFrame:
+        """Lines with the event their verdict names, staged: the table and the records read them, and JSON is parsed once."""
+        return stage_table(lines.withColumn("_event", string_at(F.col(verdict), "$.event_id")), "loaded-lines")
+
+    def _refresh_records(self, lines: DataFrame) -> None:
         check_no = F.array_position(F.array(*[F.lit(c) for c in CHECKS]), F.col("check_name"))
         incoming = lines.select(
-            string_at(F.col(verdict), "$.event_id").alias("event_id"),
+            F.col("_event").alias("event_id"),
             F.coalesce("source_record", F.lit("{}")).alias("source_record_json"),
             F.current_timestamp().alias("seen_at"),
             F.coalesce(F.try_to_timestamp("created_at"), F.timestamp_seconds(F.lit(0))).alias("written_at"),
@@ -185,4 +192,5 @@ class Warehouse:
         """Store reviews; a newer label of the same result replaces the older one."""
         stamped = new if "labeled_at" in new.columns else new.withColumn("labeled_at", F.current_timestamp())
         new = self._checked("human_review_labels", stamped)
-        self._write("human_review_labels", upsert_labels(self._touched("human_review_labels", new), new))
+        with scratch(self.spark):
+            self._write("human_review_labels", upsert_labels(self._touched("human_review_labels", new), new))

@@ -299,6 +299,31 @@ def test_keyed_tables_are_cut_finer_as_they_grow(spark, tmp_path):
     assert len(before - after) == 1 and len(after - before) == 1 and dict(table()) == {**want, 7: "reject_record"}
 
 
+@pytest.mark.parametrize("stage", ["quality", "remediations"])
+def test_a_load_parses_its_lines_once(spark, tmp_path, stage):
+    wh, seen = Warehouse(spark, str(tmp_path)), spark.sparkContext.accumulator(0)
+    wh.init()
+
+    def line(n: int) -> str:
+        seen.add(1)
+        return json.dumps({"event_id": f"e{n % 4}" if n % 5 else None, "result": "fail", "confidence": 0.5})
+
+    said = F.try_parse_json(F.udf(line)("n"))
+    lines = spark.range(20).select(
+        F.col("id").alias("n"), F.lit("semantic_accuracy").alias("check_name"), F.lit("r").alias("run_id"), F.lit("2025-01-01T00:00:00Z").alias("created_at"),
+        *[F.lit("x").alias(c) for c in ("prompt_version", "prompt_file", "model", "llm_metrics", "file_name")], F.concat(F.lit('{"n":'), "id", F.lit("}")).alias("source_record"),
+        F.lit(0).cast("bigint").alias("block_start"), F.col("id").alias("line_id"), F.lit("{}").alias("remediation"),
+    )
+    if stage == "quality":
+        wh.load_quality(lines.withColumn("llm_check", said))
+    else:
+        wh.load_remediations(lines.withColumn("failed_check", said))
+    assert seen.value == 20
+    assert rows(wh.table("records"), "event_id", "source_record_json") == [(f"e{k}", f'{{"n":{n}}}') for k, n in ((0, 16), (1, 17), (2, 18), (3, 19))]
+    table = wh.table("llm_quality_results" if stage == "quality" else "llm_remediation_results")
+    assert table.count() == (16 if stage == "quality" else 20)
+
+
 def test_a_finer_layout_that_was_not_committed_is_not_read(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     wh.init()
