@@ -1,5 +1,6 @@
 """Near copies, waves, quarantine, stateful resume, stored sketches: what the SQL twins cannot show."""
 
+import gzip
 import json
 import random
 import sys
@@ -13,11 +14,13 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from recordqa.operators import conformance, duplicates, judging, loading, near_stories, sampling, sketches
+from recordqa.plans import full_run
 from recordqa.plans.checks import run_checks
 from recordqa.plans.full_run import run_all
 from recordqa.plans.remediation import run_remediation
 from recordqa.schema import CHECKS
 from recordqa.session import shared_dir
+from recordqa.sinks import files
 from recordqa.sources.lines import parse_records, read_all_checks, read_audit, read_jsonl_lines
 from recordqa.sources.prompts import prompt_registry
 from recordqa.sources.warehouse import Warehouse
@@ -191,6 +194,34 @@ def test_a_run_survives_bad_lines_and_bad_answers_and_loses_neither(spark, tmp_p
     assert read_audit(spark, done.audit_path).where("stage = 'remediation'").count() == len(CHECKS)
 
 
+def test_a_run_packs_its_files_and_empties_what_each_stage_staged(spark, tmp_path, monkeypatch):
+    prompts, lines = tmp_path / "prompts", _records(spark, 70).withColumn("value", F.when(F.col("line_id") == 5, "{broken").otherwise(F.col("value")))
+    prompts.mkdir()
+    for base in (*CHECKS, "remediation"):
+        (prompts / f"{base}_v1.txt").write_text(base)
+    shared, left = Path(shared_dir(spark).removeprefix("file:")) / "recordqa", {}
+    held = lambda: {d for d in shared.iterdir() if d.name != "round-trips" and list(d.rglob("*.parquet")) and spark.read.parquet(str(d)).count()}
+
+    def watched(name):
+        real = getattr(full_run, name)
+        monkeypatch.setattr(full_run, name, lambda *a, **k: (left.setdefault(name, []).append(held() - before), real(*a, **k))[1])
+
+    before = held()
+    monkeypatch.setattr(files, "PACKED_LINES", 10)
+    watched("run_checks")
+    watched("run_remediation")
+    run = lambda out, **more: run_all(spark, lines, str(prompts), str(tmp_path / out), length_judge, every_fix_broken, run_id="r1", mode="quarantine", **more)
+    packed, plain = run("packed"), run("plain", codec=None)
+    assert left == {"run_checks": [set(), set()], "run_remediation": [set(), set()]}
+    said = lambda done: rows(judging.verdict_columns(read_all_checks(spark, done.results_dir)), "check_name", "event_id", "result", "source_record")
+    assert said(packed) == said(plain) and len(said(plain)) == 69 * len(CHECKS)
+    assert rows(spark.read.json(packed.quarantine_path), "value", "line_id") == rows(spark.read.json(plain.quarantine_path), "value", "line_id") == [("{broken", 5)]
+    assert read_audit(spark, packed.audit_path).count() == read_audit(spark, plain.audit_path).count() > 0
+    of = lambda out: [f for f in (tmp_path / out).rglob("part-*") if "calls" not in f.relative_to(tmp_path / out).parts[:1]]
+    assert {f.suffix for f in of("packed")} == {".gz"} and {f.suffix for f in of("plain")} == {".json", ".txt"}
+    assert all(len(gzip.open(f).readlines()) <= 10 for f in of("packed"))
+
+
 # ---- the rest -------------------------------------------------------------
 def test_prompt_names_are_those_of_the_files(spark, tmp_path):
     for name in ("a b_v1.txt", "a+b_v2.txt", "50%25_v3.txt", "ä_v4.txt"):
