@@ -19,7 +19,7 @@ from recordqa.plans.checks import run_checks
 from recordqa.plans.full_run import run_all
 from recordqa.plans.remediation import run_remediation
 from recordqa.schema import CHECKS
-from recordqa.session import shared_dir
+from recordqa.session import READ_ROWS, shared_dir
 from recordqa.sinks import files
 from recordqa.sources.lines import parse_records, read_all_checks, read_audit, read_jsonl_lines
 from recordqa.sources.prompts import prompt_registry
@@ -204,15 +204,17 @@ def test_a_run_packs_its_files_and_empties_what_each_stage_staged(spark, tmp_pat
 
     def watched(name):
         real = getattr(full_run, name)
-        monkeypatch.setattr(full_run, name, lambda *a, **k: (left.setdefault(name, []).append(held() - before), real(*a, **k))[1])
+        monkeypatch.setattr(full_run, name, lambda *a, **k: (left.setdefault(name, []).append(held() - before), sizes.add(spark.conf.get(batch)), real(*a, **k))[2])
 
-    before = held()
+    before, batch, sizes = held(), "spark.sql.parquet.columnarReaderBatchSize", set()
+    usual = spark.conf.get(batch)
     monkeypatch.setattr(files, "PACKED_LINES", 10)
     watched("run_checks")
     watched("run_remediation")
     run = lambda out, **more: run_all(spark, lines, str(prompts), str(tmp_path / out), length_judge, every_fix_broken, run_id="r1", mode="quarantine", **more)
     packed, plain = run("packed"), run("plain", codec=None)
     assert left == {"run_checks": [set(), set()], "run_remediation": [set(), set()]}
+    assert sizes == {str(READ_ROWS)} and spark.conf.get(batch) == usual != str(READ_ROWS)  # long requests are read a few at a time
     said = lambda done: rows(judging.verdict_columns(read_all_checks(spark, done.results_dir)), "check_name", "event_id", "result", "source_record")
     assert said(packed) == said(plain) and len(said(plain)) == 69 * len(CHECKS)
     assert rows(spark.read.json(packed.quarantine_path), "value", "line_id") == rows(spark.read.json(plain.quarantine_path), "value", "line_id") == [("{broken", 5)]
