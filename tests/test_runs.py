@@ -13,13 +13,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
+from recordqa.functions.variants import printed
 from recordqa.operators import conformance, duplicates, judging, loading, near_stories, sampling, sketches
 from recordqa.plans import full_run
 from recordqa.plans.checks import run_checks
 from recordqa.plans.full_run import run_all
 from recordqa.plans.remediation import run_remediation
 from recordqa.schema import CHECKS
-from recordqa.session import READ_ROWS, shared_dir
+from recordqa.session import OPEN_FILES, READ_ROWS, free, open_files, scratch, shared_dir, stage_table
 from recordqa.sinks import files
 from recordqa.sources.lines import parse_records, read_all_checks, read_audit, read_jsonl_lines
 from recordqa.sources.prompts import prompt_registry
@@ -224,6 +225,90 @@ def test_a_run_packs_its_files_and_empties_what_each_stage_staged(spark, tmp_pat
     assert all(len(gzip.open(f).readlines()) <= 10 for f in of("packed"))
 
 
+def fixed(requests: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"call_id": requests["call_id"], "response": '{"choices":[{"message":{"content":"{}"}}]}', "latency_ms": 1.0})
+
+
+def test_lines_are_parsed_once_though_one_run_is_asked_for(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def line(n: int) -> str:
+        seen.add(1)
+        return json.dumps({"run_id": f"r{n % 2}", "event_id": f"e{n}", "result": "fail"})
+
+    said = spark.range(20).select(
+        F.col("id"), F.lit("semantic_accuracy").alias("check_name"), F.lit("{}").alias("source_record"), F.try_parse_json(F.udf(line)("id")).alias("llm_check")
+    )
+    results = said.withColumn("run_id", F.try_variant_get("llm_check", "$.run_id", "string"))
+    run = run_remediation(results, "Fix.", fixed, order=("id",), runs=["r1"])
+    assert seen.value == 20 and run.remediations.count() == 10
+
+
+ODD = ['{"b":1, "a":{"z":[1.50,1e3,-0.0,12345678901234567890],"y":null}}', '{"t":"q\\"uo \\\\ te \\u0007 \\u2028 \\n é 😀 \\u00e9 <\\/p>"}', '{"a":"{\\"role\\":\\"user\\",\\"content\\":\\"x\\"}"}', "[ ]", "null", None]
+
+
+def test_files_hold_printed_text_as_they_hold_what_is_parsed(spark, tmp_path):
+    rows_of = spark.createDataFrame(list(enumerate(ODD)), "n int, source_record string").select(
+        F.lit("r").alias("run_id"), F.lit("v1").alias("prompt_version"), F.lit(None).cast("string").alias("prompt_file"), F.expr("TIMESTAMP'2025-01-01 00:00:00.5'").alias("created_at"),
+        F.when(F.col("n") % 2 == 0, CHECKS[0]).otherwise(CHECKS[1]).alias("check_name"), "source_record", F.parse_json(F.lit('{"z":1,"a":null}')).alias("llm_check"),
+        F.lit("m").alias("model"), F.struct(F.lit(0.25).alias("x"), F.lit(None).cast("int").alias("y")).alias("llm_metrics"),
+    )
+    files.write_results(rows_of, str(tmp_path / "parsed"))
+    files.write_results(rows_of.withColumn("source_record", printed(F.col("source_record"))), str(tmp_path / "ready"), codec="gzip", ready="source_record")
+    read = lambda name: rows(spark.read.text(str(tmp_path / name)))
+    assert read("ready") == read("parsed") and len(read("ready")) == len(ODD)
+    files.append_audit(rows_of.select("run_id", F.parse_json("source_record").alias("request"), "llm_metrics"), str(tmp_path / "audit"))
+    files.append_audit(rows_of.select("run_id", printed(F.col("source_record")).alias("request"), "llm_metrics"), str(tmp_path / "audit-ready"), ready="request")
+    assert read("audit-ready") == read("audit")
+
+
+def test_requests_are_printed_without_parsing_what_they_ask(spark):
+    said = [*(t for t in ODD if t), 'ü {"role":"user","content":"y"}]}', ""]
+    df = spark.createDataFrame([(a, b, p) for a in said for b in said for p in ("openai", "anthropic")], "prompt string, asked string, provider string")
+    body = lambda by_name: judging.provider_request(F.col("provider"), F.col("prompt"), F.lit("m"), F.col("asked"), by_name=by_name)
+    got = df.select(body(False).alias("r"), body(True).alias("by_name")).select("r", "by_name", printed(F.col("r")).alias("want"), judging.printed_request(F.col("r")).alias("got"))
+    assert got.filter("got <=> want AND by_name <=> want").count() == len(said) ** 2 * 2
+    other = spark.createDataFrame([('{"b":1,"a":2}',), ('{"role":"user","content":1}',), (None,)], "r string")
+    assert rows(other.select(judging.printed_request(F.col("r")))) == [(None,), ('{"a":2,"b":1}',), ('{"content":1,"role":"user"}',)]
+
+
+def test_a_run_prints_a_record_and_a_request_once(spark, tmp_path):
+    lines = _records(spark, 30).withColumn("value", F.replace("value", F.lit('{"data"'), F.lit('{ "z":1, "data"')))
+    prompts = _prompts(spark)
+    run = lambda name, **more: run_checks(parse_records(lines), prompts, length_judge, run_id="r", batch_size=4, store=str(tmp_path / name), waves=3, **more)
+    text, plain = run("a", as_text=True), run("b")
+    assert dict(text.audit.dtypes)["request"] == "string" and dict(plain.audit.dtypes)["request"] == "variant"
+    asked = lambda audit, request: rows(audit.select("check_name", request.alias("r"), "decision", "cost_usd", "is_invalid"))
+    assert asked(text.audit, F.col("request")) == asked(plain.audit, F.to_json("request")) and text.audit.count() == 8 * len(CHECKS)
+    of = lambda out, c: rows(judging.verdict_columns(out.results).select("check_name", "event_id", "result", "pos", c.alias("c")))
+    assert of(text, F.col("source_record")) == of(plain, printed(F.col("source_record"))) and of(text, F.col("source_record")) != of(plain, F.col("source_record"))
+    # the rows of a call are many more than its size tells: they are never broadcast
+    assert "BroadcastHashJoin" not in text.results._jdf.queryExecution().executedPlan().toString()
+    calls = spark.createDataFrame([("r/c/7", "c", "m", "q")], "call_id string, check_name string, model_spec string, request string")
+    assert judging.judge(calls, fixed, only_answers=True).columns == ["call_id", "response", "latency_ms"]
+
+
+def test_a_table_that_failed_to_be_staged_is_emptied_too(spark):
+    shared = Path(shared_dir(spark).removeprefix("file:")) / "recordqa"
+    before, key = set(shared.iterdir()) if shared.exists() else set(), "spark.sql.maxConcurrentOutputFileWriters"
+    usual = spark.conf.get(key)
+    broken = spark.range(100).select(F.when(F.col("id") == 50, F.raise_error(F.lit("lost")).cast("bigint")).otherwise(F.col("id")).alias("x"))
+    with pytest.raises(PySparkException, match="lost"), scratch(spark):
+        stage_table(broken, "broken")
+    left = set(shared.iterdir()) - before
+    assert len(left) == 1 and all(spark.read.parquet(str(d)).count() == 0 for d in left) and spark.conf.get(key) == usual
+    with open_files(spark):
+        assert int(spark.conf.get(key)) >= OPEN_FILES > len(CHECKS)
+    kept = stage_table(spark.range(5).toDF("x"), "kept")
+    free(kept)
+    assert spark.read.schema("x bigint").parquet(kept.inputFiles()[0].rsplit("/", 1)[0]).count() == 0
+
+
+def test_lines_are_stripped_of_the_same_blanks(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_bytes(' {"a":1}\t\r\n\x0b\x0c{"a":2} \n\u00a0{"a":3}\u00a0\n  \n\u00a0\n{"a":4}\nx \n'.encode())
+    assert rows(read_jsonl_lines(spark, str(tmp_path)), "value") == rows(spark.createDataFrame([(v,) for v in ('{"a":1}', '{"a":2}', '\u00a0{"a":3}\u00a0', '{"a":4}', "x")], "value string"))
+
+
 # ---- the rest -------------------------------------------------------------
 def test_prompt_names_are_those_of_the_files(spark, tmp_path):
     for name in ("a b_v1.txt", "a+b_v2.txt", "50%25_v3.txt", "ä_v4.txt"):
