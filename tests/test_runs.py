@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from recordqa.functions.variants import printed
+from recordqa import session
 from recordqa.operators import conformance, duplicates, judging, loading, near_stories, sampling, sketches
 from recordqa.plans import full_run
 from recordqa.plans.checks import run_checks
@@ -288,7 +289,7 @@ def test_a_run_prints_a_record_and_a_request_once(spark, tmp_path):
     assert judging.judge(calls, fixed, only_answers=True).columns == ["call_id", "response", "latency_ms"]
 
 
-def test_a_table_that_failed_to_be_staged_is_emptied_too(spark):
+def test_a_table_that_failed_to_be_staged_is_emptied_too(spark, tmp_path, monkeypatch):
     shared = Path(shared_dir(spark).removeprefix("file:")) / "recordqa"
     before, key = set(shared.iterdir()) if shared.exists() else set(), "spark.sql.maxConcurrentOutputFileWriters"
     usual = spark.conf.get(key)
@@ -299,9 +300,11 @@ def test_a_table_that_failed_to_be_staged_is_emptied_too(spark):
     assert len(left) == 1 and all(spark.read.parquet(str(d)).count() == 0 for d in left) and spark.conf.get(key) == usual
     with open_files(spark):
         assert int(spark.conf.get(key)) >= OPEN_FILES > len(CHECKS)
-    kept = stage_table(spark.range(5).toDF("x"), "kept")
-    free(kept)
-    assert spark.read.schema("x bigint").parquet(kept.inputFiles()[0].rsplit("/", 1)[0]).count() == 0
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "a b%20c"))
+    free(stage_table(spark.range(5).toDF("x"), "kept"))
+    assert [p.name for p in tmp_path.iterdir()] == ["a b%20c"]
+    (kept,) = (tmp_path / "a b%20c" / "recordqa").iterdir()
+    assert kept.name.startswith("kept") and sum(spark.read.parquet(str(f)).count() for f in kept.glob("*.parquet")) == 0
 
 
 def test_lines_are_stripped_of_the_same_blanks(spark, tmp_path):
